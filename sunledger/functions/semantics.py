@@ -11,24 +11,34 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WIDE = "decimal(28,6)"
+# Sums run on this type for every mean, so that a mean and its stored form share one sum.
+SUMMAND = "decimal(18,6)"
 
 
 def exact_mean(value: Column, when: Column | None = None) -> Column:
     """Mean as DOUBLE from an exact DECIMAL sum: one rounding, whatever the partitioning."""
-    picked = value if when is None else F.when(when, value)
+    picked = _picked(value, when)
     return exact_sum(picked) / F.nullif(F.count(picked), F.lit(0))
 
 
 def exact_sum(value: Column) -> Column:
     """Sum as DOUBLE, added up in DECIMAL (6 digits after the point)."""
-    return F.sum(value.cast("decimal(18,6)")).cast("double")
+    return F.sum(value.cast(SUMMAND)).cast("double")
 
 
-def stored_mean(value: Column, precision: int, scale: int) -> Column:
+def stored_mean(value: Column, precision: int, scale: int, when: Column | None = None) -> Column:
     """AVG as it is stored in a ``DECIMAL(precision, scale)`` column."""
-    quotient = F.sum(value).cast(WIDE) / F.nullif(F.count(value), F.lit(0)).cast("decimal(10,0)")
-    return quotient.cast(f"decimal({precision},{scale})")
+    return decimal_mean(_picked(value, when)).cast(f"decimal({precision},{scale})")
+
+
+def decimal_mean(value: Column) -> Column:
+    """Mean as DECIMAL with at least six spare digits."""
+    count = F.nullif(F.count(value), F.lit(0)).cast("decimal(10,0)")
+    return F.sum(value.cast(SUMMAND)).cast("decimal(28,6)") / count
+
+
+def _picked(value: Column, when: Column | None) -> Column:
+    return value if when is None else F.when(when, value)
 
 
 def percentage(part: Column, whole: Column, scale: int = 2) -> Column:
