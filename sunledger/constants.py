@@ -28,7 +28,7 @@ SKY_REST = "Cloudy"
 UV_LIMITS = ((3, "Low"), (6, "Moderate"), (8, "High"))
 UV_REST = "Very High"
 # ratio > limit -> label
-PERFORMANCE_LIMITS = (("0.8", "Excellent"), ("0.5", "Good"), ("0.2", "Fair"))
+PERFORMANCE_LIMITS = ((0.8, "Excellent"), (0.5, "Good"), (0.2, "Fair"))
 PERFORMANCE_REST = "Poor"
 
 # Validity ranges
@@ -37,7 +37,7 @@ HUMIDITY_RANGE = (0, 100)
 CLOUD_COVER_RANGE = (0, 100)
 PANEL_TEMPERATURE_RANGE = (-30, 60)
 CLOUD_FACTOR_RANGE = (0, 1)
-TEMP_EFFICIENCY_RANGE = ("0.5", "1.5")
+TEMP_EFFICIENCY_RANGE = (0.5, 1.5)
 
 # --------------------------------------------------------------------------
 # Report bands, both ends inclusive: (name, min, max, description)

@@ -17,8 +17,8 @@ PARTITION_COLUMN = "event_date"
 
 def moment_like(df: DataFrame, column: str, moment: datetime) -> Column:
     """``moment`` as a literal of the type of ``column`` (TIMESTAMP or TIMESTAMP_NTZ)."""
-    text = moment.isoformat(sep=" ", timespec="microseconds")
-    return F.lit(text).cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType.typeName().upper()
+    return F.expr(f"{kind} '{moment.isoformat(sep=' ', timespec='microseconds')}'")
 
 
 def visible(df: DataFrame, as_of: datetime, ts: str = "timestamp") -> DataFrame:

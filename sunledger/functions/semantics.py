@@ -54,33 +54,25 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def ladder(value: Column, steps: Sequence[tuple], rest, below: bool = True) -> Column:
+def ladder(value: str, steps: Sequence[tuple], rest: str, compare: str = "<") -> Column:
     """First label whose limit ``value`` is below (or above); NULL falls to ``rest``."""
-    chain = None
-    for limit, label in steps:
-        bound = F.lit(limit).cast("decimal(10,4)") if isinstance(limit, str) else F.lit(limit)
-        hit = value < bound if below else value > bound
-        chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
-    return chain.otherwise(F.lit(rest))
+    cases = " ".join(f"WHEN {value} {compare} {limit} THEN '{label}'" for limit, label in steps)
+    return F.expr(f"CASE {cases} ELSE '{rest}' END")
 
 
-def holds(condition: Column) -> Column:
-    """Three-valued condition as a plain flag: UNKNOWN counts as FALSE."""
-    return F.coalesce(condition, F.lit(False))
+def holds(*conditions: str) -> Column:
+    """All conditions as one plain flag: UNKNOWN counts as FALSE."""
+    return F.expr(f"coalesce({' AND '.join(conditions)}, FALSE)")
 
 
-def within(value: Column, bounds: tuple) -> Column:
-    low, high = (
-        F.lit(b).cast("decimal(10,4)") if isinstance(b, str) else F.lit(b) for b in bounds
-    )
-    return value.between(low, high)
+def within(value: str, bounds: tuple) -> str:
+    low, high = bounds
+    return f"{value} BETWEEN {low} AND {high}"
 
 
-def outside(value: Column, bounds: tuple) -> Column:
-    low, high = (
-        F.lit(b).cast("decimal(10,4)") if isinstance(b, str) else F.lit(b) for b in bounds
-    )
-    return (value < low) | (value > high)
+def outside(value: str, bounds: tuple) -> str:
+    low, high = bounds
+    return f"({value} < {low} OR {value} > {high})"
 
 
 def present(items: Iterable[Column]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 256
 SALTS = 64
+LOOKUP_SALTS = 32
 
 _HOT = "__hot"
 _SALT = "__salt"
@@ -70,6 +71,28 @@ def skew_join(
     return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
 
 
+def salted_lookup(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    *,
+    salt_by: Sequence[str],
+    salts: int = LOOKUP_SALTS,
+) -> DataFrame:
+    """Join with a small ``right`` that has one row per key (statistics, hourly totals).
+
+    Every row of ``right`` is copied ``salts`` times and every key of ``left``
+    is spread over as many tasks.  Cheaper than :func:`skew_join` where the
+    copies are few against the rows of ``left``: no pass to find the hot keys.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_lookup cannot split the left side of a {how!r} join")
+    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn(_SALT, spread).join(copies, [*keys, _SALT], how).drop(_SALT)
+
+
 def _all_present(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.clock import in_day, moment_like, on_day, recent, visible
 from sunledger.functions.semantics import exact_mean, one_row, stored_mean
-from sunledger.functions.skew import hot_keys, skew_join
+from sunledger.functions.skew import salted_lookup
 from sunledger.schemas import GOLD_ANOMALIES, conform
 
 # Names and limits of the anomaly classes
@@ -88,22 +88,20 @@ def detect_low_production(
     """Readings of today (valid or not) more than two deviations below their panel's mean."""
     profile = panel_profile(silver_solar, as_of) if profile is None else profile
     # z grows with the reading: a panel has a low reading exactly if its lowest is one
-    candidates = profile.where(_z(F.col("min_today"), profile) < -WARNING_Z)
+    candidates = profile.where(_z(F.col("min_today")) < -WARNING_Z)
     if existing is not None:
         candidates = candidates.join(
             _raised(existing, F.col("anomaly_type").contains(LOW), as_of), "panel_id", "left_anti"
         )
-    hot = hot_keys(candidates, ["panel_id"], "readings_today")
     readings = on_day(silver_solar, as_of.date(), as_of).select(
         "event_id", "timestamp", "panel_id", "production_kw"
     )
-    scored = skew_join(
+    scored = salted_lookup(
         readings,
         candidates.select("panel_id", "avg_production", "avg_stored", "stddev_production"),
         ["panel_id"],
         salt_by=["event_id", "timestamp"],
-        hot=hot,
-    ).withColumn("z", _z(F.col("production_kw"), profile))
+    ).withColumn("z", _z(F.col("production_kw")))
     critical = F.col("z") < -CRITICAL_Z
     average = F.col("avg_production")
     return _as_anomalies(
@@ -148,7 +146,7 @@ def detect_high_temperature(
         .where(F.col("z") > WARNING_Z)
     )
     if existing is not None:
-        scored = skew_join(
+        scored = salted_lookup(
             scored,
             _raised(existing, F.col("anomaly_type") == HIGH_TEMPERATURE, as_of),
             ["panel_id"],
@@ -238,15 +236,21 @@ def detect_sudden_drop(
 
 
 def detect_anomalies(
-    silver_solar: DataFrame, as_of: datetime, existing: DataFrame | None = None
+    silver_solar: DataFrame,
+    as_of: datetime,
+    existing: DataFrame | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """New anomalies of one run: all four classes minus what ``existing`` already holds.
 
     ``existing`` is the table as it was before the run.  The classes have
     different names, so checking all of them against this one snapshot equals
     inserting them one after the other.
+
+    Three detectors read ``profile``.  Pass a written or checkpointed one (see
+    :func:`sunledger.session.materialise`) to scan the seven days only once.
     """
-    profile = panel_profile(silver_solar, as_of)
+    profile = panel_profile(silver_solar, as_of) if profile is None else profile
     classes = [
         detect_low_production(silver_solar, as_of, existing, profile),
         detect_high_temperature(silver_solar, as_of, existing),
@@ -332,7 +336,7 @@ def auto_resolve(
     )
 
 
-def _z(value: Column, stats: DataFrame) -> Column:
+def _z(value: Column) -> Column:
     return F.try_divide(
         value.cast("double") - F.col("avg_production"), F.col("stddev_production")
     )

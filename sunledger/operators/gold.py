@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.semantics import percentage, stored_mean
-from sunledger.functions.skew import skew_join
+from sunledger.functions.skew import salted_lookup, skew_join
 from sunledger.operators.silver import audit_column
 
 
@@ -109,7 +109,8 @@ def weather_impact(silver_weather: DataFrame, silver_solar: DataFrame) -> DataFr
             "id timestamp city temperature humidity cloud_cover uv_index sky_condition".split()
         ),
     )
-    return skew_join(observed, production, ["hour"], "left", salt_by=["id", "timestamp"]).select(
+    joined = salted_lookup(observed, production, ["hour"], "left", salt_by=["id", "timestamp"])
+    return joined.select(
         "timestamp",
         "city",
         "temperature",

@@ -37,6 +37,10 @@ MANY_ANOMALIES = ("❌ CRITICAL - ", " open anomalies require attention")
 MANY_ANOMALIES_FROM = 5
 
 
+def broken(column: str, bounds: tuple) -> Column:
+    return F.expr(outside(column, bounds))
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -73,9 +77,9 @@ def weather_quality(weather: DataFrame) -> DataFrame:
         _rows().alias("total_records"),
         F.count_if(temperature.isNull()).alias("null_temperature"),
         F.count_if(humidity.isNull()).alias("null_humidity"),
-        F.count_if(outside(temperature, C.WEATHER_TEMPERATURE_RANGE)).alias("out_of_range_temp"),
-        F.count_if(outside(humidity, C.HUMIDITY_RANGE)).alias("invalid_humidity"),
-        F.count_if(outside(F.col("cloud_cover"), C.CLOUD_COVER_RANGE)).alias(
+        F.count_if(broken("temperature", C.WEATHER_TEMPERATURE_RANGE)).alias("out_of_range_temp"),
+        F.count_if(broken("humidity", C.HUMIDITY_RANGE)).alias("invalid_humidity"),
+        F.count_if(broken("cloud_cover", C.CLOUD_COVER_RANGE)).alias(
             "invalid_cloud_cover"
         ),
     )
@@ -88,13 +92,13 @@ def reading_quality(readings: DataFrame) -> DataFrame:
         F.count_distinct("panel_id").alias("unique_panels"),
         F.count_if(production.isNull()).alias("null_production"),
         F.count_if(production < 0).alias("negative_production"),
-        F.count_if(outside(F.col("temperature_c"), C.PANEL_TEMPERATURE_RANGE)).alias(
+        F.count_if(broken("temperature_c", C.PANEL_TEMPERATURE_RANGE)).alias(
             "out_of_range_temp"
         ),
-        F.count_if(outside(F.col("cloud_factor"), C.CLOUD_FACTOR_RANGE)).alias(
+        F.count_if(broken("cloud_factor", C.CLOUD_FACTOR_RANGE)).alias(
             "invalid_cloud_factor"
         ),
-        F.count_if(outside(F.col("temp_efficiency"), C.TEMP_EFFICIENCY_RANGE)).alias(
+        F.count_if(broken("temp_efficiency", C.TEMP_EFFICIENCY_RANGE)).alias(
             "invalid_efficiency"
         ),
     )
@@ -283,9 +287,9 @@ def invalid_reasons(silver_solar: DataFrame) -> DataFrame:
     """Invalid readings by the first rule they break; Other are missing values."""
     reason = (
         F.when(F.col("production_kw") < 0, "Negative production")
-        .when(outside(F.col("temperature_c"), C.PANEL_TEMPERATURE_RANGE), "Temperature out of range")
-        .when(outside(F.col("cloud_factor"), C.CLOUD_FACTOR_RANGE), "Invalid cloud factor")
-        .when(outside(F.col("temp_efficiency"), C.TEMP_EFFICIENCY_RANGE), "Invalid efficiency")
+        .when(broken("temperature_c", C.PANEL_TEMPERATURE_RANGE), "Temperature out of range")
+        .when(broken("cloud_factor", C.CLOUD_FACTOR_RANGE), "Invalid cloud factor")
+        .when(broken("temp_efficiency", C.TEMP_EFFICIENCY_RANGE), "Invalid efficiency")
         .otherwise("Other")
     )
     return (

@@ -16,6 +16,10 @@ from sunledger.functions.clock import day_of_week_sunday0
 from sunledger.functions.semantics import holds, ladder, within
 
 
+# Unrounded production / power, NULL for a panel without rated power.
+EFFICIENCY = "production_kw / nullif(panel_power_kw, 0)"
+
+
 def calendar_parts(ts: Column) -> dict[str, Column]:
     return {
         "year": F.year(ts),
@@ -26,43 +30,38 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
     }
 
 
-def temperature_category(value: Column) -> Column:
+def temperature_category(value: str = "temperature") -> Column:
     return ladder(value, C.TEMPERATURE_LIMITS, C.TEMPERATURE_REST)
 
 
-def sky_condition(cloud_cover: Column) -> Column:
-    return ladder(cloud_cover, C.SKY_LIMITS, C.SKY_REST)
-
-
-def uv_category(uv_index: Column) -> Column:
-    return ladder(uv_index, C.UV_LIMITS, C.UV_REST)
+def sky_condition(value: str = "cloud_cover") -> Column:
+    return ladder(value, C.SKY_LIMITS, C.SKY_REST)
 
 
-def efficiency_ratio(production: Column, power: Column) -> Column:
-    """Unrounded production / power, NULL for a panel without rated power."""
-    return production / F.nullif(power, F.lit(0).cast("decimal(5,2)"))
+def uv_category(value: str = "uv_index") -> Column:
+    return ladder(value, C.UV_LIMITS, C.UV_REST)
 
 
-def performance_category(ratio: Column) -> Column:
+def performance_category(ratio: str = EFFICIENCY) -> Column:
     """From the unrounded ratio: 0.8004 is Excellent although it is stored as 0.800."""
-    return ladder(ratio, C.PERFORMANCE_LIMITS, C.PERFORMANCE_REST, below=False)
+    return ladder(ratio, C.PERFORMANCE_LIMITS, C.PERFORMANCE_REST, compare=">")
 
 
 def weather_is_valid() -> Column:
     return holds(
-        within(F.col("temperature"), C.WEATHER_TEMPERATURE_RANGE)
-        & within(F.col("humidity"), C.HUMIDITY_RANGE)
-        & (F.col("wind_speed") >= 0)
-        & within(F.col("cloud_cover"), C.CLOUD_COVER_RANGE)
+        within("temperature", C.WEATHER_TEMPERATURE_RANGE),
+        within("humidity", C.HUMIDITY_RANGE),
+        "wind_speed >= 0",
+        within("cloud_cover", C.CLOUD_COVER_RANGE),
     )
 
 
 def reading_is_valid() -> Column:
     return holds(
-        (F.col("production_kw") >= 0)
-        & within(F.col("temperature_c"), C.PANEL_TEMPERATURE_RANGE)
-        & within(F.col("cloud_factor"), C.CLOUD_FACTOR_RANGE)
-        & within(F.col("temp_efficiency"), C.TEMP_EFFICIENCY_RANGE)
+        "production_kw >= 0",
+        within("temperature_c", C.PANEL_TEMPERATURE_RANGE),
+        within("cloud_factor", C.CLOUD_FACTOR_RANGE),
+        within("temp_efficiency", C.TEMP_EFFICIENCY_RANGE),
     )
 
 
@@ -71,9 +70,9 @@ def build_silver_weather(weather: DataFrame, as_of: datetime | None = None) -> D
     return weather.withColumns(
         {
             **calendar_parts(F.col("timestamp")),
-            "temperature_category": temperature_category(F.col("temperature")),
-            "sky_condition": sky_condition(F.col("cloud_cover")),
-            "uv_category": uv_category(F.col("uv_index")),
+            "temperature_category": temperature_category(),
+            "sky_condition": sky_condition(),
+            "uv_category": uv_category(),
             "is_valid": weather_is_valid(),
             **audit_column("silver_ingestion_time", as_of),
         }
@@ -82,12 +81,11 @@ def build_silver_weather(weather: DataFrame, as_of: datetime | None = None) -> D
 
 def build_silver_solar(readings: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Bronze readings -> silver_solar; ``as_of`` adds the audit column."""
-    ratio = efficiency_ratio(F.col("production_kw"), F.col("panel_power_kw"))
     return readings.withColumns(
         {
             **calendar_parts(F.col("timestamp")),
-            "efficiency_ratio": ratio.try_cast("decimal(5,3)"),
-            "performance_category": performance_category(ratio),
+            "efficiency_ratio": F.expr(EFFICIENCY).try_cast("decimal(5,3)"),
+            "performance_category": performance_category(),
             "is_valid": reading_is_valid(),
             **audit_column("silver_ingestion_time", as_of),
         }

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sunledger.operators import anomalies, gold, monitoring, quality
 from sunledger.plans.fleet import Fleet
+from sunledger.session import materialise
 
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, 999999)
 NOON = datetime(2024, 1, 30, 12, 0, 0)
@@ -129,8 +130,8 @@ def anomaly_sudden_drop(f: Fleet) -> DataFrame:
 @query
 def anomaly_incremental(f: Fleet) -> DataFrame:
     """The evening run, after a run at noon has raised its share."""
-    at_noon = f.anomalies_of_first_run(NOON)
-    return _raised(anomalies.detect_anomalies(f.silver_solar, AS_OF, existing=at_noon))
+    at_noon = materialise(f.anomalies_of_first_run(NOON))
+    return _raised(f.detection_run(AS_OF, existing=at_noon))
 
 
 @query

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from sunledger.operators import anomalies, gold, silver
+from sunledger.session import materialise
 from sunledger.sources import events
 
 
@@ -62,7 +63,12 @@ class Fleet:
 
     def anomalies_of_first_run(self, as_of: datetime | None = None) -> DataFrame:
         """gold_anomalies after one detection run on an empty table."""
-        return anomalies.detect_anomalies(self.silver_solar, as_of or self.as_of)
+        return self.detection_run(as_of or self.as_of)
+
+    def detection_run(self, as_of: datetime, existing: DataFrame | None = None) -> DataFrame:
+        """One detection run; the panel profile is computed once for all detectors."""
+        profile = materialise(anomalies.panel_profile(self.silver_solar, as_of))
+        return anomalies.detect_anomalies(self.silver_solar, as_of, existing, profile)
 
     @cached_property
     def anomalies(self) -> DataFrame:
