@@ -13,7 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunledger.operators import anomalies, gold, monitoring, quality
+from sunledger import constants as C
+from sunledger.operators import (
+    anomalies,
+    climate,
+    economics,
+    energy,
+    gold,
+    monitoring,
+    pv_yield as pv,
+    quality,
+    ranking,
+)
+from sunledger.plans import feasibility
 from sunledger.plans.fleet import Fleet
 from sunledger.session import materialise
 
@@ -440,3 +452,268 @@ def live_series(f: Fleet) -> DataFrame:
 @query
 def latest_readings(f: Fleet) -> DataFrame:
     return monitoring.latest_readings(f.readings, AS_OF)
+
+
+# -------------------------------------------------------- climate, production
+
+
+def _rounded(df: DataFrame, scale: int = 6) -> DataFrame:
+    """Doubles from sums, deviations or trigonometry differ in the last digits between engines."""
+    return df.select(
+        *(
+            F.round(field.name, scale).alias(field.name)
+            if isinstance(field.dataType, T.DoubleType)
+            else F.col(field.name)
+            for field in df.schema.fields
+        )
+    )
+
+
+@query
+def climate_summary(f: Fleet) -> DataFrame:
+    return _rounded(climate.variable_summary(f.site_weather))
+
+
+@query
+def climate_percentiles(f: Fleet) -> DataFrame:
+    return _rounded(climate.variable_percentiles(f.site_weather))
+
+
+@query
+def band_histogram(f: Fleet) -> DataFrame:
+    return climate.band_histogram(f.site_weather)
+
+
+@query
+def band_matches(f: Fleet) -> DataFrame:
+    return climate.band_matches(
+        f.site_weather.select("id", "city", "uv_index"), "uv_index", C.UV_BANDS
+    )
+
+
+@query
+def predicate_share(f: Fleet) -> DataFrame:
+    return climate.predicate_shares(f.site_weather)
+
+
+@query
+def daily_extremes(f: Fleet) -> DataFrame:
+    return _rounded(climate.daily_extremes(climate.daily_totals(f.site_weather)))
+
+
+@query
+def daily_cloud_extremes(f: Fleet) -> DataFrame:
+    daily = climate.daily_totals(f.site_weather, "cloudcover", mean=True)
+    return _rounded(climate.daily_extremes(daily))
+
+
+@query
+def hour_profile(f: Fleet) -> DataFrame:
+    return climate.hour_profile(f.site_weather, "solar_potential")
+
+
+@query
+def hour_extremes(f: Fleet) -> DataFrame:
+    return climate.hour_extremes(f.site_weather, "solar_potential")
+
+
+@query
+def worst_day_conditions(f: Fleet) -> DataFrame:
+    return climate.worst_conditions(f.site_weather)
+
+
+@query
+def battery_sizing(f: Fleet) -> DataFrame:
+    return _rounded(climate.battery_sizing(climate.daily_totals(f.site_weather)))
+
+
+@query
+def simple_production(f: Fleet) -> DataFrame:
+    produced = pv.simple_production(f.site_weather)
+    return _rounded(produced.select("id", "city", "observation_time", "hourly_kwh"))
+
+
+# coordinates of the three cities of the weather view
+CITIES = (
+    C.Site(),
+    C.Site(city="Milan", latitude=45.4642, longitude=9.19, tilt_deg=30.0),
+    C.Site(city="Rome", latitude=41.9028, longitude=12.4964, azimuth_from_south_deg=15.0),
+)
+
+
+def _yields(f: Fleet) -> DataFrame:
+    """The physical model over all weather rows; wall clock is UTC + 1."""
+    sites = f.spark.createDataFrame(
+        [tuple(getattr(s, n) for n in ("city", *pv.SITE_COLUMNS)) for s in CITIES],
+        ["city", *pv.SITE_COLUMNS],
+    )
+    local = f.weather.selectExpr(
+        "id",
+        "city",
+        "timestamp + INTERVAL 1 HOUR AS ts_local",
+        "1D AS utc_offset_hours",
+        "CAST(temperature AS DOUBLE) AS temperature",
+        "humidity",
+        "CAST(wind_speed AS DOUBLE) AS wind_speed",
+        "least(cloud_cover, 100) AS cloudcover",
+    )
+    return pv.pv_yield(pv.with_sites(local, sites))
+
+
+@query
+def pv_yield(f: Fleet) -> DataFrame:
+    return _yields(f)
+
+
+@query
+def monthly_normals(f: Fleet) -> DataFrame:
+    rows = f.weather.select("id", F.col("timestamp").alias("ts_local"))
+    return _rounded(pv.monthly_normals(rows))
+
+
+@query
+def expected_vs_actual(f: Fleet) -> DataFrame:
+    return pv.expected_and_actual(_yields(f), f.readings)
+
+
+# ---------------------------------------------------------- energy, economics
+
+
+@query
+def load_profile(f: Fleet) -> DataFrame:
+    return energy.load_profile(f.site_hours).select("site_id", "ts_local", "load_kwh")
+
+
+@query
+def energy_flows(f: Fleet) -> DataFrame:
+    flows = energy.energy_flows(energy.load_profile(f.site_hours))
+    return flows.select(
+        "site_id",
+        "ts_local",
+        "load_kwh",
+        "system_hourly_kwh",
+        "self_consumed_kwh",
+        "grid_export_kwh",
+        "grid_import_kwh",
+    )
+
+
+@query
+def energy_balance(f: Fleet) -> DataFrame:
+    return _rounded(energy.energy_balance(energy.load_profile(f.site_hours)))
+
+
+@query
+def monthly_energy(f: Fleet) -> DataFrame:
+    return energy.monthly_energy(energy.energy_flows(energy.load_profile(f.site_hours)))
+
+
+@query
+def month_extremes(f: Fleet) -> DataFrame:
+    monthly = energy.monthly_energy(energy.energy_flows(energy.load_profile(f.site_hours)))
+    return energy.month_extremes(monthly)
+
+
+@query
+def cash_flow(f: Fleet) -> DataFrame:
+    return _rounded(feasibility.cash_flows(f.site_hours), 4)
+
+
+@query
+def scenario_metrics(f: Fleet) -> DataFrame:
+    return _rounded(feasibility.metrics(f.site_hours), 4)
+
+
+@query
+def size_sensitivity(f: Fleet) -> DataFrame:
+    return economics.size_sensitivity(feasibility.metrics(f.site_hours))
+
+
+@query
+def optimal_size(f: Fleet) -> DataFrame:
+    return _rounded(economics.optimal_size(feasibility.metrics(f.site_hours)), 4)
+
+
+@query
+def recommendation_score(f: Fleet) -> DataFrame:
+    scored = economics.recommendation_score(feasibility.metrics(f.site_hours))
+    return scored.select(
+        "site_id", "panel_size_kw", "score", "verdict", "strengths", "concerns"
+    )
+
+
+@query
+def scenario_ranking(f: Fleet) -> DataFrame:
+    return _rounded(feasibility.ranked_choices(f.site_hours))
+
+
+@query
+def panel_count(f: Fleet) -> DataFrame:
+    sized = economics.optimal_size(feasibility.metrics(f.site_hours))
+    return sized.select(
+        "site_id",
+        "panel_size_kw",
+        energy.panel_count(F.col("panel_size_kw")).alias("panels"),
+        F.lit(energy.roof_limit()).alias("roof_limit"),
+    )
+
+
+@query
+def chart_series(f: Fleet) -> DataFrame:
+    return _rounded(feasibility.trajectories(f.site_hours), 4)
+
+
+@query
+def season_chart(f: Fleet) -> DataFrame:
+    monthly = energy.monthly_energy(energy.energy_flows(energy.load_profile(f.site_hours)))
+    return _rounded(economics.season_series(monthly))
+
+
+def _period(f: Fleet) -> DataFrame:
+    return economics.period_totals(pv.simple_production(f.site_weather))
+
+
+def _shares(f: Fleet) -> DataFrame:
+    return economics.self_consumption_scenarios(_period(f))
+
+
+def _seasonal(f: Fleet) -> DataFrame:
+    return economics.seasonal_cash_flow(economics.best_share(_shares(f)))
+
+
+@query
+def self_consumption_scenarios(f: Fleet) -> DataFrame:
+    return _rounded(_shares(f))
+
+
+@query
+def best_self_consumption(f: Fleet) -> DataFrame:
+    return _rounded(economics.best_share(_shares(f)))
+
+
+@query
+def seasonal_cash_flow(f: Fleet) -> DataFrame:
+    return _rounded(_seasonal(f), 4)
+
+
+@query
+def seasonal_metrics(f: Fleet) -> DataFrame:
+    return _rounded(economics.seasonal_metrics(_seasonal(f)), 4)
+
+
+@query
+def solar_vs_grid(f: Fleet) -> DataFrame:
+    return _rounded(economics.solar_vs_grid(economics.seasonal_metrics(_seasonal(f))), 4)
+
+
+@query
+def simple_sensitivity(f: Fleet) -> DataFrame:
+    return economics.simple_sensitivity(economics.best_share(_shares(f)))
+
+
+@query
+def simple_score(f: Fleet) -> DataFrame:
+    metrics = economics.seasonal_metrics(_seasonal(f))
+    return economics.simple_score(metrics, economics.solar_vs_grid(metrics)).select(
+        "site_id", "payback_years", "score", "verdict", "strengths", "concerns"
+    )

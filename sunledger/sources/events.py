@@ -65,24 +65,36 @@ def weather_view(events: DataFrame) -> DataFrame:
 
 
 def site_hours_view(events: DataFrame) -> DataFrame:
-    """Hourly production per site; fifteen neighbouring panels make one site.
+    """Hourly production and weather per site; fifteen neighbouring panels make one site.
 
-    Columns: site_id, ts_local (hour), hourly_production_kwh.
+    Columns: site_id, ts_local (hour), hourly_production_kwh, temperature,
+    cloudcover, ghi_wm2.
     """
-    return (
+    hourly = (
         events.where("event_id % 499 <> 498")
+        .withColumn("k", F.expr(_K))
         .selectExpr(
             "'SITE-' || lpad(CAST(user_id DIV 15 AS STRING), 4, '0') AS site_id",
-            "date_trunc('hour', ts) AS ts_local",
+            "date_trunc('hour', ts) AS hour",
             "CAST(greatest(120 - value, 0) AS DECIMAL(8,3)) AS kw",
+            "k",
+            "(k * 13) % 104 AS cloud",
         )
-        .groupBy("site_id", "ts_local")
+        .groupBy("site_id", "hour")
         .agg(
-            (F.sum("kw").cast("double") / F.count("kw") / F.lit(40.0)).alias(
-                "hourly_production_kwh"
-            )
+            F.count(F.lit(1)).alias("n"),
+            F.sum("kw").alias("kw"),
+            F.sum("k").alias("k"),
+            F.sum("cloud").alias("cloud"),
         )
-        .withColumn("ts_local", F.col("ts_local").cast("timestamp_ntz"))
+    )
+    return hourly.selectExpr(
+        "site_id",
+        "CAST(hour AS TIMESTAMP_NTZ) AS ts_local",
+        "CAST(kw AS DOUBLE) / n / 37 AS hourly_production_kwh",
+        "CAST(k AS DOUBLE) / n - 25 AS temperature",
+        "CAST(cloud AS DOUBLE) / n AS cloudcover",
+        "CAST(kw AS DOUBLE) / n * 7 AS ghi_wm2",
     )
 
 
