@@ -1,6 +1,6 @@
 """DuckDB SQL that recomputes every registered query from the driver's tables."""
 
-from oracles import feasibility, medallion  # noqa: F401  (they register their queries)
+from oracles import feasibility, ingestion, medallion  # noqa: F401  (they register their queries)
 from oracles.base import ORACLES
 
 __all__ = ["ORACLES"]

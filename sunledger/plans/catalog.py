@@ -23,11 +23,14 @@ from sunledger.operators import (
     monitoring,
     pv_yield as pv,
     quality,
-    ranking,
+    silver as silver_ops,
 )
 from sunledger.plans import feasibility
 from sunledger.plans.fleet import Fleet
-from sunledger.session import materialise
+from sunledger.session import materialise, work_folder
+from sunledger.sources import messages
+from sunledger.sources.events import readings_view
+from sunledger.streaming import decode, ingest, rollup
 
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, 999999)
 NOON = datetime(2024, 1, 30, 12, 0, 0)
@@ -717,3 +720,71 @@ def simple_score(f: Fleet) -> DataFrame:
     return economics.simple_score(metrics, economics.solar_vs_grid(metrics)).select(
         "site_id", "payback_years", "score", "verdict", "strengths", "concerns"
     )
+
+
+# ------------------------------------------------------------------ ingestion
+
+
+@query
+def weather_payload_flatten(f: Fleet) -> DataFrame:
+    rows = decode.flatten_weather(messages.weather_payloads(f.weather), datetime(2024, 1, 31, 10))
+    return rows.drop("wind_direction")
+
+
+def _ingested(f: Fleet, dedup: str) -> str:
+    """Run the whole stream over all messages of the folder; returns the sink folder."""
+    base = work_folder(f.spark, "ingest")
+    lines = messages.reading_messages(f.readings)
+    lines.repartition(6).write.text(f"{base}/incoming")
+    stream = ingest.file_messages(f.spark, f"{base}/incoming", files_per_batch=3)
+    running = ingest.start_ingest(stream, f"{base}/sink", f"{base}/checkpoint", dedup=dedup)
+    running.awaitTermination()
+    return f"{base}/sink"
+
+
+def _readings_of(f: Fleet, dedup: str) -> DataFrame:
+    stored = ingest.read_readings(f.spark, _ingested(f, dedup))
+    return stored.drop(ingest.BATCH_COLUMN, "event_date")
+
+
+@query
+def stream_ingest(f: Fleet) -> DataFrame:
+    return _readings_of(f, "sink")
+
+
+@query
+def stream_ingest_state(f: Fleet) -> DataFrame:
+    return _readings_of(f, "state")
+
+
+@query
+def stream_rejects(f: Fleet) -> DataFrame:
+    rejects = ingest.read_rejects(f.spark, _ingested(f, "sink"))
+    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query
+def ingest_counters(f: Fleet) -> DataFrame:
+    return ingest.ingest_counters(f.spark, _ingested(f, "sink"))
+
+
+@query
+def stream_hourly_rollup(f: Fleet) -> DataFrame:
+    """The live roll-up run to its end; every trigger rewrites the (few) hours."""
+    base = work_folder(f.spark, "rollup")
+    arriving = (
+        f.spark.readStream.schema(f.events.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(f.folder)
+    )
+    stream = silver_ops.build_silver_solar(readings_view(arriving))
+    running = (
+        rollup.hourly_rollup(stream.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+        .writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/hours"))
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return f.spark.read.parquet(f"{base}/hours").drop("active_panels")
