@@ -63,9 +63,12 @@ def test_detection_runs_and_maintenance(lake, spark):
     assert lake.generation() == 1
 
 
-def test_health_job_raises_when_unhealthy(lake):
+def test_health_job_raises_when_unhealthy(lake, spark):
+    # no anomalies any more, no quality data in the last week: only stale
+    assert refresh.check_health(lake, datetime(2024, 6, 1)).first().health_score == 70
+    lake.replace_anomalies(Fleet(spark, SMALL, AS_OF).anomalies)
     with pytest.raises(refresh.PipelineUnhealthy, match="Stale data"):
-        refresh.check_health(lake, datetime(2024, 6, 1))
+        refresh.check_health(lake, datetime(2024, 2, 2))
 
 
 def test_gate_refuses_empty_input(spark, tmp_path):
