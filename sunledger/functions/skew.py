@@ -11,8 +11,7 @@ MAX_HOT_KEYS = 256
 SALTS = 64
 LOOKUP_SALTS = 32
 
-_HOT = "__hot"
-_SALT = "__salt"
+_HOT, _MARK, _FOUND, _SALT = "__hot", "__mark", "__found", "__salt"
 
 
 def hot_keys(
@@ -34,41 +33,76 @@ def skew_join(
     how: str = "inner",
     *,
     salt_by: Sequence[str],
-    hot: DataFrame | None = None,
+    right_salt_by: Sequence[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join on ``keys`` with the hot keys of ``left`` spread over ``salts`` tasks.
+    """Join on ``keys`` with the hot keys of either side spread over ``salts`` tasks.
 
-    Only the rows of ``right`` that belong to a hot key are replicated, so the
-    extra volume is below ``MAX_HOT_KEYS * salts`` times the rows per key of
-    ``right``.  Rows with a NULL key match nothing; they are spread the same
-    way instead of ending up in one task.  The salt is a hash of ``salt_by``
-    (an id of the row), hence the same when a lost task is run again.
+    The rows of a key that is hot on one side are split by a salt, and the rows
+    of that key on the other side are copied once per salt; all other keys join
+    as usual.  Rows of ``left`` with a NULL key match nothing; they are split
+    too instead of ending up in one task.  The salts are hashes of ``salt_by``
+    and ``right_salt_by`` (ids of the rows), hence the same when a lost task is
+    run again.  Without ``right_salt_by`` only the left side is split.
 
-    ``how`` is one of inner, left, left_semi, left_anti: the kinds in which a
-    row of ``left`` may be looked up in any copy of ``right``.
+    ``how`` is one of inner, left, left_semi, left_anti.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"skew_join cannot split the left side of a {how!r} join")
+    _check_kind(how)
     keys = list(keys)
-    if hot is None:
-        counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        hot = hot_keys(counted.where(_all_present(keys)), keys, "n")
-    marked = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    needs_salt = F.col(_HOT).isNotNull() | ~_all_present(keys)
-    salted_left = (
-        left.join(marked, keys, "left")
-        .withColumn(_SALT, F.when(needs_salt, spread).otherwise(F.lit(0)))
-        .drop(_HOT)
+    filtering = how in ("left_semi", "left_anti")
+    if filtering:
+        # only the presence of a key matters: one row per key cannot be hot
+        right = right.select(*keys).distinct()
+    hot_left = _find_hot(left, keys)
+    split_right = right_salt_by is not None and not filtering
+    a, b = f"{_SALT}_a", f"{_SALT}_b"
+
+    left = _marked(left, hot_left, keys, a)
+    right = _marked(right, hot_left, keys, a)
+    salted_left = left.withColumn(
+        a, F.when(F.col(a) | ~_all_present(keys), _salt(salt_by, salts)).otherwise(0)
     )
-    copies = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+    salted_right = right.withColumn(a, F.explode(_copies(F.col(a), salts)))
+    if not split_right:
+        return salted_left.join(salted_right, [*keys, a], how).drop(a)
+
+    hot_right = _find_hot(right, keys)
+    salted_left = _marked(salted_left, hot_right, keys, _HOT)
+    salted_left = salted_left.withColumn(b, F.explode(_copies(F.col(_HOT), salts)))
+    salted_right = _marked(salted_right, hot_right, keys, b).withColumn(
+        b, F.when(F.col(b), _salt(right_salt_by, salts)).otherwise(0)
     )
-    salted_right = (
-        right.join(marked, keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
+    joined = salted_left.join(salted_right.withColumn(_FOUND, F.lit(True)), [*keys, a, b], how)
+    # a key that is hot on the right has matches: its copies without one are not results
+    return joined.where(F.col(_FOUND).isNotNull() | ~F.col(_HOT)).drop(a, b, _HOT, _FOUND)
+
+
+def _check_kind(how: str) -> None:
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"the left side of a {how!r} join cannot be split")
+
+
+def _find_hot(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    counted = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return hot_keys(counted, keys, "n")
+
+
+def _marked(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """``df`` with a flag column: does the row have one of the (few) hot keys?"""
+    marks = F.broadcast(hot.withColumn(_MARK, F.lit(True)))
+    return (
+        df.join(marks, list(keys), "left")
+        .withColumn(flag, F.col(_MARK).isNotNull())
+        .drop(_MARK)
     )
-    return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
+
+
+def _salt(columns: Sequence[str], salts: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+
+
+def _copies(hot: Column, salts: int) -> Column:
+    return F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
 
 def salted_lookup(
@@ -86,11 +120,9 @@ def salted_lookup(
     is spread over as many tasks.  Cheaper than :func:`skew_join` where the
     copies are few against the rows of ``left``: no pass to find the hot keys.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted_lookup cannot split the left side of a {how!r} join")
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn(_SALT, spread).join(copies, [*keys, _SALT], how).drop(_SALT)
+    _check_kind(how)
+    copies = right.withColumn(_SALT, F.explode(_copies(F.lit(True), salts)))
+    return left.withColumn(_SALT, _salt(salt_by, salts)).join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
 def _all_present(keys: Sequence[str]) -> Column:

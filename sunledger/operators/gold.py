@@ -127,8 +127,8 @@ def combined_solar_weather(readings: DataFrame, weather: DataFrame) -> DataFrame
     """Each reading with every weather row of its hour (a reading without any keeps NULLs).
 
     An hour with several weather rows multiplies its readings: that is the
-    content of this view.  Readings of a busy hour are split over many tasks
-    and only that hour's weather is copied to them.
+    content of this view.  An hour that is busy on either side is split over
+    many tasks, and only that hour's rows of the other side are copied to them.
     """
     reading = readings.select(
         hour_of(F.col("timestamp"), readings).alias("hour"),
@@ -140,13 +140,21 @@ def combined_solar_weather(readings: DataFrame, weather: DataFrame) -> DataFrame
     )
     observed = weather.select(
         hour_of(F.col("timestamp"), weather).alias("hour"),
+        "id",
         F.col("temperature").alias("ambient_temperature"),
         "humidity",
         "wind_speed",
         "cloud_cover",
         "uv_index",
     )
-    joined = skew_join(reading, observed, ["hour"], "left", salt_by=["event_id", "timestamp"])
+    joined = skew_join(
+        reading,
+        observed,
+        ["hour"],
+        "left",
+        salt_by=["event_id", "timestamp"],
+        right_salt_by=["id"],
+    )
     return joined.select(
         "timestamp",
         "panel_id",

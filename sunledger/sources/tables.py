@@ -65,20 +65,9 @@ def refresh_table(df: DataFrame, location: str, ts: str | None = None) -> None:
 
 
 def refresh_days(df: DataFrame, location: str, ts: str = "timestamp") -> None:
-    """Incremental refresh: only the event dates that occur in ``df`` are replaced.
-
-    Rows are clustered by date with a salt of the row, so a day is written by
-    several tasks and no day by every task.
-    """
-    dated = _dated(df, ts)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (
-        dated.repartition(F.col(PARTITION_COLUMN), spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(location)
-    )
+    """Incremental refresh: only the event dates that occur in ``df`` are replaced."""
+    writer = _dated(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*_partition(ts)).parquet(location)
 
 
 def write_csv(df: DataFrame, location: str) -> None:
@@ -95,7 +84,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **opti
 
 
 def _dated(df: DataFrame, ts: str | None) -> DataFrame:
-    return df if ts is None else df.withColumn(PARTITION_COLUMN, F.to_date(ts))
+    """Rows clustered by event date for the writer.
+
+    The rebalance hint lets AQE merge small days and cut a big day into several
+    tasks, so there is neither a file per task and day nor one task per big day.
+    """
+    if ts is None:
+        return df
+    return df.withColumn(PARTITION_COLUMN, F.to_date(ts)).hint("rebalance", PARTITION_COLUMN)
 
 
 def _partition(ts: str | None) -> list[str]:

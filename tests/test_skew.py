@@ -41,6 +41,19 @@ def test_salted_lookup_equals_plain_join(sides, how):
     assert sorted(map(str, ours.select(*columns).collect())) == sorted(map(str, plain.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_both_sides_hot(spark, how):
+    left = [(i, "hot" if i % 3 else "l") for i in range(90)] + [(i, f"k{i}") for i in range(90, 900)]
+    left += [(i, None) for i in range(900, 910)] + [(i, "r") for i in range(910, 913)]
+    right = [(i, "hot") for i in range(40)] + [(i, "r") for i in range(40, 80)]
+    right += [(i, f"k{i}") for i in range(100, 300)]
+    left = spark.createDataFrame(left, "id INT, key STRING")
+    right = spark.createDataFrame(right, "rid INT, key STRING")
+    ours = skew_join(left, right, ["key"], how, salt_by=["id"], right_salt_by=["rid"], salts=7)
+    plain = left.join(right, "key", how)
+    assert sorted(map(str, ours.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
 def test_right_joins_are_refused(sides):
     left, right = sides
     with pytest.raises(ValueError, match="right"):
