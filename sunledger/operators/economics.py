@@ -29,7 +29,8 @@ def cash_flow(
     ``balances`` is :func:`sunledger.operators.energy.yearly_balances`.  Year 0
     is the installation.
     """
-    price = F.pow(F.lit(1 + econ.annual_rate_increase), F.col("year") - 1)
+    year = F.col("year")
+    price = F.pow(F.lit(1 + econ.annual_rate_increase), year - 1)
     exchanged = F.least("annual_exported_kwh", "annual_imported_kwh")
     earned = price * (
         F.col("annual_self_consumed_kwh") * econ.electricity_rate
@@ -37,24 +38,30 @@ def cash_flow(
         + exchanged * econ.incentive_rate
     )
     replaced = F.when(
-        F.col("year") == losses.inverter_replacement_year, losses.inverter_replacement_cost
+        year == losses.inverter_replacement_year, losses.inverter_replacement_cost
     ).otherwise(0.0)
     cost = F.col("size_kw") * econ.installation_cost_per_kw
-    flows = balances.withColumn("cash_flow", earned - econ.annual_maintenance - replaced)
-    start = balances.where(F.col("year") == 1).select(
-        SITE, "size_kw", F.lit(0).alias("year"), (-cost).alias("cash_flow")
-    )
+    energy = [name for name in balances.columns if name.startswith("annual_")]
     running = (
         Window.partitionBy(SITE, "size_kw")
         .orderBy("year")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return flows.unionByName(start, allowMissingColumns=True).withColumns(
-        {
-            "cumulative": F.sum("cash_flow").over(running),
-            "discounted": F.col("cash_flow")
-            / F.pow(F.lit(1 + econ.discount_rate), F.col("year")),
-        }
+    # the first year also yields the row of year 0, so the balances are read once
+    years = F.when(year == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(year))
+    return (
+        balances.withColumn("year", F.explode(years))
+        .withColumns({name: F.when(year > 0, F.col(name)) for name in energy})
+        .withColumn(
+            "cash_flow",
+            F.when(year == 0, -cost).otherwise(earned - econ.annual_maintenance - replaced),
+        )
+        .withColumns(
+            {
+                "cumulative": F.sum("cash_flow").over(running),
+                "discounted": F.col("cash_flow") / F.pow(F.lit(1 + econ.discount_rate), year),
+            }
+        )
     )
 
 
@@ -109,10 +116,11 @@ def scenario_metrics(flows: DataFrame, econ: C.Economics = C.Economics()) -> Dat
     )
 
 
-def size_sensitivity(metrics: DataFrame) -> DataFrame:
-    """The rounded comparison table of all sizes."""
+def size_sensitivity(metrics: DataFrame, *keep: str) -> DataFrame:
+    """The rounded comparison table of all sizes; ``keep`` names columns to pass on."""
     return metrics.select(
         SITE,
+        *keep,
         "panel_size_kw",
         F.bround("annual_production_kwh", 1).alias("annual_production_kwh"),
         F.bround("self_consumption_pct", 1).alias("self_consumption_pct"),

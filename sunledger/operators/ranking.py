@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger import constants as C
+from sunledger.operators.economics import size_sensitivity
 from sunledger.operators.energy import SITE, panel_count
 
 CRITERIA = ("payback", "value", "coverage", "self_consumption", "capex", "production")
@@ -69,20 +70,30 @@ def payback_number(shown: Column) -> Column:
 
 
 def scenario_ranking(
-    sensitivity: DataFrame,
-    current: DataFrame,
+    metrics: DataFrame,
+    current_kw: float = C.Panel().power_kw,
     weights: C.ChoiceWeights = C.ChoiceWeights(),
     top_k: int | None = None,
 ) -> DataFrame:
     """The ``top_k`` sizes of each site for each of the 81 choices; rank 1 is recommended.
 
-    ``sensitivity`` holds the candidate sizes, ``current`` one row per site:
-    panel_size_kw, demand_coverage_pct, installation_cost_euro.  The criteria
-    are scaled per site before the choices come in, so the windows run over
-    the candidate sizes only.
+    ``metrics`` holds the candidate sizes of each site, the current one among
+    them.  The criteria are scaled per site before the choices come in, so the
+    windows run over the candidate sizes only.
     """
     top_k = weights.top_k if top_k is None else top_k
     per_site = Window.partitionBy(SITE)
+
+    def of_current(column: str) -> Column:
+        is_current = F.col("panel_size_kw") == current_kw
+        return F.max(F.when(is_current, F.col(column))).over(per_site)
+
+    compared = metrics.withColumns(
+        {
+            "current_coverage": of_current("demand_coverage_pct"),
+            "current_cost": of_current("installation_cost_euro"),
+        }
+    )
     sources = {
         "payback": payback_number(F.col("payback_years")),
         "value": F.col("npv_25_years_euro"),
@@ -91,7 +102,9 @@ def scenario_ranking(
         "capex": F.col("installation_cost_euro"),
         "production": F.col("annual_production_kwh"),
     }
-    rated = sensitivity.withColumns({f"{n}_raw": value for n, value in sources.items()})
+    rated = size_sensitivity(compared, "current_coverage", "current_cost").withColumns(
+        {f"{n}_raw": value for n, value in sources.items()}
+    )
     rated = rated.withColumns(
         {f"{n}_low": F.min(f"{n}_raw").over(per_site) for n in CRITERIA}
         | {f"{n}_high": F.max(f"{n}_raw").over(per_site) for n in CRITERIA}
@@ -102,15 +115,7 @@ def scenario_ranking(
         unit = F.when(high == low, 0.5).otherwise((raw - low) / (high - low))
         return 1 - unit if name in ("payback", "capex") else unit
 
-    scored = rated.withColumns({f"{n}_score": scaled(n) for n in CRITERIA}).join(
-        current.select(
-            SITE,
-            F.col("panel_size_kw").alias("current_kw"),
-            F.col("demand_coverage_pct").alias("current_coverage"),
-            F.col("installation_cost_euro").alias("current_cost"),
-        ),
-        SITE,
-    )
+    scored = rated.withColumns({f"{n}_score": scaled(n) for n in CRITERIA})
     chosen = scored.withColumn("choice", _choices(weights)).withColumn(
         "within_budget",
         F.coalesce(
@@ -122,7 +127,7 @@ def scenario_ranking(
     )
     whole = Window.partitionBy(SITE, *(f"choice.{name}" for name in CHOICE))
     order = whole.orderBy(F.col("ranking_score").desc(), "panel_size_kw")
-    ranked = chosen.withColumn("ranking_score", weighted + _rules(weights)).withColumns(
+    ranked = chosen.withColumn("ranking_score", weighted + _rules(weights, current_kw)).withColumns(
         {
             "rank": F.row_number().over(order),
             "outside_budget": F.count_if(~F.col("within_budget")).over(whole),
@@ -141,7 +146,7 @@ def scenario_ranking(
     )
 
 
-def _rules(weights: C.ChoiceWeights) -> Column:
+def _rules(weights: C.ChoiceWeights, current_kw: float) -> Column:
     """Penalties and bonuses that depend on the choice."""
     size = F.col("panel_size_kw")
     profile, priority = F.col("choice.profile"), F.col("choice.priority")
@@ -152,7 +157,7 @@ def _rules(weights: C.ChoiceWeights) -> Column:
     rules = [
         (~F.col("within_budget"), weights.over_budget),
         (
-            (F.col("choice.budget") == "lean") & (size > F.col("current_kw")),
+            (F.col("choice.budget") == "lean") & (size > current_kw),
             LARGER_THAN_CURRENT_ON_LEAN,
         ),
         ((profile == "homeowner") & (F.col("self_consumption_pct") < low_self), low_self_points),

@@ -42,7 +42,7 @@ def uv_category(value: str = "uv_index") -> Column:
     return ladder(value, C.UV_LIMITS, C.UV_REST)
 
 
-def performance_category(ratio: str = EFFICIENCY) -> Column:
+def performance_category(ratio: str) -> Column:
     """From the unrounded ratio: 0.8004 is Excellent although it is stored as 0.800."""
     return ladder(ratio, C.PERFORMANCE_LIMITS, C.PERFORMANCE_REST, compare=">")
 
@@ -81,15 +81,16 @@ def build_silver_weather(weather: DataFrame, as_of: datetime | None = None) -> D
 
 def build_silver_solar(readings: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Bronze readings -> silver_solar; ``as_of`` adds the audit column."""
-    return readings.withColumns(
+    # the division is used by four expressions: computed once, below them
+    return readings.withColumn("ratio", F.expr(EFFICIENCY)).withColumns(
         {
             **calendar_parts(F.col("timestamp")),
-            "efficiency_ratio": F.expr(EFFICIENCY).try_cast("decimal(5,3)"),
-            "performance_category": performance_category(),
+            "efficiency_ratio": F.col("ratio").try_cast("decimal(5,3)"),
+            "performance_category": performance_category("ratio"),
             "is_valid": reading_is_valid(),
             **audit_column("silver_ingestion_time", as_of),
         }
-    )
+    ).drop("ratio")
 
 
 def audit_column(name: str, as_of: datetime | None) -> dict[str, Column]:

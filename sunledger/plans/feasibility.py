@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sunledger import constants as C
 from sunledger.operators import economics, energy, ranking
+from sunledger.session import materialise
 
 
 def cash_flows(hours: DataFrame) -> DataFrame:
@@ -18,32 +18,25 @@ def metrics(hours: DataFrame) -> DataFrame:
     return economics.scenario_metrics(cash_flows(hours))
 
 
-def current_system(scenarios: DataFrame, size_kw: float = C.Panel().power_kw) -> DataFrame:
-    return scenarios.where(F.col("panel_size_kw") == size_kw)
-
-
 def ranked_choices(hours: DataFrame) -> DataFrame:
     """Top sizes of every site for each of the client choices."""
-    scenarios = metrics(hours)
-    return ranking.scenario_ranking(
-        economics.size_sensitivity(scenarios), current_system(scenarios)
-    )
+    return ranking.scenario_ranking(metrics(hours))
 
 
 def trajectories(hours: DataFrame) -> DataFrame:
-    """Cumulative cash flow of the current against the optimal size."""
-    flows = cash_flows(hours)
+    """Cumulative cash flow of the current against the optimal size.
+
+    The flows (sites x sizes x years rows) are read by two branches: computed
+    once, apart from the hours.
+    """
+    flows = materialise(cash_flows(hours))
     best = economics.optimal_size(economics.scenario_metrics(flows))
     return economics.trajectory_series(flows, best, C.Panel().power_kw)
 
 
 def study(hours: DataFrame) -> dict[str, DataFrame]:
-    """All result tables of the study.
-
-    ``scenario_metrics`` (sites x sizes rows) feeds most of them: materialise it
-    before writing several tables from it.
-    """
-    flows = cash_flows(hours)
+    """All result tables of the study; the flows behind most of them are computed once."""
+    flows = materialise(cash_flows(hours))
     scenarios = economics.scenario_metrics(flows)
     best = economics.optimal_size(scenarios)
     hourly = energy.energy_flows(energy.load_profile(hours))

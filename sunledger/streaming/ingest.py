@@ -140,6 +140,7 @@ def batch_writer(
                 new = unseen(new, earlier, same_day_only)
             (
                 new.select(*_STORED, F.to_date("timestamp").alias(PARTITION_COLUMN))
+                .hint("rebalance", PARTITION_COLUMN)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy(PARTITION_COLUMN)
