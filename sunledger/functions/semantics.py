@@ -11,19 +11,29 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sums run on this type for every mean, so that a mean and its stored form share one sum.
-SUMMAND = "decimal(18,6)"
-
-
 def exact_mean(value: Column, when: Column | None = None) -> Column:
-    """Mean as DOUBLE from an exact DECIMAL sum: one rounding, whatever the partitioning."""
+    """Mean of a DECIMAL or integer column as DOUBLE.
+
+    The sum is exact, so there is one rounding whatever the partitioning; on
+    the narrow decimals of the tables Spark adds plain longs.
+    """
     picked = _picked(value, when)
     return exact_sum(picked) / F.nullif(F.count(picked), F.lit(0))
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum as DOUBLE, added up in DECIMAL (6 digits after the point)."""
-    return F.sum(value.cast(SUMMAND)).cast("double")
+    """Sum of a DECIMAL or integer column as DOUBLE."""
+    return F.sum(value).cast("double")
+
+
+def steady_mean(value: Column) -> Column:
+    """Mean of a DOUBLE column that does not depend on the order of the rows."""
+    return steady_sum(value) / F.nullif(F.count(value), F.lit(0))
+
+
+def steady_sum(value: Column) -> Column:
+    """Sum of a DOUBLE column, added up in DECIMAL with 6 digits after the point."""
+    return F.sum(value.cast("decimal(18,6)")).cast("double")
 
 
 def stored_mean(value: Column, precision: int, scale: int, when: Column | None = None) -> Column:
@@ -32,9 +42,9 @@ def stored_mean(value: Column, precision: int, scale: int, when: Column | None =
 
 
 def decimal_mean(value: Column) -> Column:
-    """Mean as DECIMAL with at least six spare digits."""
-    count = F.nullif(F.count(value), F.lit(0)).cast("decimal(10,0)")
-    return F.sum(value.cast(SUMMAND)).cast("decimal(28,6)") / count
+    """Mean of a DECIMAL or integer column as DECIMAL, with ten spare digits."""
+    count = F.nullif(F.count(value), F.lit(0)).cast("decimal(16,0)")
+    return F.sum(value).cast("decimal(28,6)") / count
 
 
 def _picked(value: Column, when: Column | None) -> Column:

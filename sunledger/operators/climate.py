@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sunledger import constants as C
 from sunledger.functions.quantiles import exact_quantiles
-from sunledger.functions.semantics import exact_mean, exact_sum, share
+from sunledger.functions.semantics import share, steady_mean, steady_sum
 
 VARIABLES = ("temperature", "cloudcover", "uv_index", "wind_speed", "solar_angle", "solar_potential")
 BANDS = {"cloudcover": C.CLOUD_BANDS, "uv_index": C.UV_BANDS, "wind_speed": C.WIND_BANDS}
@@ -32,11 +32,11 @@ def variable_summary(
     values = long_form(df, site, variables)
     value = F.col("value")
     moments = values.groupBy(site, "variable").agg(
-        exact_mean(value).alias("mean"),
+        steady_mean(value).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.stddev_samp(value).alias("std"),
-        exact_sum(value).alias("sum"),
+        steady_sum(value).alias("sum"),
     )
     medians = exact_quantiles(values, [site, "variable"], value, [0.5]).select(
         site, "variable", F.col("quantiles")[0].alias("median")
@@ -154,7 +154,7 @@ def daily_totals(
     df: DataFrame, value: str = "solar_potential", site: str = "city", mean: bool = False
 ) -> DataFrame:
     """(site, date, value): sum, or mean, of each day."""
-    measured = exact_mean(F.col(value)) if mean else exact_sum(F.col(value))
+    measured = steady_mean(F.col(value)) if mean else steady_sum(F.col(value))
     return df.groupBy(site, "date").agg(measured.alias("value"))
 
 
@@ -191,25 +191,33 @@ def daily_extremes(daily: DataFrame, site: str = "city") -> DataFrame:
 
 def hour_profile(df: DataFrame, value: str, site: str = "city") -> DataFrame:
     """Mean value by hour of day."""
-    return df.groupBy(site, "hour").agg(exact_mean(F.col(value)).alias("mean_value"))
+    return df.groupBy(site, "hour").agg(steady_mean(F.col(value)).alias("mean_value"))
 
 
 def hour_extremes(df: DataFrame, value: str, site: str = "city") -> DataFrame:
     """Peak and lowest hour (the first of equal ones) and the productive hours per day."""
-    by_hour = df.groupBy(site, "hour").agg(
-        exact_mean(F.col(value)).alias("mean_value"),
+    # one row per site, date and hour first: days and hours come from the same pass, and
+    # what is collected below is bounded by the calendar
+    cells = df.groupBy(site, "date", "hour").agg(
+        F.sum(F.col(value).cast("decimal(18,6)")).alias("total"),
+        F.count(value).alias("n"),
         F.count_if(F.col(value) > 0).alias("productive"),
     )
-    peaks = by_hour.groupBy(site).agg(
-        F.max_by("hour", F.struct("mean_value", -F.col("hour"))).alias("peak_hour"),
-        F.max("mean_value").alias("peak_value"),
-        F.min_by("hour", F.struct("mean_value", "hour")).alias("lowest_hour"),
-        F.min("mean_value").alias("lowest_value"),
-        F.sum("productive").alias("productive_hours"),
+    by_hour = cells.groupBy(site, "hour").agg(
+        (F.sum("total").cast("double") / F.nullif(F.sum("n"), F.lit(0))).alias("mean_value"),
+        F.sum("productive").alias("productive"),
+        F.collect_set("date").alias("dates"),
     )
-    days = df.groupBy(site).agg(F.count_distinct("date").alias("days"))
     return (
-        peaks.join(days, site)
+        by_hour.groupBy(site)
+        .agg(
+            F.max_by("hour", F.struct("mean_value", -F.col("hour"))).alias("peak_hour"),
+            F.max("mean_value").alias("peak_value"),
+            F.min_by("hour", F.struct("mean_value", "hour")).alias("lowest_hour"),
+            F.min("mean_value").alias("lowest_value"),
+            F.sum("productive").alias("productive_hours"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("days"),
+        )
         .withColumn("productive_hours_per_day", F.col("productive_hours") / F.col("days"))
         .drop("days")
     )
@@ -228,9 +236,9 @@ def worst_conditions(df: DataFrame, site: str = "city") -> DataFrame:
         "wind_speed",
     )
     days = df.groupBy(site, "date").agg(
-        exact_sum(F.col("solar_potential")).alias("value"),
-        exact_mean(F.col("cloudcover")).alias("cloud"),
-        exact_mean(F.col("temperature")).alias("temp"),
+        steady_sum(F.col("solar_potential")).alias("value"),
+        steady_mean(F.col("cloudcover")).alias("cloud"),
+        steady_mean(F.col("temperature")).alias("temp"),
         F.count_if(F.col("solar_potential") > 0).alias("productive"),
         F.min(hour).alias("worst"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger import constants as C
-from sunledger.functions.semantics import exact_mean
+from sunledger.functions.semantics import exact_mean, steady_mean
 from sunledger.functions.skew import salted_lookup
 from sunledger.functions.sun import IRRADIANCE_STEPS, PANEL_STEPS, POSITION_STEPS
 
@@ -116,7 +116,7 @@ def monthly_normals(
 def expected_and_actual(yields: DataFrame, readings: DataFrame) -> DataFrame:
     """Model against meter, by city and hour: both sides are reduced to one row per hour."""
     modelled = yields.groupBy("city", F.date_trunc("hour", "timestamp").alias("hour")).agg(
-        exact_mean(F.col("production_kw")).alias("expected_kw")
+        steady_mean(F.col("production_kw")).alias("expected_kw")
     )
     metered = readings.groupBy("city", F.date_trunc("hour", "timestamp").alias("hour")).agg(
         exact_mean(F.col("production_kw")).alias("actual_kw")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,13 +37,15 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     The cluster names the shared location in ``spark.checkpoint.dir``.  Only a
     session without it (a unit test) falls back to a local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="sunledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sunledger-")
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, into the shared checkpoint folder.
 

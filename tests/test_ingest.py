@@ -206,3 +206,26 @@ def test_batch_and_stream_share_the_decoder(spark):
     assert "reject_reason" in decode.decode_readings(
         spark.createDataFrame([("x",)], "value STRING").select(F.col("value").cast("binary"))
     ).columns
+
+
+def test_live_windows_slide(spark, tmp_path):
+    from sunledger.streaming import rollup
+
+    rows = [(datetime(2026, 4, 12, 12, m), "P1", 1.0 + m, True) for m in (0, 7, 31)]
+    df = spark.createDataFrame(rows, "timestamp TIMESTAMP, panel_id STRING, production_kw DOUBLE, is_valid BOOLEAN")
+    df.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    query = (
+        rollup.live_windows(stream)
+        .writeStream.format("memory")
+        .queryName("live_windows")
+        .outputMode("complete")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    windows = {r.window_start.strftime("%H:%M"): r for r in spark.table("live_windows").collect()}
+    assert windows["11:35"].readings == 1
+    assert windows["12:00"].readings == 2 and windows["12:00"].peak_production_kw == 8.0
+    assert windows["12:05"].readings == 2
+    assert windows["12:30"].active_panels == 1
