@@ -15,18 +15,27 @@ from pyspark.sql import functions as F
 PARTITION_COLUMN = "event_date"
 
 
-def moment_like(df: DataFrame, column: str, moment: datetime) -> Column:
-    """``moment`` as a literal of the type of ``column`` (TIMESTAMP or TIMESTAMP_NTZ)."""
+def moment_text(df: DataFrame, column: str, moment: datetime) -> str:
+    """``moment`` as a SQL literal of the type of ``column`` (TIMESTAMP or TIMESTAMP_NTZ)."""
     kind = df.schema[column].dataType.typeName().upper()
-    return F.expr(f"{kind} '{moment.isoformat(sep=' ', timespec='microseconds')}'")
+    return f"{kind} '{moment.isoformat(sep=' ', timespec='microseconds')}'"
+
+
+def moment_like(df: DataFrame, column: str, moment: datetime) -> Column:
+    return F.expr(moment_text(df, column, moment))
+
+
+def _partitioned(df: DataFrame, *conditions: str) -> str:
+    """The same bounds on the partition column, where the table has one."""
+    if PARTITION_COLUMN not in df.columns:
+        return ""
+    return "".join(f" AND {PARTITION_COLUMN} {condition}" for condition in conditions)
 
 
 def visible(df: DataFrame, as_of: datetime, ts: str = "timestamp") -> DataFrame:
     """Rows a live table would hold at ``as_of``."""
-    df = df.where(F.col(ts) <= moment_like(df, ts, as_of))
-    if PARTITION_COLUMN in df.columns:
-        df = df.where(F.col(PARTITION_COLUMN) <= F.lit(as_of.date()))
-    return df
+    end = moment_text(df, ts, as_of)
+    return df.where(f"{ts} <= {end}" + _partitioned(df, f"<= DATE '{as_of.date()}'"))
 
 
 def recent(
@@ -37,32 +46,28 @@ def recent(
     inclusive: bool = False,
 ) -> DataFrame:
     """Rows of the last ``span`` up to ``as_of``; ``inclusive`` keeps the lower bound."""
-    start = as_of - span
-    bound = moment_like(df, ts, start)
-    df = visible(df, as_of, ts).where(F.col(ts) >= bound if inclusive else F.col(ts) > bound)
-    if PARTITION_COLUMN in df.columns:
-        df = df.where(F.col(PARTITION_COLUMN) >= F.lit(start.date()))
-    return df
+    first = as_of - span
+    start, end = moment_text(df, ts, first), moment_text(df, ts, as_of)
+    days = _partitioned(df, f">= DATE '{first.date()}'", f"<= DATE '{as_of.date()}'")
+    return df.where(f"{ts} {'>=' if inclusive else '>'} {start} AND {ts} <= {end}" + days)
 
 
 def on_day(df: DataFrame, day: date, as_of: datetime, ts: str = "timestamp") -> DataFrame:
     """Rows of one calendar day, as a half-open range rather than a function of the column."""
-    start = datetime.combine(day, time.min)
-    df = visible(df, as_of, ts).where(
-        (F.col(ts) >= moment_like(df, ts, start))
-        & (F.col(ts) < moment_like(df, ts, start + timedelta(days=1)))
-    )
-    if PARTITION_COLUMN in df.columns:
-        df = df.where(F.col(PARTITION_COLUMN) == F.lit(day))
-    return df
+    end = moment_text(df, ts, as_of)
+    days = _partitioned(df, f"= DATE '{day}'")
+    return df.where(f"{_day_range(df, day, ts)} AND {ts} <= {end}" + days)
 
 
 def in_day(df: DataFrame, day: date, ts: str = "timestamp") -> Column:
     """Predicate form of :func:`on_day`, for conditional aggregates."""
+    return F.expr(_day_range(df, day, ts))
+
+
+def _day_range(df: DataFrame, day: date, ts: str) -> str:
     start = datetime.combine(day, time.min)
-    return (F.col(ts) >= moment_like(df, ts, start)) & (
-        F.col(ts) < moment_like(df, ts, start + timedelta(days=1))
-    )
+    bounds = (moment_text(df, ts, moment) for moment in (start, start + timedelta(days=1)))
+    return "{0} >= {1} AND {0} < {2}".format(ts, *bounds)
 
 
 def hours_between(later: Column, earlier: Column) -> Column:

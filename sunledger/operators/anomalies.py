@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sunledger.functions.clock import in_day, moment_like, on_day, recent, visible
 from sunledger.functions.semantics import exact_mean, one_row, stored_mean
 from sunledger.functions.skew import salted_lookup
-from sunledger.schemas import GOLD_ANOMALIES, conform
+from sunledger.schemas import GOLD_ANOMALIES
 
 # Names and limits of the anomaly classes
 LOW = "Low Production"
@@ -62,6 +62,11 @@ def panel_profile(silver_solar: DataFrame, as_of: datetime) -> DataFrame:
             stored_mean(production, 8, 3, is_today).alias("today_stored"),
             stored_mean(production, 8, 3, is_yesterday).alias("yesterday_stored"),
             F.max("timestamp").alias("last_seen"),
+            F.count(F.when(valid, F.col("temperature_c"))).alias("temp_n"),
+            F.sum(F.when(valid, F.col("temperature_c"))).alias("temp_sum"),
+            # valid temperatures have two digits before the point
+            F.sum(F.when(valid, F.expr("CAST(temperature_c * temperature_c AS DECIMAL(8,2))")))
+            .alias("temp_squares"),
         )
     )
 
@@ -102,46 +107,51 @@ def detect_low_production(
         ["panel_id"],
         salt_by=["event_id", "timestamp"],
     ).withColumn("z", _z(F.col("production_kw")))
-    critical = F.col("z") < -CRITICAL_Z
-    average = F.col("avg_production")
     return _as_anomalies(
         scored.where(F.col("z") < -WARNING_Z),
         as_of,
-        anomaly_type=F.when(critical, CRITICAL_LOW).otherwise(LOW),
-        severity=F.when(critical, CRITICAL).otherwise(WARNING),
-        expected=F.col("avg_stored"),
-        actual=F.col("production_kw"),
-        deviation=F.try_divide(100.0 * (average - F.col("production_kw").cast("double")), average),
-        identity=[F.col("event_id"), F.col("timestamp").cast("string")],
+        anomaly_type=f"IF(z < -{CRITICAL_Z}D, '{CRITICAL_LOW}', '{LOW}')",
+        severity=f"IF(z < -{CRITICAL_Z}D, '{CRITICAL}', '{WARNING}')",
+        expected="avg_stored",
+        actual="production_kw",
+        deviation="try_divide(100D * (avg_production - CAST(production_kw AS DOUBLE)), avg_production)",
+        identity="event_id, CAST(timestamp AS STRING)",
     )
 
 
-def fleet_temperature_stats(silver_solar: DataFrame, as_of: datetime) -> DataFrame:
-    """One row: mean and sample deviation of the valid panel temperatures of seven days."""
-    return (
-        recent(silver_solar, as_of, LOOK_BACK)
-        .where("is_valid")
-        .agg(
-            exact_mean(F.col("temperature_c")).alias("avg_temp"),
-            stored_mean(F.col("temperature_c"), 8, 3).alias("avg_stored"),
-            F.stddev_samp(F.col("temperature_c").cast("double")).alias("stddev_temp"),
-        )
+def fleet_temperature_stats(profile: DataFrame) -> DataFrame:
+    """One row: mean and sample deviation of the fleet's valid temperatures.
+
+    From the exact sums of the panels, so the readings are not scanned again.
+    """
+    summed = profile.selectExpr(
+        "CAST(sum(temp_n) AS DECIMAL(13,0)) AS n",
+        "CAST(sum(temp_sum) AS DECIMAL(17,1)) AS s",
+        "CAST(sum(temp_squares) AS DECIMAL(19,2)) AS q",
+    )
+    return summed.selectExpr(
+        "CAST(s AS DOUBLE) / nullif(n, 0) AS avg_temp",
+        "CAST(CAST(s AS DECIMAL(28,6)) / nullif(n, 0) AS DECIMAL(8,3)) AS avg_stored",
+        "sqrt(CAST(n * q - s * s AS DOUBLE) / nullif(CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE), 0)) "
+        "AS stddev_temp",
     )
 
 
 def detect_high_temperature(
-    silver_solar: DataFrame, as_of: datetime, existing: DataFrame | None = None
+    silver_solar: DataFrame,
+    as_of: datetime,
+    existing: DataFrame | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Readings of today more than two deviations above the fleet's mean temperature."""
-    fleet = one_row(fleet_temperature_stats(silver_solar, as_of))
-    temperature = F.col("temperature_c").cast("double")
+    profile = panel_profile(silver_solar, as_of) if profile is None else profile
     scored = (
         on_day(silver_solar, as_of.date(), as_of)
         .select("event_id", "timestamp", "panel_id", "temperature_c")
-        .withColumn("fleet", fleet)
+        .withColumn("fleet", one_row(fleet_temperature_stats(profile)))
         .withColumn(
             "z",
-            F.try_divide(temperature - F.col("fleet.avg_temp"), F.col("fleet.stddev_temp")),
+            F.expr("try_divide(CAST(temperature_c AS DOUBLE) - fleet.avg_temp, fleet.stddev_temp)"),
         )
         .where(F.col("z") > WARNING_Z)
     )
@@ -153,16 +163,15 @@ def detect_high_temperature(
             "left_anti",
             salt_by=["event_id", "timestamp"],
         )
-    average = F.col("fleet.avg_temp")
     return _as_anomalies(
         scored,
         as_of,
-        anomaly_type=F.lit(HIGH_TEMPERATURE),
-        severity=F.when(F.col("z") > CRITICAL_Z, CRITICAL).otherwise(WARNING),
-        expected=F.col("fleet.avg_stored"),
-        actual=F.col("temperature_c"),
-        deviation=F.try_divide(100.0 * (temperature - average), average),
-        identity=[F.col("event_id"), F.col("timestamp").cast("string")],
+        anomaly_type=f"'{HIGH_TEMPERATURE}'",
+        severity=f"IF(z > {CRITICAL_Z}D, '{CRITICAL}', '{WARNING}')",
+        expected="fleet.avg_stored",
+        actual="temperature_c",
+        deviation="try_divide(100D * (CAST(temperature_c AS DOUBLE) - fleet.avg_temp), fleet.avg_temp)",
+        identity="event_id, CAST(timestamp AS STRING)",
     )
 
 
@@ -189,8 +198,8 @@ def detect_missing_data(
     return _as_anomalies(
         silent,
         as_of,
-        anomaly_type=F.lit(MISSING),
-        severity=F.when(~unknown & (F.col("readings_today") > 0), WARNING).otherwise(CRITICAL),
+        anomaly_type=f"'{MISSING}'",
+        severity=f"IF(panel_id IS NOT NULL AND readings_today > 0, '{WARNING}', '{CRITICAL}')",
     )
 
 
@@ -204,7 +213,9 @@ def detect_missing_simple(silver_solar: DataFrame, as_of: datetime) -> DataFrame
         F.col("panel_id").isNull()
         | (F.col("last_seen") < moment_like(last_seen, "last_seen", midnight))
     )
-    return _as_anomalies(absent, as_of, anomaly_type=F.lit(MISSING), severity=F.lit(CRITICAL))
+    return _as_anomalies(
+        absent, as_of, anomaly_type=f"'{MISSING}'", severity=f"'{CRITICAL}'"
+    )
 
 
 def detect_sudden_drop(
@@ -227,11 +238,11 @@ def detect_sudden_drop(
     return _as_anomalies(
         drops,
         as_of,
-        anomaly_type=F.lit(DROP),
-        severity=F.when(F.col("drop_pct") > CRITICAL_DROP_PCT, CRITICAL).otherwise(WARNING),
-        expected=F.col("yesterday_stored"),
-        actual=F.col("today_stored"),
-        deviation=F.col("drop_pct"),
+        anomaly_type=f"'{DROP}'",
+        severity=f"IF(drop_pct > {CRITICAL_DROP_PCT}D, '{CRITICAL}', '{WARNING}')",
+        expected="yesterday_stored",
+        actual="today_stored",
+        deviation="drop_pct",
     )
 
 
@@ -247,13 +258,13 @@ def detect_anomalies(
     different names, so checking all of them against this one snapshot equals
     inserting them one after the other.
 
-    Three detectors read ``profile``.  Pass a written or checkpointed one (see
+    All detectors read ``profile``.  Pass a written or checkpointed one (see
     :func:`sunledger.session.materialise`) to scan the seven days only once.
     """
     profile = panel_profile(silver_solar, as_of) if profile is None else profile
     classes = [
         detect_low_production(silver_solar, as_of, existing, profile),
-        detect_high_temperature(silver_solar, as_of, existing),
+        detect_high_temperature(silver_solar, as_of, existing, profile),
         detect_missing_data(silver_solar, as_of, existing, profile),
         detect_sudden_drop(silver_solar, as_of, existing, profile),
     ]
@@ -352,31 +363,34 @@ def _as_anomalies(
     found: DataFrame,
     as_of: datetime,
     *,
-    anomaly_type: Column,
-    severity: Column,
-    expected: Column | None = None,
-    actual: Column | None = None,
-    deviation: Column | None = None,
-    identity: list[Column] | None = None,
+    anomaly_type: str,
+    severity: str,
+    expected: str = "NULL",
+    actual: str = "NULL",
+    deviation: str = "NULL",
+    identity: str = "NULL",
 ) -> DataFrame:
-    nothing = F.lit(None)
-    detected = F.lit(as_of.isoformat(sep=" ", timespec="microseconds"))
+    """Rows of gold_anomalies; the arguments are SQL expressions over ``found``."""
+    day = f"DATE '{as_of.date()}'"
     columns = {
         # the same anomaly gets the same id in every run and on every executor
-        "anomaly_id": F.xxhash64(
-            F.lit(as_of.date()), F.col("panel_id"), anomaly_type, *(identity or [])
-        ),
-        "detection_time": detected,
-        "anomaly_date": F.lit(as_of.date()),
-        "panel_id": F.col("panel_id"),
+        "anomaly_id": f"xxhash64({day}, panel_id, {anomaly_type}, {identity})",
+        "detection_time": f"TIMESTAMP_NTZ '{as_of.isoformat(sep=' ', timespec='microseconds')}'",
+        "anomaly_date": day,
+        "panel_id": "panel_id",
         "anomaly_type": anomaly_type,
         "severity": severity,
-        "expected_value": nothing if expected is None else expected,
-        "actual_value": nothing if actual is None else actual,
-        "deviation_percentage": nothing if deviation is None else F.round(deviation, 2),
-        "weather_conditions": nothing,
-        "resolution_status": F.lit(OPEN),
-        "resolution_notes": nothing,
-        "resolved_time": nothing,
+        "expected_value": expected,
+        "actual_value": actual,
+        "deviation_percentage": f"round({deviation}, 2)",
+        "weather_conditions": "NULL",
+        "resolution_status": f"'{OPEN}'",
+        "resolution_notes": "NULL",
+        "resolved_time": "NULL",
     }
-    return found.select(*conform(columns, GOLD_ANOMALIES))
+    return found.selectExpr(
+        *(
+            f"CAST({columns[field.name]} AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in GOLD_ANOMALIES.fields
+        )
+    )
