@@ -34,12 +34,15 @@ def exact_quantiles(
     one cell.
     """
     groups = list(groups)
+    valued = df.select(*groups, value.cast("double").alias("v")).withColumn(
+        "cell", _coarse(F.col("v"))
+    )
+    # both branches below read these counts; with every NULL test already here, neither gets
+    # filters of its own and Spark shuffles the counts once
     freq = (
-        df.select(*groups, value.cast("double").alias("v"))
-        .where(F.col("v").isNotNull())
-        .groupBy(*groups, "v")
+        valued.where(" AND ".join(f"{name} IS NOT NULL" for name in (*groups, "v", "cell")))
+        .groupBy(*groups, "cell", "v")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", _coarse(F.col("v")))
     )
 
     whole = Window.partitionBy(*groups)

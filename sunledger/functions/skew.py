@@ -55,6 +55,7 @@ def skew_join(
         right = right.select(*keys).distinct()
     hot_left = _find_hot(left, keys)
     split_right = right_salt_by is not None and not filtering
+    hot_right = _find_hot(right, keys) if split_right else None
     a, b = f"{_SALT}_a", f"{_SALT}_b"
 
     left = _marked(left, hot_left, keys, a)
@@ -66,7 +67,6 @@ def skew_join(
     if not split_right:
         return salted_left.join(salted_right, [*keys, a], how).drop(a)
 
-    hot_right = _find_hot(right, keys)
     salted_left = _marked(salted_left, hot_right, keys, _HOT)
     salted_left = salted_left.withColumn(b, F.explode(_copies(F.col(_HOT), salts)))
     salted_right = _marked(salted_right, hot_right, keys, b).withColumn(
