@@ -43,6 +43,7 @@ def query(function: Callable[[Fleet], DataFrame]) -> Callable[[Fleet], DataFrame
     """Register ``function`` under its own name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return publish(function(Fleet(spark, folder, AS_OF)))
 
     QUERIES[function.__name__] = run
@@ -737,7 +738,13 @@ def _ingested(f: Fleet, dedup: str) -> str:
     lines = messages.reading_messages(f.readings)
     lines.repartition(6).write.text(f"{base}/incoming")
     stream = ingest.file_messages(f.spark, f"{base}/incoming", files_per_batch=3)
-    running = ingest.start_ingest(stream, f"{base}/sink", f"{base}/checkpoint", dedup=dedup)
+    running = ingest.start_ingest(
+        stream,
+        f"{base}/sink",
+        f"{base}/checkpoint",
+        dedup=dedup,
+        state_partitions=f.spark.sparkContext.defaultParallelism,
+    )
     running.awaitTermination()
     return f"{base}/sink"
 

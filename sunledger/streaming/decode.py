@@ -85,15 +85,14 @@ def flatten_weather(
 
     ``as_of`` is the moment of the fetch: a literal or a column of ``payloads``.
     """
-    fetched = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    fetched = fetched.cast("timestamp")
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_of.isoformat(sep=" "))
     text = F.col("value").cast("string")
     parsed = payloads.withColumns(
         {
             "keys": F.json_object_keys(text),
             "named": F.json_object_keys(F.get_json_object(text, "$.location")),
             "p": F.from_json(text, WEATHER_PAYLOAD),
-            "fetched": fetched,
+            "fetched": moment.cast("timestamp"),
         }
     ).where(
         _has_key(F.col("keys"), "current")

@@ -22,6 +22,7 @@ from sunledger.schemas import SOLAR_PANEL_READINGS
 from sunledger.streaming.decode import decode_readings
 
 BATCH_COLUMN = "ingest_batch"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _STORED = [n for n in SOLAR_PANEL_READINGS.names if n not in ("id", "ingestion_timestamp")]
 READINGS_SCHEMA = T.StructType(
     [SOLAR_PANEL_READINGS[name] for name in _STORED]
@@ -167,6 +168,7 @@ def start_ingest(
     *,
     dedup: str = "sink",
     same_day_only: bool = False,
+    state_partitions: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the ingest query: decode, drop repeated event ids, write good rows and rejects.
@@ -178,7 +180,9 @@ def start_ingest(
       (``same_day_only`` narrows that to the days of the batch).
     * ``state``: ids are kept in the query's state store, so a batch costs as
       much as its own rows whatever the size of the table.  The choice for a
-      large table with one writer; use the RocksDB state store.
+      large table with one writer; use the RocksDB state store.  The number of
+      ``state_partitions`` (default: the session's shuffle partitions) stays
+      for the life of the checkpoint.
 
     Neither forgets an id: a late, never-seen event is always kept.
     """
@@ -187,10 +191,7 @@ def start_ingest(
     spark = messages.sparkSession
     decoded = decode_readings(messages)
     if dedup == "state":
-        keyed = F.col("reject_reason").isNull() & F.col("event_id").isNotNull()
-        decoded = decoded.where(keyed).dropDuplicates(["event_id"]).unionByName(
-            decoded.where(~keyed)
-        )
+        decoded = _first_of_all_time(decoded)
     _create(spark, f"{folder}/readings", READINGS_SCHEMA, [BATCH_COLUMN, PARTITION_COLUMN])
     _create(spark, f"{folder}/rejects", REJECTS_SCHEMA, [BATCH_COLUMN])
     _create(spark, f"{folder}/counters", COUNTERS_SCHEMA, [BATCH_COLUMN])
@@ -200,12 +201,38 @@ def start_ingest(
         against_sink=dedup == "sink",
         same_day_only=same_day_only,
     )
-    return (
+    query = (
         decoded.writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    if state_partitions is None:
+        return query.start()
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, state_partitions)
+    try:
+        # a query takes its own copy of the settings when it starts
+        return query.start()
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
+def _first_of_all_time(decoded: DataFrame) -> DataFrame:
+    """One row per event id over the life of the query; rejects and rows without an id pass.
+
+    Copies are dropped per source task first: an id that makes up a large part
+    of a batch is spread over the tasks of the source, and only one row of each
+    goes to the task that owns the id.
+    """
+    keyed = F.col("reject_reason").isNull() & F.col("event_id").isNotNull()
+    once = (
+        decoded.withColumn("source_task", F.spark_partition_id())
+        .where(keyed)
+        .dropDuplicates(["event_id", "source_task"])
+        .dropDuplicates(["event_id"])
+        .drop("source_task")
+    )
+    return once.unionByName(decoded.where(~keyed))
 
 
 def _stream_name(spark: SparkSession, checkpoint: str) -> Callable[[], str]:
