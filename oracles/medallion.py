@@ -156,27 +156,30 @@ oracle(
     min(timestamp) AS earliest_record, max(timestamp) AS latest_record FROM weather UNION ALL
     SELECT 'solar_panel_readings', count(*), min(timestamp), max(timestamp) FROM readings""",
 )
+
+
+def outside(column: str, low: str, high: str, alias: str) -> str:
+    return f"count(*) FILTER (WHERE {column} NOT BETWEEN {low} AND {high}) AS {alias}"
+
+
 oracle(
     "weather_dq",
     "weather",
-    """SELECT count(*) AS total_records,
-    count(CASE WHEN temperature IS NULL THEN 1 END) AS null_temperature,
-    count(CASE WHEN humidity IS NULL THEN 1 END) AS null_humidity,
-    count(CASE WHEN temperature < -30 OR temperature > 50 THEN 1 END) AS out_of_range_temp,
-    count(CASE WHEN humidity < 0 OR humidity > 100 THEN 1 END) AS invalid_humidity,
-    count(CASE WHEN cloud_cover < 0 OR cloud_cover > 100 THEN 1 END) AS invalid_cloud_cover
-    FROM weather""",
+    f"""SELECT count(*) AS total_records, count(*) - count(temperature) AS null_temperature,
+    count(*) - count(humidity) AS null_humidity,
+    {outside('temperature', '-30', '50', 'out_of_range_temp')},
+    {outside('humidity', '0', '100', 'invalid_humidity')},
+    {outside('cloud_cover', '0', '100', 'invalid_cloud_cover')} FROM weather""",
 )
 oracle(
     "reading_dq",
-    "readings",
-    """SELECT count(*) AS total_records, count(DISTINCT panel_id) AS unique_panels,
-    count(CASE WHEN production_kw IS NULL THEN 1 END) AS null_production,
-    count(CASE WHEN production_kw < 0 THEN 1 END) AS negative_production,
-    count(CASE WHEN temperature_c < -30 OR temperature_c > 60 THEN 1 END) AS out_of_range_temp,
-    count(CASE WHEN cloud_factor < 0 OR cloud_factor > 1 THEN 1 END) AS invalid_cloud_factor,
-    count(CASE WHEN temp_efficiency < 0.5 OR temp_efficiency > 1.5 THEN 1 END)
-      AS invalid_efficiency FROM readings""",
+    "scaled",
+    f"""SELECT count(*) AS total_records, count(DISTINCT panel_id) AS unique_panels,
+    count(*) - count(p_m) AS null_production,
+    count(*) FILTER (WHERE p_m < 0) AS negative_production,
+    {outside('t_d', '-300', '600', 'out_of_range_temp')},
+    {outside('cloud_factor', '0', '1', 'invalid_cloud_factor')},
+    {outside('temp_efficiency', '0.5', '1.5', 'invalid_efficiency')} FROM scaled""",
 )
 oracle(
     "panel_summary",

@@ -111,9 +111,9 @@ def scenario_ranking(
     )
 
     def scaled(name: str) -> Column:
-        raw, low, high = (F.col(f"{name}_{part}") for part in ("raw", "low", "high"))
-        unit = F.when(high == low, 0.5).otherwise((raw - low) / (high - low))
-        return 1 - unit if name in ("payback", "capex") else unit
+        raw, low, high = (f"{name}_{part}" for part in ("raw", "low", "high"))
+        unit = f"CASE WHEN {high} = {low} THEN 0.5D ELSE ({raw} - {low}) / ({high} - {low}) END"
+        return F.expr(f"1D - {unit}" if name in ("payback", "capex") else unit)
 
     scored = rated.withColumns({f"{n}_score": scaled(n) for n in CRITERIA})
     chosen = scored.withColumn("choice", _choices(weights)).withColumn(
@@ -122,9 +122,7 @@ def scenario_ranking(
             F.col("installation_cost_euro") <= F.col("choice.budget_limit"), F.lit(True)
         ),
     )
-    weighted = sum(
-        (F.col(f"{name}_score") * F.col(f"choice.{name}") for name in CRITERIA), start=F.lit(0.0)
-    )
+    weighted = F.expr(" + ".join(f"{name}_score * choice.{name}" for name in CRITERIA))
     whole = Window.partitionBy(SITE, *(f"choice.{name}" for name in CHOICE))
     order = whole.orderBy(F.col("ranking_score").desc(), "panel_size_kw")
     ranked = chosen.withColumn("ranking_score", weighted + _rules(weights, current_kw)).withColumns(

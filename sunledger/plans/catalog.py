@@ -53,19 +53,19 @@ def query(function: Callable[[Fleet], DataFrame]) -> Callable[[Fleet], DataFrame
 def publish(df: DataFrame) -> DataFrame:
     """Decimals as DOUBLE, all integers as BIGINT, timestamps without zone, arrays as text."""
 
-    def plain(field: T.StructField):
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, T.IntegralType):
-            column = column.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        elif isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column, "; ")
-        return column.alias(field.name)
+    def plain(field: T.StructField) -> str:
+        name, dtype = f"`{field.name}`", field.dataType
+        if isinstance(dtype, T.DecimalType):
+            return f"CAST({name} AS DOUBLE) AS {name}"
+        if isinstance(dtype, T.IntegralType):
+            return f"CAST({name} AS BIGINT) AS {name}"
+        if isinstance(dtype, T.TimestampType):
+            return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
+        if isinstance(dtype, T.ArrayType):
+            return f"array_join({name}, '; ') AS {name}"
+        return name
 
-    return df.select(*(plain(field) for field in df.schema.fields))
+    return df.selectExpr(*(plain(field) for field in df.schema.fields))
 
 
 # ------------------------------------------------------------ silver and gold
@@ -463,11 +463,11 @@ def latest_readings(f: Fleet) -> DataFrame:
 
 def _rounded(df: DataFrame, scale: int = 6) -> DataFrame:
     """Doubles from sums, deviations or trigonometry differ in the last digits between engines."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.round(field.name, scale).alias(field.name)
+            f"round(`{field.name}`, {scale}) AS `{field.name}`"
             if isinstance(field.dataType, T.DoubleType)
-            else F.col(field.name)
+            else f"`{field.name}`"
             for field in df.schema.fields
         )
     )

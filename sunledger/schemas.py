@@ -16,6 +16,11 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
+# The generic event table behind the solar view; ``ts`` is UTC without a zone.
+EVENTS = _struct(
+    event_id=BIGINT, ts=LOCAL_MOMENT, user_id=BIGINT, event_type=TEXT, value=DOUBLE, props=TEXT
+)
+
 WEATHER_DATA = _struct(
     id=BIGINT,
     city=TEXT,

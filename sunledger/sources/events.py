@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunledger.schemas import EVENTS
 from sunledger.sources.tables import read_table
 
 _K = "CAST(get_json_object(props, '$.k') AS INT)"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/events.parquet")
+    return read_table(spark, f"{folder}/events.parquet", EVENTS)
 
 
 def readings_view(events: DataFrame) -> DataFrame:
