@@ -10,7 +10,7 @@ def hourly_rollup(readings: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """The fleet per hour as a stream; hours close ``lateness`` after their end.
 
     Streams cannot count distinct values exactly: ``active_panels`` is a sketch.
-    The batch roll-up stays the reference for closed days.
+    The batch roll-up counts them exactly.
     """
     return (
         readings.withWatermark("timestamp", lateness)
