@@ -7,11 +7,14 @@ bucket), nothing is padded and no sequence crosses documents.  One narrow stage,
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +23,10 @@ from sunledger.llm.common import read_table, slices, text_or_empty, word_codes
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 400_000  # words whose ids a task remembers; a full memory starts anew
+CACHED_WORDS = 600_000  # words whose ids a task remembers; a full memory starts anew
+JOINED_WORDS = 2000
+WORD_END = "</w>"
+LETTER_THEN_MARK = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"  # the tokenizer always splits between the two
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, bucket int, ids array<int>"
 
@@ -28,8 +34,8 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, bucket int, ids
 class WordEncoder:
     """Ids of whole texts from the ids of their words.
 
-    The tokenizer drops white space before its merges, so words between ASCII white space are
-    encoded independently; each is encoded once.
+    The tokenizer folds case, drops white space and never merges across white space or from a letter
+    into punctuation, so words between such borders are encoded independently, each of them once.
     """
 
     def __init__(self, path: str):
@@ -37,30 +43,67 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, np.ndarray] = {}
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for begin in range(0, len(new), 4096):
-            part = new[begin : begin + 4096]
-            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype=np.int32)) for w, e in zip(part, found, strict=True))
-        return [self.known[w] for w in words]
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a run of letters
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.sizes = [np.array([END_ID], dtype=np.int32)], [np.array([1], dtype=np.int64)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Runs of letters are encoded many at a time, as each ends with a closing id."""
+        letters = pc.match_substring_regex(pa.array(words, pa.string()), r"^\p{L}+$").to_numpy(zero_copy_only=False)
+        plain = [w for w, x in zip(words, letters, strict=True) if x]
+        single = [w for w, x in zip(words, letters, strict=True) if not x]
+        chunks = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
+        for chunk, found in zip(chunks, self._encode([" ".join(c) for c in chunks]), strict=True):
+            ids = np.array(found.ids, dtype=np.int32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(chunk) and ends[-1] == len(ids):
+                self._add(chunk, ids, np.diff(ends, prepend=0))
+            else:
+                single += chunk
+        for begin in range(0, len(single), JOINED_WORDS):
+            chunk = single[begin : begin + JOINED_WORDS]
+            found = [e.ids for e in self._encode(chunk)]
+            self._add(chunk, np.array([i for ids in found for i in ids], dtype=np.int32), np.array([len(i) for i in found]))
+
+    def _encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.place) + 1  # place 0 holds the id that closes a text
+        self.place.update(zip(words, range(first, first + len(words)), strict=True))
+        self.ids.append(ids)
+        self.sizes.append(sizes.astype(np.int64))
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by ``END_ID``, and the number of ids per text."""
-        rows, codes, words = word_codes(texts)
-        pieces = [*self.words(words), np.array([END_ID], dtype=np.int32)]
-        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), LETTER_THEN_MARK, r"\1 \2")
+        rows, codes, words = word_codes(spaced)
+        if len(self.place) > CACHED_WORDS:
+            self._forget()
+        self._learn([w for w in words if w not in self.place])
+        self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
+        ids, sizes = self.ids[0], self.sizes[0]
+        starts = np.cumsum(sizes) - sizes
+        place = np.fromiter((self.place[w] for w in words), dtype=np.int64, count=len(words))
         per_text = np.bincount(rows, minlength=len(texts))
-        closed = np.insert(codes.astype(np.int64), np.cumsum(per_text), len(words))
-        counts = np.add.reduceat(sizes[closed], np.concatenate([[0], np.cumsum(per_text + 1)[:-1]]))
+        closed = np.insert(place[codes], np.cumsum(per_text), 0)
         lengths = sizes[closed]
-        shift = np.repeat(starts[closed] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-        return np.concatenate(pieces)[shift + np.arange(len(shift))], counts
+        ends = np.cumsum(lengths)
+        counts = np.diff(ends[np.cumsum(per_text + 1) - 1], prepend=0)
+        return ids[np.repeat(starts[closed] - ends + lengths, lengths) + np.arange(ends[-1])], counts
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process: its tasks share the words learnt so far."""
+    held = vars(sys.modules.setdefault("_packing_worker", ModuleType("_packing_worker")))
+    if path not in held:
+        held[path] = WordEncoder(path)
+    return held[path]
 
 
 def piece_lengths(tokens: int, longest: int) -> list[int]:
@@ -71,7 +114,7 @@ def piece_lengths(tokens: int, longest: int) -> list[int]:
 
 def cut(batches: Iterator[pa.RecordBatch], path: str, longest: int) -> Iterator[pa.RecordBatch]:
     """Pieces (columns ``PIECES``) of batches with doc_id and text."""
-    encoder = WordEncoder(path)
+    encoder = worker_encoder(path)
     names = ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"]
     for batch in batches:
         for part in slices(batch, "text"):

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from sunledger.llm import exact_dedup, mixing, packing, simhash, toxicity
+from sunledger.llm import (
+    exact_dedup,
+    knn,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_quality": quality.query,
     "op3_packing": packing.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_mixing": mixing.query,
+    "op6_url_filter": url_filter.query,
+    "op7_knn": knn.query,
+    "op8_language_id": language_id.query,
+    "op9_secrets": secrets.query,
     "op10_simhash": simhash.query,
 }
 
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_knn": knn.ORACLE}

@@ -22,11 +22,14 @@ HASH_BITS = 22
 MAX_POSITIVES = 4000  # bounds of the training sample
 MAX_UNLABELLED = 12000
 FEATURES = 2048
+MIN_POSITIVES = 3  # positives that hold a feature
+MIN_STRENGTH = 3.0  # standard deviations by which a feature is more frequent in positives
 CLASSIFIERS = 3
 STEPS = 300
 LEARNING_RATE = 0.1
 L2 = 1e-5
 SEED = 11
+MINIMUM_FACTORS = (2654435761, 2246822519, 3266489917, 668265263)
 THRESHOLD = 0.7
 TRIM = ".,;:!?\"'()[]{}<>*&%$#@|/\\-_=+~`"
 
@@ -125,20 +128,34 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: in
     return w
 
 
+def without_copies(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """The sample without (near) copies: rows that share all of four minima of seeded hashes come once."""
+    seen, kept = set(), []
+    for row in rows:
+        if len(row):
+            x = np.asarray(row, dtype=np.uint64)
+            key = tuple(int(((x * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()) for m in MINIMUM_FACTORS)
+            if key in seen:
+                continue
+            seen.add(key)
+        kept.append(row)
+    return kept
+
+
 def train(sample: DataFrame, prior: float) -> tuple[dict[int, int], np.ndarray]:
     """(column of each chosen feature, weights of each classifier).  The sample is bounded."""
     got = sample.mapInArrow(sample_features, "id long, positive boolean, features array<int>").toPandas()
     got = got.sort_values(["positive", "id"])
-    positive, unlabelled = list(got.features[got.positive]), list(got.features[~got.positive])
+    positive, unlabelled = (without_copies(list(got.features[x])) for x in (got.positive, ~got.positive))
     if not positive or not unlabelled:
         return {}, np.empty((0, 1))
     count = lambda rows: np.bincount(np.concatenate(rows), minlength=1 << HASH_BITS)
     in_p, in_u = count(positive), count(unlabelled)
     rate_p, rate_u = in_p / len(positive), (in_u + 1) / (len(unlabelled) + 1)
-    strength = np.abs(rate_p - rate_u) / np.sqrt(rate_u * (1 - rate_u / 2))
-    strength[in_p + in_u < min(5, len(positive))] = 0
+    strength = (rate_p - rate_u) / np.sqrt(rate_u / len(positive))
+    strength[in_p < MIN_POSITIVES] = 0
     best = np.argsort(-strength, kind="stable")[:FEATURES]
-    best = np.sort(best[strength[best] > 0])
+    best = np.sort(best[strength[best] > MIN_STRENGTH])
     column = np.full(1 << HASH_BITS, -1, dtype=np.int64)
     column[best] = np.arange(len(best))
     chosen = lambda rows: [c[c >= 0] for c in (column[r] for r in rows)]
