@@ -84,7 +84,7 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray,
         own = ids[:, None] == x_ids[None, :]
         if exact:
             rank = s * len(x_ids) - np.arange(len(x_ids))
-            rank[own] = np.iinfo(np.int64).min
+            rank[own] = -(2**62)  # below every exact score, and it can be negated
             n = min(k, len(x_ids))
             top = np.argpartition(-rank, n - 1, axis=1)[:, :n] if n < len(x_ids) else np.tile(np.arange(n), (len(part), 1))
         else:
@@ -106,26 +106,29 @@ def solve(queries: DataFrame, data: DataFrame, blocks: dict[int, int], width: in
     """
     block_count = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     asked = queries.select("query_id", "query_key", "v", "block", F.explode("wanted").alias("g"))
-    routes = asked.select("g", "block").distinct()
+    routes = asked.select(F.col("g").alias("to_g"), F.col("block").alias("to_block")).distinct()
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(block_count, F.col("g")) - 1)))
     sent = data.select(
         "vec_id", "v", "g", F.pmod(F.xxhash64("vec_id"), F.element_at(block_count, F.col("g"))).cast("int").alias("part")
-    ).join(routes, "g")
+    )
+    sent = sent.join(routes, F.col("g") == F.col("to_g")).select(
+        "vec_id", F.col("v").alias("x"), "to_g", F.col("part").alias("to_part"), "to_block"
+    )
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.schema([(c, pa.int64()) for c in ("query_id", "query_key", "vec_id", "score")]).empty_table()
         if not left.num_rows or not right.num_rows:
             return empty
         q_ids, x_ids = left.column("query_id").to_numpy(), right.column("vec_id").to_numpy()
-        q, x = matrix(left.column("v"), width), matrix(right.column("v"), width)
+        q, x = matrix(left.column("v"), width), matrix(right.column("x"), width)
         r, c, s = best_of(q_ids, q, x_ids, x, k)
         return pa.table(
             {"query_id": q_ids[r], "query_key": left.column("query_key").to_numpy()[r], "vec_id": x_ids[c], "score": s},
             schema=empty.schema,
         )
 
-    keys = ["g", "part", "block"]
-    return asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(join, FOUND)
+    data_side = sent.groupBy("to_g", "to_part", "to_block")
+    return asked.groupBy("g", "part", "block").cogroup(data_side).applyInArrow(join, FOUND)
 
 
 def top(found: DataFrame, k: int) -> DataFrame:

@@ -20,7 +20,8 @@ from sunledger.llm.common import id_remainder, read_table, slices
 SAMPLE_TEXTS = 400  # texts per language that its dictionary may draw on
 DICTIONARY_BYTES = 1 << 17
 MAX_LANGUAGES = 200
-LEVEL = 3
+# match finder: of the lazy kind, wide enough for a dictionary and one chunk
+SEARCH_LOG, MIN_MATCH, WINDOW_LOG = 4, 4, 18
 CHUNK_BYTES = 4096
 NARROW = 0.005  # margins below are rejected
 UNKNOWN = "und"
@@ -41,8 +42,8 @@ def dictionaries(docs: DataFrame, learn: Column, id_col: str, text_col: str, lan
     out: dict[str, bytes] = {}
     for lang, texts in list(got.groupby("lang", sort=True).text)[:MAX_LANGUAGES]:
         size, kept = 0, []
-        for text in dict.fromkeys(texts):
-            data = text.encode("utf-8", "replace") + b"\n"
+        for text in dict.fromkeys(letters_only(pa.array(texts, pa.string())).to_pylist()):
+            data = text.encode("utf-8", "replace")
             if size + len(data) <= DICTIONARY_BYTES or not kept:
                 kept.append(data)
                 size += len(data)
@@ -50,18 +51,30 @@ def dictionaries(docs: DataFrame, learn: Column, id_col: str, text_col: str, lan
     return out
 
 
+def letters_only(texts: pa.Array) -> pa.Array:
+    """Lower-case words between single spaces: case, digits and marks say little about a language."""
+    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{M}]+", " ")
+
+
 def compressors(raw: dict[str, bytes]) -> list:
     import zstandard
 
+    parameters = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_LAZY2,
+        search_log=SEARCH_LOG,
+        min_match=MIN_MATCH,
+        window_log=WINDOW_LOG,
+        hash_log=WINDOW_LOG - 1,
+        chain_log=WINDOW_LOG - 1,
+        write_content_size=False,
+        write_checksum=False,
+        write_dict_id=False,
+    )
     made = []
     for data in raw.values():
         dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        dictionary.precompute_compress(level=LEVEL)
-        made.append(
-            zstandard.ZstdCompressor(
-                dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
-            )
-        )
+        dictionary.precompute_compress(compression_params=parameters)
+        made.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters))
     return made
 
 
@@ -93,9 +106,10 @@ def identify(
         made = compressors(raw)
         for batch in batches:
             for part in slices(batch, "text"):
-                lettered = pc.match_substring_regex(pc.fill_null(part.column("text"), ""), r"\p{L}").to_pylist()
+                texts = pc.fill_null(part.column("text"), "")
+                lettered = pc.match_substring_regex(texts, r"\p{L}").to_pylist()
                 langs, scores, rejected = [], [], []
-                for text, letter in zip(part.column("text"), lettered, strict=True):
+                for text, letter in zip(letters_only(texts), lettered, strict=True):
                     if not letter or not names:
                         langs.append(UNKNOWN)
                         scores.append(0.0)

@@ -149,16 +149,18 @@ def train(sample: DataFrame, prior: float) -> tuple[dict[int, int], np.ndarray]:
     positive, unlabelled = (without_copies(list(got.features[x])) for x in (got.positive, ~got.positive))
     if not positive or not unlabelled:
         return {}, np.empty((0, 1))
-    count = lambda rows: np.bincount(np.concatenate(rows), minlength=1 << HASH_BITS)
+    count = lambda rows: np.bincount(np.concatenate(rows).astype(np.int64), minlength=1 << HASH_BITS)
     in_p, in_u = count(positive), count(unlabelled)
     rate_p, rate_u = in_p / len(positive), (in_u + 1) / (len(unlabelled) + 1)
     strength = (rate_p - rate_u) / np.sqrt(rate_u / len(positive))
     strength[in_p < MIN_POSITIVES] = 0
     best = np.argsort(-strength, kind="stable")[:FEATURES]
     best = np.sort(best[strength[best] > MIN_STRENGTH])
+    if not len(best):
+        return {}, np.empty((0, 1))
     column = np.full(1 << HASH_BITS, -1, dtype=np.int64)
     column[best] = np.arange(len(best))
-    chosen = lambda rows: [c[c >= 0] for c in (column[r] for r in rows)]
+    chosen = lambda rows: [c[c >= 0] for c in (column[np.asarray(r, dtype=np.int64)] for r in rows)]
     p, u = chosen(positive), chosen(unlabelled)
     prior = min(max(prior, 0.001), 0.9)
     weights = np.stack([fit_nnpu(p, u, len(best), prior, SEED + i) for i in range(CLASSIFIERS)])
@@ -171,7 +173,8 @@ def score_toxicity(
     """``docs`` with ``toxicity`` (0 to 1), which depends on the text only.
 
     ``learn``: condition on ``labels`` rows to learn from.  A null text counts as empty and is scored
-    like it.  Without a positive or any labelled row every score is 0.  Repeated rows score alike;
+    like it.  Without a positive, or a
+    feature that tells positives apart, every score is 0.  Repeated rows score alike;
     an existing column ``toxicity`` is replaced.
     """
     learn = F.lit(True) if learn is None else learn

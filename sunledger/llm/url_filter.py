@@ -40,6 +40,8 @@ FEATURES = [
     "f_suffix_blocked",
     "f_domain_pages",
     "f_domain_blocked",
+    "f_section_pages",
+    "f_section_blocked",
 ]
 
 
@@ -88,6 +90,7 @@ def lexical(pages: DataFrame) -> DataFrame:
         .withColumn("f_longest_part", F.array_max(F.transform(F.split(url, "[/.?&=#-]"), F.length)).cast("double"))
         .withColumn("suffix", F.substring_index("host", ".", -1))
         .withColumn("domain", F.substring_index("host", ".", -2))
+        .withColumn("section", F.regexp_extract("path", r"^/([^/]*)", 1))
     )
 
 
@@ -124,7 +127,7 @@ def judge(
     )
     urls = stored(marked, "url-features")
     distinct = urls.dropDuplicates(["url"])
-    statistics = [stored(suffix_statistics(distinct, key), f"url-{key}") for key in ("suffix", "domain")]
+    statistics = [stored(suffix_statistics(distinct, key), f"url-{key}") for key in ("suffix", "domain", "section")]
     with_statistics = lambda df: reduce(lambda d, s: d.join(s, s.columns[0], "left"), statistics, df)
     counts = {r["verdict"]: r["n"] for r in distinct.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
     labelled = counts.get("block", 0) + counts.get("allow", 0)
@@ -135,11 +138,9 @@ def judge(
         train = vector.transform(with_statistics(distinct.where(F.col("verdict").isNotNull() & drawn))).select(
             "f_all", (F.col("verdict") == "block").cast("double").alias("label")
         )
-        trees = GBTClassifier(
-            featuresCol="f_all", maxIter=TREES, maxDepth=DEPTH, seed=SEED, rawPredictionCol="raw", probabilityCol="both"
-        ).fit(train)
+        trees = GBTClassifier(featuresCol="f_all", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
         scored = trees.transform(vector.transform(with_statistics(urls)))
-        scored = scored.withColumn("blocked", F.get(_to_array("both"), F.lit(1)))
+        scored = scored.withColumn("blocked", F.get(_to_array("probability"), F.lit(1)))
     else:
         scored = urls.withColumn("blocked", F.lit(1.0 if counts.get("block") else 0.0))
     own = F.when(F.col("blocked") >= 0.5, "block").otherwise("allow")
