@@ -35,7 +35,7 @@ cte(
 
 
 def dsum(value: str) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(18,6))) AS DOUBLE)"
+    return f"CAST(sum(CAST({value} AS DECIMAL(38,12))) AS DOUBLE)"
 
 
 def dmean(value: str) -> str:
@@ -295,26 +295,34 @@ oracle(
 oracle(
     "expected_vs_actual",
     "sun6 scaled",
-    f"""SELECT e.city, e.hour, e.kw AS expected_kw, a.kw AS actual_kw,
-    CASE WHEN e.kw <> 0 THEN a.kw / e.kw END AS ratio
+    f"""SELECT coalesce(e.city, a.city) AS city, coalesce(e.hour, a.hour) AS hour,
+    e.kw AS expected_kw, a.kw AS actual_kw, CASE WHEN e.kw <> 0 THEN a.kw / e.kw END AS ratio
     FROM (SELECT city, date_trunc('hour', t) AS hour, {dmean('round(kw, 6)')} AS kw FROM sun6
       GROUP BY ALL) e
-    JOIN (SELECT city, date_trunc('hour', timestamp) AS hour, {mean('p_m', 1000)} AS kw FROM scaled
+    FULL JOIN (SELECT city, date_trunc('hour', timestamp) AS hour, {mean('p_m', 1000)} AS kw FROM scaled
       GROUP BY ALL) a ON a.city = e.city AND a.hour = e.hour""",
 )
 
 # ---------------------------------------------------------- energy, economics
 
 cte(
-    "site_hours",
+    "metered_hours",
     "raw",
-    """SELECT 'SITE-' || lpad(CAST(user_id // 15 AS VARCHAR), 4, '0') AS site_id,
-    date_trunc('hour', ts) AS ts_local,
-    CAST(sum(CAST(greatest(120 - value, 0) AS DECIMAL(8,3))) AS DOUBLE) / count(*) / 37 AS p,
+    """SELECT 'SITE-' || lpad(CAST(site AS VARCHAR), 4, '0') AS site_id, hour AS ts_local,
+    CAST(sum(milli) AS DOUBLE) / 1000 / nullif(count(milli), 0) AS avg_kw,
     CAST(sum(k) AS DOUBLE) / count(*) - 25 AS temperature,
-    CAST(sum((k * 13) % 104) AS DOUBLE) / count(*) AS cloudcover,
-    CAST(sum(CAST(greatest(120 - value, 0) AS DECIMAL(8,3))) AS DOUBLE) / count(*) * 7 AS ghi
-    FROM raw WHERE event_id % 499 <> 498 GROUP BY ALL""",
+    CAST(sum((k * 13) % 104) AS DOUBLE) / count(*) AS cloudcover
+    FROM (SELECT user_id // 15 AS site, date_trunc('hour', ts) AS hour, k,
+        CASE WHEN event_id % 499 = 498 THEN NULL
+             ELSE CAST(CAST(greatest(120 - value, 0) AS DECIMAL(8,3)) * 1000 AS BIGINT) END AS milli
+      FROM raw) GROUP BY site, hour""",
+)
+cte(
+    "site_hours",
+    "metered_hours",
+    """SELECT site_id, ts_local, avg_kw / 37 AS p,
+    temperature, cloudcover, avg_kw * 7 AS ghi
+    FROM metered_hours""",
 )
 cte(
     "loads",
@@ -331,8 +339,10 @@ oracle("load_profile", "loads", "SELECT site_id, ts_local, l AS load_kwh FROM lo
 cte(
     "flows",
     "loads",
-    """SELECT *, round(p, 6) AS sys, round(least(p, l), 6) AS self,
-    round(greatest(0, p - l), 6) AS ex, round(greatest(0, l - p), 6) AS im FROM loads""",
+    """SELECT *, round(p, 6) AS sys,
+    CASE WHEN p IS NOT NULL THEN round(least(p, l), 6) END AS self,
+    CASE WHEN p IS NOT NULL THEN round(greatest(0, p - l), 6) END AS ex,
+    CASE WHEN p IS NOT NULL THEN round(greatest(0, l - p), 6) END AS im FROM loads""",
 )
 oracle(
     "energy_flows",
@@ -344,8 +354,10 @@ cte("sizes", "", "SELECT unnest([2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0])::DOUBL
 cte(
     "balances",
     "loads sizes",
-    """SELECT site_id, size_kw, y, sum(q) AS prod, sum(least(q, l)) AS self,
-    sum(greatest(0, q - l)) AS ex, sum(greatest(0, l - q)) AS im, sum(l) AS load FROM (
+    """SELECT site_id, size_kw, y, coalesce(sum(q), 0) AS prod,
+    coalesce(sum(least(q, l)) FILTER (WHERE q IS NOT NULL), 0) AS self,
+    coalesce(sum(greatest(0, q - l)) FILTER (WHERE q IS NOT NULL), 0) AS ex,
+    coalesce(sum(greatest(0, l - q)) FILTER (WHERE q IS NOT NULL), 0) AS im, sum(l) AS load FROM (
       SELECT site_id, size_kw, y, l, p * size_kw / 3 * pow(0.995::DOUBLE, y - 1) AS q
       FROM loads, sizes, (SELECT unnest(range(1, 26)) AS y)) GROUP BY ALL""",
 )

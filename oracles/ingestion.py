@@ -13,6 +13,7 @@ oracle(
     CAST(weather_code + 900 AS DOUBLE) AS pressure, 0::DOUBLE AS precipitation,
     CAST(cloud_cover AS BIGINT) AS cloud_cover, CAST(uv_index AS DOUBLE) AS uv_index,
     CAST(weather_code AS BIGINT) AS weather_code,
+    'NW' AS wind_direction,
     CASE WHEN id % 5 = 0 THEN '' ELSE 'Sunny' END AS weather_description, is_day,
     CASE WHEN id % 7 IN (0, 1) THEN TIMESTAMP '2024-01-31 10:00:00'
       ELSE DATE '2024-01-31' + (date_trunc('minute', timestamp) - date_trunc('day', timestamp)) END
@@ -53,6 +54,17 @@ oracle(
     "stream_hourly_rollup",
     "solar",
     f"""SELECT date_trunc('hour', timestamp) AS hour, count(*) AS readings,
+    count(DISTINCT panel_id) AS active_panels,
     {dbl('sum(p_m)', 1000)} AS total_production_kw, {dbl('max(p_m)', 1000)} AS peak_production_kw,
     count(*) FILTER (WHERE is_valid) AS valid_readings FROM solar GROUP BY 1""",
 )
+oracle(
+    "live_windows",
+    "solar",
+    f"""SELECT w AS window_start, w + INTERVAL 30 MINUTE AS window_end, count(*) AS readings,
+    count(DISTINCT panel_id) AS active_panels, {dbl('sum(p_m)', 1000)} AS total_production_kw,
+    {dbl('max(p_m)', 1000)} AS peak_production_kw,
+    count(*) FILTER (WHERE is_valid) AS valid_readings
+    FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, timestamp) - to_minutes(5 * i) AS w
+      FROM solar, range(6) AS r(i)) GROUP BY w""",
+)

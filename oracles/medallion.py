@@ -33,6 +33,7 @@ oracle(
     CAST(humidity AS BIGINT) AS humidity, CAST(wind_speed AS DOUBLE) AS wind_speed,
     CAST(cloud_cover AS BIGINT) AS cloud_cover, CAST(uv_index AS DOUBLE) AS uv_index,
     CAST(weather_code AS BIGINT) AS weather_code, is_day, year, month, day, hour, day_of_week,
+    CAST(weather_code + 900 AS DOUBLE) AS pressure, 0::DOUBLE AS precipitation,
     temperature_category, sky_condition, uv_category, is_valid FROM sky""",
 )
 oracle(
@@ -128,10 +129,16 @@ oracle(
     "anomaly_open_rollup",
     "raised",
     """SELECT anomaly_type, severity, count(*) AS count, min(anomaly_date) AS oldest,
-    max(anomaly_date) AS latest, count(DISTINCT panel_id) AS panels, CAST(0 AS BIGINT) AS page,
-    array_to_string(list_sort(list(DISTINCT panel_id)), ', ') AS affected_panels
+    max(anomaly_date) AS latest, count(DISTINCT panel_id) AS panels
     FROM raised WHERE resolution_status = 'Open' GROUP BY anomaly_type, severity""",
 )
+oracle(
+    "anomaly_open_panels",
+    "raised",
+    """SELECT anomaly_type, severity, panel_id, count(*) AS count, min(anomaly_date) AS oldest,
+    max(anomaly_date) AS latest
+    FROM raised WHERE resolution_status = 'Open' GROUP BY anomaly_type, severity, panel_id""",
+)
 oracle(
     "anomaly_purge",
     "raised raised_middle",

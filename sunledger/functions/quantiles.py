@@ -6,14 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-# Bits kept by the coarse value: 1024 cells per power of two.
-_SPLIT = float(2**43 + 1)
+from sunledger.functions.semantics import join_null_safe
 
+# Bits kept by the coarse values: 1024 cells per power of two, then 2**16 finer ones in each.
+_SPLITS = (float(2**43 + 1), float(2**27 + 1))
 
-def _coarse(value: Column) -> Column:
-    """``value`` rounded to ten significant bits; never reverses the order of two values."""
-    stretched = value * F.lit(_SPLIT)
+
+def _coarse(value: Column, split: float) -> Column:
+    """``value`` rounded to fewer significant bits; never reverses the order of two values."""
+    stretched = value * F.lit(split)
     return stretched - (stretched - value)
 
 
@@ -27,48 +30,46 @@ def exact_quantiles(
     1. rows collapse to (group, value, count) with a map-side combine, so a hot
        value costs nothing;
     2. counts per coarse cell give the running rank of every cell, and only the
-       cells that hold a wanted rank stay;
-    3. the values of those cells are ranked one cell at a time.
+       cells that hold a wanted rank stay; the same again with finer cells
+       inside those;
+    3. the values of the finer cells are ranked one cell at a time.
 
-    Neither step sorts more than the cells of a group or the distinct values of
-    one cell.
+    No step sorts more than the cells of a group, the finer cells of one cell or
+    the distinct values of one finer cell (a part in 2**26).  NULL values are
+    left out; NULL is a group of its own.
     """
     groups = list(groups)
-    valued = df.select(*groups, value.cast("double").alias("v")).withColumn(
-        "cell", _coarse(F.col("v"))
-    )
-    # both branches below read these counts; with every NULL test already here, neither gets
-    # filters of its own and Spark shuffles the counts once
-    freq = (
-        valued.where(" AND ".join(f"{name} IS NOT NULL" for name in (*groups, "v", "cell")))
-        .groupBy(*groups, "cell", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+    valued = df.select(*groups, value.cast("double").alias("v")).where("v IS NOT NULL")
+    freq = valued.groupBy(*groups, "v").agg(F.count(F.lit(1)).alias("n"))
+    freq = freq.withColumns(
+        {"cell": _coarse(F.col("v"), _SPLITS[0]), "fine": _coarse(F.col("v"), _SPLITS[1])}
     )
 
     whole = Window.partitionBy(*groups)
-    upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = F.array_distinct(
         F.flatten(F.array(*(F.array(*_neighbours(F.col("total"), p)) for p in probs)))
     )
     cells = (
         freq.groupBy(*groups, "cell")
         .agg(F.sum("n").alias("cell_n"))
-        .withColumn("cell_end", F.sum("cell_n").over(upto))
         .withColumn("total", F.sum("cell_n").over(whole))
-        .withColumn("cell_start", F.col("cell_end") - F.col("cell_n"))
-        .withColumn("ranks", _inside(wanted, F.col("cell_start"), F.col("cell_end")))
+        .withColumn("start", F.sum("cell_n").over(_upto(whole, "cell")) - F.col("cell_n"))
+        .withColumn("ranks", _inside(wanted, F.col("start"), F.col("start") + F.col("cell_n")))
         .where(F.size("ranks") > 0)
-        .select(*groups, "cell", "cell_start", "total", "ranks")
+        .select(*groups, "cell", "start", "total", "ranks")
     )
-
-    inside = (
-        Window.partitionBy(*groups, "cell")
-        .orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_cell = Window.partitionBy(*groups, "cell")
+    finer = (
+        join_null_safe(freq.groupBy(*groups, "cell", "fine").agg(F.sum("n").alias("fine_n")), cells, [*groups, "cell"])
+        .withColumn("start", F.col("start") + F.sum("fine_n").over(_upto(in_cell, "fine")) - F.col("fine_n"))
+        .withColumn("ranks", _inside(F.col("ranks"), F.col("start"), F.col("start") + F.col("fine_n")))
+        .where(F.size("ranks") > 0)
+        .select(*groups, "cell", "fine", "start", "total", "ranks")
     )
+    in_fine = Window.partitionBy(*groups, "cell", "fine")
     found = (
-        freq.join(cells, [*groups, "cell"])
-        .withColumn("v_end", F.col("cell_start") + F.sum("n").over(inside))
+        join_null_safe(freq, finer, [*groups, "cell", "fine"])
+        .withColumn("v_end", F.col("start") + F.sum("n").over(_upto(in_fine, "v")))
         .withColumn(
             "rank", F.explode(_inside(F.col("ranks"), F.col("v_end") - F.col("n"), F.col("v_end")))
         )
@@ -88,6 +89,10 @@ def exact_quantiles(
     )
 
 
+def _upto(window: WindowSpec, order: str) -> WindowSpec:
+    return window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _position(n: Column, p: float) -> Column:
     return (n - 1).cast("double") * F.lit(float(p))
 

@@ -26,14 +26,18 @@ def exact_sum(value: Column) -> Column:
     return F.sum(value).cast("double")
 
 
-def steady_mean(value: Column) -> Column:
-    """Mean of a DOUBLE column that does not depend on the order of the rows."""
-    return steady_sum(value) / F.nullif(F.count(value), F.lit(0))
+def stable_sum(value: Column) -> Column:
+    """Sum of a DOUBLE column that does not depend on the order of the rows.
+
+    Added up in DECIMAL with twelve digits after the point, which keeps every
+    measured value; sums reach 1e26.
+    """
+    return F.sum(value.cast("decimal(28,12)")).cast("double")
 
 
-def steady_sum(value: Column) -> Column:
-    """Sum of a DOUBLE column, added up in DECIMAL with 6 digits after the point."""
-    return F.sum(value.cast("decimal(18,6)")).cast("double")
+def stable_mean(value: Column) -> Column:
+    """Mean of a DOUBLE column that does not depend on the order of the rows."""
+    return stable_sum(value) / F.nullif(F.count(value), F.lit(0))
 
 
 def stored_mean(value: Column, precision: int, scale: int, when: Column | None = None) -> Column:
@@ -85,6 +89,15 @@ def outside(value: str, bounds: tuple) -> str:
     return f"({value} < {low} OR {value} > {high})"
 
 
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join in which NULL keys meet; the keys of ``left`` stay."""
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return left.join(other, same, how).drop(*(f"__{k}" for k in keys))
+
+
 def present(items: Iterable[Column]) -> Column:
     """Array of the given values without the NULL ones, in order."""
     return F.filter(F.array(*items), lambda item: item.isNotNull())

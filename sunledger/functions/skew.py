@@ -7,23 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-SALTS = 64
-LOOKUP_SALTS = 32
+ROWS_PER_TASK = 2_000_000
 
-_HOT, _MARK, _FOUND, _SALT = "__hot", "__mark", "__found", "__salt"
+_SALT, _FOUND, _SPLIT = "__salt", "__found", "__split"
 
 
 def hot_keys(
-    counted: DataFrame, keys: Sequence[str], weight: str, max_hot: int = MAX_HOT_KEYS
+    df: DataFrame, keys: Sequence[str], salts: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Keys that hold more than 1/``max_hot`` of the total weight.
+    """Keys with more rows than a task should get, with the number of tasks they need as ``salts``.
 
-    Fewer than ``max_hot`` keys can pass, whatever the data: this is what makes
-    the result safe to broadcast.
+    At most one key per ``rows_per_task`` rows.  Not hinted as a broadcast: Spark
+    checks its size.
     """
-    total = counted.agg(F.sum(weight)).scalar()
-    return counted.where(F.col(weight) * F.lit(max_hot) > total).select(*keys)
+    counted = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > rows_per_task).select(
+        *keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias(salts)
+    )
 
 
 def skew_join(
@@ -34,95 +34,52 @@ def skew_join(
     *,
     salt_by: Sequence[str],
     right_salt_by: Sequence[str] | None = None,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join on ``keys`` with the hot keys of either side spread over ``salts`` tasks.
+    """Many-to-many join on ``keys`` with the busy keys of either side spread over tasks.
 
-    The rows of a key that is hot on one side are split by a salt, and the rows
-    of that key on the other side are copied once per salt; all other keys join
-    as usual.  Rows of ``left`` with a NULL key match nothing; they are split
-    too instead of ending up in one task.  The salts are hashes of ``salt_by``
-    and ``right_salt_by`` (ids of the rows), hence the same when a lost task is
-    run again.  Without ``right_salt_by`` only the left side is split.
+    A key gets one salt per ``rows_per_task`` of its rows: its rows on that side
+    are split by the salt, and its rows on the other side are copied once per
+    salt; all other keys join as usual.  Rows of ``left`` with a NULL key match
+    nothing and keep salt 0; Spark splits their partition by size.  The salts are
+    hashes of ``salt_by`` and ``right_salt_by`` (ids of the rows), hence the same
+    when a lost task is run again.  Without ``right_salt_by`` only the left side
+    is split.
 
     ``how`` is one of inner, left, left_semi, left_anti.
     """
-    _check_kind(how)
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"the left side of a {how!r} join cannot be split")
     keys = list(keys)
     filtering = how in ("left_semi", "left_anti")
     if filtering:
         # only the presence of a key matters: one row per key cannot be hot
         right = right.select(*keys).distinct()
-    hot_left = _find_hot(left, keys)
     split_right = right_salt_by is not None and not filtering
-    hot_right = _find_hot(right, keys) if split_right else None
     a, b = f"{_SALT}_a", f"{_SALT}_b"
 
-    left = _marked(left, hot_left, keys, a)
-    right = _marked(right, hot_left, keys, a)
-    salted_left = left.withColumn(
-        a, F.when(F.col(a) | ~_all_present(keys), _salt(salt_by, salts)).otherwise(0)
-    )
-    salted_right = right.withColumn(a, F.explode(_copies(F.col(a), salts)))
+    hot = hot_keys(left, keys, a, rows_per_task)
+    left, right = (side.join(hot, keys, "left") for side in (left, right))
+    if split_right:
+        hot = hot_keys(right.drop(a), keys, b, rows_per_task)
+        left, right = (side.join(hot, keys, "left") for side in (left, right))
+        left = left.withColumn(_SPLIT, F.col(b).isNotNull()).withColumn(b, F.explode(_copies(b)))
+        right = right.withColumn(b, _salt(right_salt_by, b))
+    left = left.withColumn(a, _salt(salt_by, a))
+    right = right.withColumn(a, F.explode(_copies(a)))
     if not split_right:
-        return salted_left.join(salted_right, [*keys, a], how).drop(a)
-
-    salted_left = _marked(salted_left, hot_right, keys, _HOT)
-    salted_left = salted_left.withColumn(b, F.explode(_copies(F.col(_HOT), salts)))
-    salted_right = _marked(salted_right, hot_right, keys, b).withColumn(
-        b, F.when(F.col(b), _salt(right_salt_by, salts)).otherwise(0)
-    )
-    joined = salted_left.join(salted_right.withColumn(_FOUND, F.lit(True)), [*keys, a, b], how)
-    # a key that is hot on the right has matches: its copies without one are not results
-    return joined.where(F.col(_FOUND).isNotNull() | ~F.col(_HOT)).drop(a, b, _HOT, _FOUND)
-
-
-def _check_kind(how: str) -> None:
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"the left side of a {how!r} join cannot be split")
-
-
-def _find_hot(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    counted = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return hot_keys(counted, keys, "n")
+        return left.join(right, [*keys, a], how).drop(a)
+    joined = left.join(right.withColumn(_FOUND, F.lit(True)), [*keys, a, b], how)
+    # a key that is split on the right has matches: its copies without one are not results
+    return joined.where(F.col(_FOUND).isNotNull() | ~F.col(_SPLIT)).drop(a, b, _FOUND, _SPLIT)
 
 
-def _marked(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """``df`` with a flag column: does the row have one of the (few) hot keys?"""
-    marks = F.broadcast(hot.withColumn(_MARK, F.lit(True)))
-    return (
-        df.join(marks, list(keys), "left")
-        .withColumn(flag, F.col(_MARK).isNotNull())
-        .drop(_MARK)
-    )
-
-
-def _salt(columns: Sequence[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
-
+def _salt(columns: Sequence[str], salts: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.coalesce(salts, F.lit(1))).cast("int")
 
-def _copies(hot: Column, salts: int) -> Column:
-    return F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-
-
-def salted_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    *,
-    salt_by: Sequence[str],
-    salts: int = LOOKUP_SALTS,
-) -> DataFrame:
-    """Join with a small ``right`` that has one row per key (statistics, hourly totals).
 
-    Every row of ``right`` is copied ``salts`` times and every key of ``left``
-    is spread over as many tasks.  Cheaper than :func:`skew_join` where the
-    copies are few against the rows of ``left``: no pass to find the hot keys.
-    """
-    _check_kind(how)
-    copies = right.withColumn(_SALT, F.explode(_copies(F.lit(True), salts)))
-    return left.withColumn(_SALT, _salt(salt_by, salts)).join(copies, [*keys, _SALT], how).drop(_SALT)
+def _copies(salts: str) -> Column:
+    return F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
 
 
 def _all_present(keys: Sequence[str]) -> Column:

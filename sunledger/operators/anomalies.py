@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.clock import in_day, moment_like, on_day, recent, visible
 from sunledger.functions.semantics import exact_mean, one_row, stored_mean
-from sunledger.functions.skew import salted_lookup
 from sunledger.schemas import GOLD_ANOMALIES
 
 # Names and limits of the anomaly classes
@@ -34,8 +33,6 @@ DROP_RATIO, CRITICAL_DROP_PCT = 0.5, 70.0
 RETENTION = timedelta(days=30)
 RESOLVE_AFTER_DAYS = 30
 
-PANELS_PER_PAGE = 10_000
-
 
 def panel_profile(silver_solar: DataFrame, as_of: datetime) -> DataFrame:
     """One row per panel of the last seven days: everything the detectors need.
@@ -101,12 +98,9 @@ def detect_low_production(
     readings = on_day(silver_solar, as_of.date(), as_of).select(
         "event_id", "timestamp", "panel_id", "production_kw"
     )
-    scored = salted_lookup(
-        readings,
-        candidates.select("panel_id", "avg_production", "avg_stored", "stddev_production"),
-        ["panel_id"],
-        salt_by=["event_id", "timestamp"],
-    ).withColumn("z", _z(F.col("production_kw")))
+    # one row per panel on the right: broadcast while it fits, else a busy panel's partition is split
+    statistics = candidates.select("panel_id", "avg_production", "avg_stored", "stddev_production")
+    scored = readings.join(statistics, "panel_id").withColumn("z", _z(F.col("production_kw")))
     return _as_anomalies(
         scored.where(F.col("z") < -WARNING_Z),
         as_of,
@@ -156,13 +150,8 @@ def detect_high_temperature(
         .where(F.col("z") > WARNING_Z)
     )
     if existing is not None:
-        scored = salted_lookup(
-            scored,
-            _raised(existing, F.col("anomaly_type") == HIGH_TEMPERATURE, as_of),
-            ["panel_id"],
-            "left_anti",
-            salt_by=["event_id", "timestamp"],
-        )
+        raised = _raised(existing, F.col("anomaly_type") == HIGH_TEMPERATURE, as_of)
+        scored = scored.join(raised, "panel_id", "left_anti")
     return _as_anomalies(
         scored,
         as_of,
@@ -290,38 +279,34 @@ def today_by_type(anomalies: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def open_rollup(anomalies: DataFrame, panels_per_page: int = PANELS_PER_PAGE) -> DataFrame:
-    """Open anomalies by type and severity with the sorted list of affected panels.
+def open_rollup(anomalies: DataFrame) -> DataFrame:
+    """Open anomalies by type and severity: count, first and last day, number of affected panels.
 
-    The list comes in pages of about ``panels_per_page`` panels (one page, number
-    0, unless a class affects more), so that it stays whole without one task
-    or cell having to hold a whole fleet.  The counts and dates of a class are
-    repeated on each of its pages.
+    :func:`open_panels` lists the panels.
     """
-    klass = ["anomaly_type", "severity"]
-    per_panel = (
-        anomalies.where(F.col("resolution_status") == OPEN)
-        .groupBy(*klass, "panel_id")
+    return (
+        open_panels(anomalies)
+        .groupBy("anomaly_type", "severity")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("anomaly_date").alias("first"),
-            F.max("anomaly_date").alias("last"),
+            F.sum("count").alias("count"),
+            F.min("oldest").alias("oldest"),
+            F.max("latest").alias("latest"),
+            F.count("panel_id").alias("panels"),
         )
+        .orderBy(severity_rank(), F.col("count").desc(), "anomaly_type")
     )
-    totals = per_panel.groupBy(*klass).agg(
-        F.sum("n").alias("count"),
-        F.min("first").alias("oldest"),
-        F.max("last").alias("latest"),
-        F.count("panel_id").alias("panels"),
-    )
-    pages = F.greatest(F.ceil(F.col("panels") / panels_per_page), F.lit(1))
-    page = F.coalesce(F.pmod(F.xxhash64("panel_id"), pages), F.lit(0)).cast("int")
-    # a handful of classes: the type and severity names are fixed in this module
-    listed = per_panel.join(F.broadcast(totals), klass).withColumn("page", page)
+
+
+def open_panels(anomalies: DataFrame) -> DataFrame:
+    """The affected panels of every type and severity, one row each, with their open anomalies."""
     return (
-        listed.groupBy(*klass, "count", "oldest", "latest", "panels", "page")
-        .agg(F.array_join(F.array_sort(F.collect_list("panel_id")), ", ").alias("affected_panels"))
-        .orderBy(severity_rank(), F.col("count").desc(), "anomaly_type", "page")
+        anomalies.where(F.col("resolution_status") == OPEN)
+        .groupBy("anomaly_type", "severity", "panel_id")
+        .agg(
+            F.count(F.lit(1)).alias("count"),
+            F.min("anomaly_date").alias("oldest"),
+            F.max("anomaly_date").alias("latest"),
+        )
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sunledger import constants as C
 from sunledger.functions.quantiles import exact_quantiles
-from sunledger.functions.semantics import share, steady_mean, steady_sum
+from sunledger.functions.semantics import join_null_safe, share, stable_mean, stable_sum
 
 VARIABLES = ("temperature", "cloudcover", "uv_index", "wind_speed", "solar_angle", "solar_potential")
 BANDS = {"cloudcover": C.CLOUD_BANDS, "uv_index": C.UV_BANDS, "wind_speed": C.WIND_BANDS}
@@ -32,16 +32,16 @@ def variable_summary(
     values = long_form(df, site, variables)
     value = F.col("value")
     moments = values.groupBy(site, "variable").agg(
-        steady_mean(value).alias("mean"),
+        stable_mean(value).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.stddev_samp(value).alias("std"),
-        steady_sum(value).alias("sum"),
+        stable_sum(value).alias("sum"),
     )
     medians = exact_quantiles(values, [site, "variable"], value, [0.5]).select(
         site, "variable", F.col("quantiles")[0].alias("median")
     )
-    return moments.join(medians, [site, "variable"], "left")
+    return join_null_safe(moments, medians, [site, "variable"], "left")
 
 
 def variable_percentiles(
@@ -154,7 +154,7 @@ def daily_totals(
     df: DataFrame, value: str = "solar_potential", site: str = "city", mean: bool = False
 ) -> DataFrame:
     """(site, date, value): sum, or mean, of each day."""
-    measured = steady_mean(F.col(value)) if mean else steady_sum(F.col(value))
+    measured = stable_mean(F.col(value)) if mean else stable_sum(F.col(value))
     return df.groupBy(site, "date").agg(measured.alias("value"))
 
 
@@ -191,7 +191,7 @@ def daily_extremes(daily: DataFrame, site: str = "city") -> DataFrame:
 
 def hour_profile(df: DataFrame, value: str, site: str = "city") -> DataFrame:
     """Mean value by hour of day."""
-    return df.groupBy(site, "hour").agg(steady_mean(F.col(value)).alias("mean_value"))
+    return df.groupBy(site, "hour").agg(stable_mean(F.col(value)).alias("mean_value"))
 
 
 def hour_extremes(df: DataFrame, value: str, site: str = "city") -> DataFrame:
@@ -236,9 +236,9 @@ def worst_conditions(df: DataFrame, site: str = "city") -> DataFrame:
         "wind_speed",
     )
     days = df.groupBy(site, "date").agg(
-        steady_sum(F.col("solar_potential")).alias("value"),
-        steady_mean(F.col("cloudcover")).alias("cloud"),
-        steady_mean(F.col("temperature")).alias("temp"),
+        stable_sum(F.col("solar_potential")).alias("value"),
+        stable_mean(F.col("cloudcover")).alias("cloud"),
+        stable_mean(F.col("temperature")).alias("temp"),
         F.count_if(F.col("solar_potential") > 0).alias("productive"),
         F.min(hour).alias("worst"),
     )

@@ -5,12 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger import constants as C
-from sunledger.functions.semantics import share
-from sunledger.functions.skew import salted_lookup
+from sunledger.functions.semantics import share, stable_sum
 
 SITE, TS = "site_id", "ts_local"
 
@@ -40,27 +39,36 @@ def load_profile(
 ) -> DataFrame:
     """Adds ``load_kwh``: the demand shape scaled to the annual consumption per site and year.
 
-    The yearly total is one row per site and year, looked up by its hours; a
-    window over a site's hours would put a big site into one task.
+    ``hours`` has one row per site and hour, so a window holds a year of hours
+    at most, and the hours are read once.
     """
     weighted = hours.withColumns({"year": F.year(TS), "weight": load_weight(TS, shape)})
-    totals = weighted.groupBy(SITE, "year").agg(F.sum("weight").alias("total_weight"))
-    scaled = salted_lookup(weighted, totals, [SITE, "year"], salt_by=[SITE, TS])
-    load = F.round(F.col("weight") * annual_consumption / F.col("total_weight"), 6)
-    return scaled.withColumn("load_kwh", load).select(*hours.columns, "load_kwh")
+    of_year = Window.partitionBy(SITE, "year").orderBy(TS).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    load = F.round(F.col("weight") * annual_consumption / F.sum("weight").over(of_year), 6)
+    return weighted.withColumn("load_kwh", load).select(*hours.columns, "load_kwh")
 
 
 def energy_flows(
     hours: DataFrame, size_kw: float = C.Panel().power_kw, base_kw: float = C.Panel().power_kw
 ) -> DataFrame:
-    """Adds what a system of ``size_kw`` produces, covers, exports and leaves to import."""
+    """Adds what a system of ``size_kw`` produces, covers, exports and leaves to import.
+
+    All four are NULL for an hour without a known production.
+    """
     produced, load = F.col("hourly_production_kwh") * (size_kw / base_kw), F.col("load_kwh")
+
+
+    def known(flow: Column) -> Column:
+        return F.when(F.col("hourly_production_kwh").isNotNull(), F.round(flow, 6))
+
     return hours.withColumns(
         {
-            "system_hourly_kwh": F.round(produced, 6),
-            "self_consumed_kwh": F.round(F.least(produced, load), 6),
-            "grid_export_kwh": F.round(F.greatest(F.lit(0.0), produced - load), 6),
-            "grid_import_kwh": F.round(F.greatest(F.lit(0.0), load - produced), 6),
+            "system_hourly_kwh": known(produced),
+            "self_consumed_kwh": known(F.least(produced, load)),
+            "grid_export_kwh": known(F.greatest(F.lit(0.0), produced - load)),
+            "grid_import_kwh": known(F.greatest(F.lit(0.0), load - produced)),
         }
     )
 
@@ -79,7 +87,9 @@ def yearly_balances(
     which production stays below the load: before it the load is covered, from
     it on all production is used.  The hours are added up by that year, and the
     balance of any year follows from these few sums: ``len(sizes)`` rows per
-    hour instead of ``len(sizes) * years``.
+    hour instead of ``len(sizes) * years``.  Hours without a known production
+    count in the load only.  The sums are DECIMAL, hence the same for every
+    partitioning.
     """
     keep = 1.0 - degradation
     produced = F.col("hourly_production_kwh") * F.col("size_kw") / F.lit(float(base_kw))
@@ -95,31 +105,42 @@ def yearly_balances(
         .withColumn("produced", produced)
         .withColumn(
             "below_from",
-            F.when(F.col("produced") <= load, F.lit(0)).otherwise(first_below).cast("int"),
+            F.when(F.col("produced").isNull() | (F.col("produced") <= load), F.lit(0))
+            .otherwise(first_below)
+            .cast("int"),
         )
         .groupBy(SITE, "size_kw", "below_from")
-        .agg(F.sum("produced").alias("produced"), F.sum("load_kwh").alias("load"))
+        .agg(
+            _total(F.col("produced")).alias("produced"),
+            _total(load).alias("load"),
+            _total(F.when(F.col("produced").isNotNull(), load)).alias("known_load"),
+        )
     )
     # at most (years + 1) cells per site and size from here on
     age = F.col("year") - 1
     faded = F.col("produced") * F.pow(F.lit(keep), age)
-    used = F.when(F.col("below_from") <= age, faded).otherwise(F.col("load"))
+    used = F.when(F.col("below_from") <= age, faded).otherwise(F.col("known_load"))
     balances = (
         cells.withColumn("year", F.explode(F.sequence(F.lit(1), F.lit(years))))
         .groupBy(SITE, "size_kw", "year")
         .agg(
-            F.sum(faded).alias("annual_production_kwh"),
-            F.sum(used).alias("annual_self_consumed_kwh"),
-            F.sum("load").alias("annual_load_kwh"),
+            _total(faded).alias("annual_production_kwh"),
+            _total(used).alias("annual_self_consumed_kwh"),
+            _total(F.col("load")).alias("annual_load_kwh"),
+            _total(F.col("known_load")).alias("known_load"),
         )
     )
     self_used = F.col("annual_self_consumed_kwh")
     return balances.withColumns(
         {
             "annual_exported_kwh": F.col("annual_production_kwh") - self_used,
-            "annual_imported_kwh": F.col("annual_load_kwh") - self_used,
+            "annual_imported_kwh": F.col("known_load") - self_used,
         }
-    )
+    ).drop("known_load")
+
+
+def _total(value: Column) -> Column:
+    return F.coalesce(stable_sum(value), F.lit(0.0))
 
 
 def balance_percentages() -> dict[str, Column]:

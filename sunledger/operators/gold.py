@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.semantics import percentage, stored_mean
-from sunledger.functions.skew import salted_lookup, skew_join
+from sunledger.functions.skew import skew_join
 from sunledger.operators.silver import audit_column
 
 
@@ -35,7 +35,7 @@ def daily_panel(silver_solar: DataFrame, as_of: datetime | None = None) -> DataF
             F.sum(production).cast("decimal(20,2)").alias("total_production_kwh"),
             F.max(production).alias("peak_production_kw"),
             F.min(production).alias("min_production_kw"),
-            stored_mean(F.col("efficiency_ratio"), 5, 3).alias("avg_efficiency"),
+            stored_mean(F.col("efficiency_ratio"), 12, 3).alias("avg_efficiency"),
             _valid().alias("valid_readings"),
             F.count_if(~F.col("is_valid")).alias("invalid_readings"),
         )
@@ -61,7 +61,7 @@ def hourly_system(
             stored_mean(production, 8, 3).alias("avg_production_per_panel"),
             F.max(production).alias("peak_production_kw"),
             stored_mean(F.col("temperature_c"), 5, 1).alias("avg_temperature"),
-            stored_mean(F.col("efficiency_ratio"), 5, 3).alias("avg_system_efficiency"),
+            stored_mean(F.col("efficiency_ratio"), 12, 3).alias("avg_system_efficiency"),
             _valid().alias("valid_readings"),
         )
         .withColumns(audit_column("gold_ingestion_time", as_of))
@@ -80,7 +80,7 @@ def monthly_kpis(silver_solar: DataFrame, as_of: datetime | None = None) -> Data
             F.sum(production).cast("decimal(22,2)").alias("total_production_kwh"),
             stored_mean(production, 8, 3).alias("avg_production_kw"),
             F.max(production).alias("peak_production_kw"),
-            stored_mean(F.col("efficiency_ratio"), 5, 3).alias("avg_efficiency"),
+            stored_mean(F.col("efficiency_ratio"), 12, 3).alias("avg_efficiency"),
             stored_mean(F.col("temperature_c"), 5, 1).alias("avg_temperature"),
             _valid().alias("valid_readings"),
             F.count(F.lit(1)).alias("readings"),
@@ -109,7 +109,7 @@ def weather_impact(silver_weather: DataFrame, silver_solar: DataFrame) -> DataFr
             "id timestamp city temperature humidity cloud_cover uv_index sky_condition".split()
         ),
     )
-    joined = salted_lookup(observed, production, ["hour"], "left", salt_by=["id", "timestamp"])
+    joined = observed.join(production, "hour", "left")
     return joined.select(
         "timestamp",
         "city",
@@ -123,15 +123,21 @@ def weather_impact(silver_weather: DataFrame, silver_solar: DataFrame) -> DataFr
     )
 
 
-def combined_solar_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
+def combined_solar_weather(
+    readings: DataFrame, weather: DataFrame, same_city: bool = False
+) -> DataFrame:
     """Each reading with every weather row of its hour (a reading without any keeps NULLs).
 
+    ``same_city`` joins a reading with the weather of its own city only.
+
     An hour with several weather rows multiplies its readings: that is the
     content of this view.  An hour that is busy on either side is split over
     many tasks, and only that hour's rows of the other side are copied to them.
     """
+    place = ["city"] if same_city else []
     reading = readings.select(
         hour_of(F.col("timestamp"), readings).alias("hour"),
+        *place,
         "event_id",
         "timestamp",
         "panel_id",
@@ -140,6 +146,7 @@ def combined_solar_weather(readings: DataFrame, weather: DataFrame) -> DataFrame
     )
     observed = weather.select(
         hour_of(F.col("timestamp"), weather).alias("hour"),
+        *place,
         "id",
         F.col("temperature").alias("ambient_temperature"),
         "humidity",
@@ -150,7 +157,7 @@ def combined_solar_weather(readings: DataFrame, weather: DataFrame) -> DataFrame
     joined = skew_join(
         reading,
         observed,
-        ["hour"],
+        ["hour", *place],
         "left",
         salt_by=["event_id", "timestamp"],
         right_salt_by=["id"],

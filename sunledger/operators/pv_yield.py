@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger import constants as C
-from sunledger.functions.semantics import exact_mean, steady_mean
-from sunledger.functions.skew import salted_lookup
+from sunledger.functions.semantics import exact_mean, stable_mean
 from sunledger.functions.sun import IRRADIANCE_STEPS, PANEL_STEPS, POSITION_STEPS
 
 SITE_COLUMNS = tuple(name for name in asdict(C.Site()) if name not in ("city", "timezone"))
@@ -45,11 +44,10 @@ def with_site(weather: DataFrame, site: C.Site = C.Site()) -> DataFrame:
     return weather.withColumns({name: F.lit(parameters[name]) for name in SITE_COLUMNS})
 
 
-def with_sites(weather: DataFrame, sites: DataFrame, row_id: str = "id") -> DataFrame:
-    """Parameters of many sites, looked up by city; a busy city is spread over tasks."""
-    return salted_lookup(
-        weather, sites.select("city", *SITE_COLUMNS), ["city"], salt_by=[row_id, "ts_local"]
-    )
+def with_sites(weather: DataFrame, sites: DataFrame) -> DataFrame:
+    """Parameters of many sites, looked up by city: broadcast while they fit, else Spark splits a
+    busy city's partition."""
+    return weather.join(sites.select("city", *SITE_COLUMNS), "city")
 
 
 def pv_yield(weather: DataFrame) -> DataFrame:
@@ -114,13 +112,16 @@ def monthly_normals(
 
 
 def expected_and_actual(yields: DataFrame, readings: DataFrame) -> DataFrame:
-    """Model against meter, by city and hour: both sides are reduced to one row per hour."""
+    """Model against meter, by city and hour: both sides are reduced to one row per hour.
+
+    An hour that only one side knows stays, without a ratio.
+    """
     modelled = yields.groupBy("city", F.date_trunc("hour", "timestamp").alias("hour")).agg(
-        steady_mean(F.col("production_kw")).alias("expected_kw")
+        stable_mean(F.col("production_kw")).alias("expected_kw")
     )
     metered = readings.groupBy("city", F.date_trunc("hour", "timestamp").alias("hour")).agg(
         exact_mean(F.col("production_kw")).alias("actual_kw")
     )
-    return modelled.join(metered, ["city", "hour"]).withColumn(
+    return modelled.join(metered, ["city", "hour"], "full").withColumn(
         "ratio", F.try_divide("actual_kw", "expected_kw")
     )

@@ -85,7 +85,7 @@ def build_silver_solar(readings: DataFrame, as_of: datetime | None = None) -> Da
     return readings.withColumn("ratio", F.expr(EFFICIENCY)).withColumns(
         {
             **calendar_parts(F.col("timestamp")),
-            "efficiency_ratio": F.col("ratio").try_cast("decimal(5,3)"),
+            "efficiency_ratio": F.col("ratio").cast("decimal(12,3)"),
             "performance_category": performance_category("ratio"),
             "is_valid": reading_is_valid(),
             **audit_column("silver_ingestion_time", as_of),

@@ -78,9 +78,8 @@ def silver_solar(f: Fleet) -> DataFrame:
 
 @query
 def silver_weather(f: Fleet) -> DataFrame:
-    return f.silver_weather.drop(
-        "wind_direction", "weather_description", "pressure", "precipitation"
-    )
+    # two columns that the events cannot fill
+    return f.silver_weather.drop("wind_direction", "weather_description")
 
 
 @query
@@ -165,6 +164,11 @@ def anomaly_open_rollup(f: Fleet) -> DataFrame:
     return anomalies.open_rollup(f.anomalies)
 
 
+@query
+def anomaly_open_panels(f: Fleet) -> DataFrame:
+    return anomalies.open_panels(f.anomalies)
+
+
 def _history(f: Fleet) -> DataFrame:
     """Two first runs, half a month apart."""
     middle = f.anomalies_of_first_run(datetime(2024, 1, 15, 23, 59, 59, 999999))
@@ -728,16 +732,15 @@ def simple_score(f: Fleet) -> DataFrame:
 
 @query
 def weather_payload_flatten(f: Fleet) -> DataFrame:
-    rows = decode.flatten_weather(messages.weather_payloads(f.weather), datetime(2024, 1, 31, 10))
-    return rows.drop("wind_direction")
+    return decode.flatten_weather(messages.weather_payloads(f.weather), datetime(2024, 1, 31, 10))
 
 
 def _ingested(f: Fleet, dedup: str) -> str:
     """Run the whole stream over all messages of the folder; returns the sink folder."""
     base = work_folder(f.spark, "ingest")
     lines = messages.reading_messages(f.readings)
-    lines.repartition(6).write.text(f"{base}/incoming")
-    stream = ingest.file_messages(f.spark, f"{base}/incoming", files_per_batch=3)
+    lines.write.text(f"{base}/incoming")
+    stream = ingest.file_messages(f.spark, f"{base}/incoming")
     running = ingest.start_ingest(
         stream,
         f"{base}/sink",
@@ -751,7 +754,8 @@ def _ingested(f: Fleet, dedup: str) -> str:
 
 def _readings_of(f: Fleet, dedup: str) -> DataFrame:
     stored = ingest.read_readings(f.spark, _ingested(f, dedup))
-    return stored.drop(ingest.BATCH_COLUMN, "event_date")
+    # the moment of ingestion is the clock's
+    return stored.drop(ingest.BATCH_COLUMN, "event_date", ingest.INGESTED)
 
 
 @query
@@ -777,7 +781,7 @@ def ingest_counters(f: Fleet) -> DataFrame:
 
 @query
 def stream_hourly_rollup(f: Fleet) -> DataFrame:
-    """The live roll-up run to its end; every trigger rewrites the (few) hours."""
+    """The live roll-up run to its end."""
     base = work_folder(f.spark, "rollup")
     arriving = (
         f.spark.readStream.schema(f.events.schema)
@@ -785,13 +789,13 @@ def stream_hourly_rollup(f: Fleet) -> DataFrame:
         .parquet(f.folder)
     )
     stream = silver_ops.build_silver_solar(readings_view(arriving))
-    running = (
-        rollup.hourly_rollup(stream.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
-        .writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/hours"))
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
-    return f.spark.read.parquet(f"{base}/hours").drop("active_panels")
+    stream = stream.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rollup.start_rollup(stream, f"{base}/hours", f"{base}/checkpoint").awaitTermination()
+    return rollup.hourly_totals(f.spark, f"{base}/hours")
+
+
+@query
+def live_windows(f: Fleet) -> DataFrame:
+    """The dashboard's sliding windows over the whole table."""
+    readings = f.silver_solar.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return rollup.live_windows(readings)

@@ -17,11 +17,13 @@ from sunledger.functions.clock import PARTITION_COLUMN
 from sunledger.operators import anomalies, gold, monitoring, quality, silver
 from sunledger.schemas import GOLD_ANOMALIES
 from sunledger.session import materialise
-from sunledger.sources.tables import refresh_days, refresh_table
+from sunledger.sources.tables import append_table, exists, refresh_days, refresh_table
+from sunledger.streaming import decode
 
 GENERATION = "generation"
 _ANOMALY_TABLE = T.StructType([*GOLD_ANOMALIES.fields, T.StructField(GENERATION, T.IntegerType())])
 
+_ANOMALY_DAY = "anomaly_date"
 _MARKERS = T.StructType([T.StructField(GENERATION, T.IntegerType())])
 
 
@@ -68,7 +70,7 @@ class Lake:
 
     def anomalies(self) -> DataFrame:
         """The current generation of gold_anomalies (no rows before the first run)."""
-        stored = self._table("gold_anomalies", _ANOMALY_TABLE, [GENERATION])
+        stored = self._table("gold_anomalies", _ANOMALY_TABLE)
         return stored.where(F.col(GENERATION) == self.generation()).drop(GENERATION)
 
     def generation(self) -> int:
@@ -77,23 +79,27 @@ class Lake:
 
     def append_anomalies(self, found: DataFrame) -> None:
         location = self.location("gold", "gold_anomalies")
-        found.write.mode("append").parquet(f"{location}/{GENERATION}={self.generation()}")
+        found.write.mode("append").partitionBy(_ANOMALY_DAY).parquet(
+            f"{location}/{GENERATION}={self.generation()}"
+        )
 
     def replace_anomalies(self, rows: DataFrame) -> None:
         """Write ``rows`` as the next generation and make it the current one."""
         following = self.generation() + 1
         location = self.location("gold", "gold_anomalies")
-        rows.write.mode("overwrite").parquet(f"{location}/{GENERATION}={following}")
+        rows.write.mode("overwrite").partitionBy(_ANOMALY_DAY).parquet(
+            f"{location}/{GENERATION}={following}"
+        )
         marker = self.spark.createDataFrame([(following,)], _MARKERS)
         marker.write.mode("append").parquet(self.location("gold", "gold_anomalies_generations"))
 
     def _markers(self) -> DataFrame:
-        return self._table("gold_anomalies_generations", _MARKERS, [])
+        return self._table("gold_anomalies_generations", _MARKERS)
 
-    def _table(self, table: str, schema: T.StructType, parts: list[str]) -> DataFrame:
+    def _table(self, table: str, schema: T.StructType) -> DataFrame:
         location = self.location("gold", table)
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(*parts).parquet(location)
+        if not exists(self.spark, location):
+            return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(location)
 
 
@@ -110,21 +116,45 @@ def refresh_silver(lake: Lake, as_of: datetime, days: Sequence[date] | None = No
         if days is None:
             refresh_table(build(bronze, as_of), location, ts="timestamp")
         else:
-            refresh_days(build(_of_days(bronze, days), as_of), location)
+            refresh_days(build(_of_days(bronze, days), as_of), location, days=days)
+
 
+def refresh_gold(lake: Lake, as_of: datetime, days: Sequence[date] | None = None) -> None:
+    """Silver -> gold roll-ups: everything, or only the given days and the months they lie in.
 
-def refresh_gold(lake: Lake, as_of: datetime) -> None:
-    """Silver -> gold roll-ups, as a full refresh."""
+    All tables are partitioned by day, the monthly one by the first of the month.
+    """
     _require(silver_weather=lake.silver_weather, silver_solar=lake.silver_solar)
-    solar = lake.silver_solar
+    weather, solar, month_solar = lake.silver_weather, lake.silver_solar, lake.silver_solar
+    months = sorted({day.replace(day=1) for day in days or ()})
+    if days is not None:
+        weather, solar = _of_days(weather, days), _of_days(solar, days)
+        month_solar = _of_days(month_solar, [day for m in months for day in _days_of_month(m)])
+    monthly = gold.monthly_kpis(month_solar, as_of).withColumn(
+        "month_start", F.expr("make_date(year, month, 1)")
+    )
     tables = {
-        "gold_daily_panel": gold.daily_panel(solar, as_of),
-        "gold_hourly_system": gold.hourly_system(solar, as_of),
-        "gold_monthly_kpis": gold.monthly_kpis(solar, as_of),
-        "gold_weather_impact": gold.weather_impact(lake.silver_weather, solar),
+        "gold_daily_panel": (gold.daily_panel(solar, as_of), "date", days),
+        "gold_hourly_system": (gold.hourly_system(solar, as_of), "hour", days),
+        "gold_monthly_kpis": (monthly, "month_start", months),
+        "gold_weather_impact": (gold.weather_impact(weather, solar), "timestamp", days),
     }
-    for table, df in tables.items():
-        refresh_table(df, lake.location("gold", table))
+    for table, (df, ts, given) in tables.items():
+        if days is None:
+            refresh_table(df, lake.location("gold", table), ts=ts)
+        else:
+            refresh_days(df, lake.location("gold", table), ts, given)
+
+
+def _days_of_month(first: date) -> list[date]:
+    days = [first + timedelta(days=i) for i in range(31)]
+    return [day for day in days if day.month == first.month]
+
+
+def ingest_weather(lake: Lake, payloads: DataFrame, as_of: datetime) -> None:
+    """Weather payloads -> bronze: decoded, given their clock time and appended."""
+    rows = decode.flatten_weather(payloads, as_of)
+    append_table(rows, lake.location("bronze", "weather_data"), ts="timestamp")
 
 
 def run_detection(lake: Lake, as_of: datetime) -> None:

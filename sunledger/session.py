@@ -34,10 +34,15 @@ def build_session(app: str = "sunledger", **overrides: str) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables and stream checkpoints that must outlive an executor.
 
-    The cluster names the shared location in ``spark.checkpoint.dir``.  Only a
-    session without it (a unit test) falls back to a local folder.
+    It lies in the shared location that the cluster names in
+    ``spark.checkpoint.dir``.  Without the setting only a local session, whose
+    driver is its only executor, gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -46,13 +51,13 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="sunledger-")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, into the shared checkpoint folder.
+def materialise(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, computed once.
 
     For a small result that several branches of a plan read; unlike a cache it
-    is still there when executors are lost.
+    is still there when executors are lost, and readers get only the columns
+    they need.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

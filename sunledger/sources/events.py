@@ -69,21 +69,22 @@ def site_hours_view(events: DataFrame) -> DataFrame:
     """Hourly production and weather per site; fifteen neighbouring panels make one site.
 
     Columns: site_id, ts_local (hour), hourly_production_kwh, temperature,
-    cloudcover, ghi_wm2.
+    cloudcover, ghi_wm2.  Readings without a production count for the weather only; an
+    hour without any production has a NULL one.
     """
     hourly = (
-        events.where("event_id % 499 <> 498")
-        .withColumn("k", F.expr(_K))
+        events.withColumn("k", F.expr(_K))
         .selectExpr(
             "'SITE-' || lpad(CAST(user_id DIV 15 AS STRING), 4, '0') AS site_id",
             "date_trunc('hour', ts) AS hour",
-            "CAST(greatest(120 - value, 0) AS DECIMAL(8,3)) AS kw",
+            "CASE WHEN event_id % 499 <> 498 THEN CAST(greatest(120 - value, 0) AS DECIMAL(8,3)) END AS kw",
             "k",
             "(k * 13) % 104 AS cloud",
         )
         .groupBy("site_id", "hour")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.nullif(F.count("kw"), F.lit(0)).alias("metered"),
             F.sum("kw").alias("kw"),
             F.sum("k").alias("k"),
             F.sum("cloud").alias("cloud"),
@@ -92,10 +93,10 @@ def site_hours_view(events: DataFrame) -> DataFrame:
     return hourly.selectExpr(
         "site_id",
         "CAST(hour AS TIMESTAMP_NTZ) AS ts_local",
-        "CAST(kw AS DOUBLE) / n / 37 AS hourly_production_kwh",
+        "CAST(kw AS DOUBLE) / metered / 37 AS hourly_production_kwh",
         "CAST(k AS DOUBLE) / n - 25 AS temperature",
         "CAST(cloud AS DOUBLE) / n AS cloudcover",
-        "CAST(kw AS DOUBLE) / n * 7 AS ghi_wm2",
+        "CAST(kw AS DOUBLE) / metered * 7 AS ghi_wm2",
     )
 
 

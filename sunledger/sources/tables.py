@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,10 +67,31 @@ def refresh_table(df: DataFrame, location: str, ts: str | None = None) -> None:
     writer.partitionBy(*_partition(ts)).parquet(location)
 
 
-def refresh_days(df: DataFrame, location: str, ts: str = "timestamp") -> None:
-    """Incremental refresh: only the event dates that occur in ``df`` are replaced."""
-    writer = _dated(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def refresh_days(
+    df: DataFrame, location: str, ts: str = "timestamp", days: Sequence[date] = ()
+) -> None:
+    """Incremental refresh: the event dates that occur in ``df`` are replaced.
+
+    Those of ``days`` for which ``df`` has no rows are emptied.
+    """
+    dated = _dated(df, ts)
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*_partition(ts)).parquet(location)
+    if not days:
+        return
+    found = df.select(F.to_date(ts).alias("day")).where(F.col("day").isin(*days)).distinct()
+    for day in set(days) - {row.day for row in found.collect()}:
+        delete(df.sparkSession, f"{location}/{PARTITION_COLUMN}={day.isoformat()}")
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_csv(df: DataFrame, location: str) -> None:

@@ -18,14 +18,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sunledger import constants as C
 from sunledger.functions.clock import PARTITION_COLUMN
+from sunledger.functions.semantics import join_null_safe
 from sunledger.schemas import SOLAR_PANEL_READINGS
+from sunledger.sources.tables import delete
 from sunledger.streaming.decode import decode_readings
 
 BATCH_COLUMN = "ingest_batch"
 _PARTITIONS = "spark.sql.shuffle.partitions"
-_STORED = [n for n in SOLAR_PANEL_READINGS.names if n not in ("id", "ingestion_timestamp")]
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+INGESTED = "ingestion_timestamp"
+_STORED = [n for n in SOLAR_PANEL_READINGS.names if n not in ("id", INGESTED)]
 READINGS_SCHEMA = T.StructType(
     [SOLAR_PANEL_READINGS[name] for name in _STORED]
+    + [T.StructField(INGESTED, T.TimestampType())]
     + [T.StructField(BATCH_COLUMN, T.StringType()), T.StructField(PARTITION_COLUMN, T.DateType())]
 )
 REJECTS_SCHEMA = T.StructType(
@@ -56,13 +62,19 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = C.TOPIC) -> D
     )
 
 
-def file_messages(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """JSON lines dropped into a folder."""
-    return (
-        spark.readStream.schema("value STRING")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(folder)
-    )
+def file_messages(
+    spark: SparkSession,
+    folder: str,
+    bytes_per_batch: int = 64 << 30,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """JSON lines dropped into a folder; a batch takes files up to a number of bytes (or files)."""
+    reader = spark.readStream.schema("value STRING")
+    if files_per_batch is None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(folder)
 
 
 def first_per_event(readings: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -91,7 +103,7 @@ def unseen(readings: DataFrame, sink: DataFrame, same_day_only: bool = False) ->
     known = sink.where(F.col("event_id").isNotNull())
     if same_day_only:
         days = readings.select(F.to_date("timestamp").alias(PARTITION_COLUMN)).distinct()
-        known = known.join(days, PARTITION_COLUMN, "left_semi")
+        known = join_null_safe(known, days, [PARTITION_COLUMN])
     # a NULL id matches nothing, so the anti join keeps it
     return readings.join(known.select("event_id"), "event_id", "left_anti")
 
@@ -130,8 +142,10 @@ def batch_writer(
     def write(decoded: DataFrame, batch_id: int) -> None:
         spark = decoded.sparkSession
         name = f"{stream()}-{batch_id}"
-        # read three times below; recomputed from the source if executors are lost
-        decoded = decoded.persist()
+        # read three times below: written once, beside the sink, so that a lost executor costs nothing
+        staged = f"{folder}/staged/{BATCH_COLUMN}={name}"
+        decoded.write.mode("overwrite").parquet(staged)
+        decoded = spark.read.schema(decoded.schema).parquet(staged)
         try:
             good = decoded.where(F.col("reject_reason").isNull())
             order = [c for c in ("partition", "offset") if c in decoded.columns] + ["value"]
@@ -140,7 +154,11 @@ def batch_writer(
                 earlier = read_readings(spark, folder).where(F.col(BATCH_COLUMN) != name)
                 new = unseen(new, earlier, same_day_only)
             (
-                new.select(*_STORED, F.to_date("timestamp").alias(PARTITION_COLUMN))
+                new.select(
+                    *_STORED,
+                    F.current_timestamp().alias(INGESTED),
+                    F.to_date("timestamp").alias(PARTITION_COLUMN),
+                )
                 .hint("rebalance", PARTITION_COLUMN)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
@@ -156,7 +174,7 @@ def batch_writer(
                 F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
             ).write.mode("overwrite").parquet(f"{folder}/counters/{BATCH_COLUMN}={name}")
         finally:
-            decoded.unpersist()
+            delete(spark, staged)
 
     return write
 
@@ -166,7 +184,7 @@ def start_ingest(
     folder: str,
     checkpoint: str,
     *,
-    dedup: str = "sink",
+    dedup: str = "state",
     same_day_only: bool = False,
     state_partitions: int | None = None,
     trigger: dict | None = None,
@@ -175,14 +193,15 @@ def start_ingest(
 
     ``dedup``:
 
+    * ``state``: ids are kept in the query's RocksDB state, so a batch costs as
+      much as its own rows whatever the size of the table.  For one writer.  The
+      number of ``state_partitions`` (default: the session's shuffle partitions)
+      stays for the life of the checkpoint.  Of copies that differ and come in
+      one batch any may be the one that stays; across batches it is the first.
     * ``sink``: each batch is checked against the ids in the table, also those
-      written by other streams.  Reads the table's id column once per batch
-      (``same_day_only`` narrows that to the days of the batch).
-    * ``state``: ids are kept in the query's state store, so a batch costs as
-      much as its own rows whatever the size of the table.  The choice for a
-      large table with one writer; use the RocksDB state store.  The number of
-      ``state_partitions`` (default: the session's shuffle partitions) stays
-      for the life of the checkpoint.
+      written by other streams, and the first copy of a batch by partition and
+      offset stays.  Reads the table's id column once per batch; with
+      ``same_day_only`` only that of the batch's days.
 
     Neither forgets an id: a late, never-seen event is always kept.
     """
@@ -206,15 +225,39 @@ def start_ingest(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    if state_partitions is None:
-        return query.start()
-    before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, state_partitions)
+    wanted = {_STATE_STORE: _ROCKS_DB}
+    if state_partitions is not None:
+        wanted[_PARTITIONS] = str(state_partitions)
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         # a query takes its own copy of the settings when it starts
         return query.start()
     finally:
-        spark.conf.set(_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def compact(spark: SparkSession, folder: str, batches: Sequence[str], name: str) -> None:
+    """Merge the readings of finished ``batches`` into the sub-folder ``name``, a file or so per day.
+
+    To be run while no batch of them can be repeated, hence not on the stream's
+    latest one.  The merged folder is complete before the old ones go.
+    """
+    if name in batches:
+        raise ValueError("the merged folder needs a name of its own")
+    merged = read_readings(spark, folder).where(F.col(BATCH_COLUMN).isin(list(batches)))
+    (
+        merged.drop(BATCH_COLUMN)
+        .hint("rebalance", PARTITION_COLUMN)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION_COLUMN)
+        .parquet(f"{folder}/readings/{BATCH_COLUMN}={name}")
+    )
+    for batch in batches:
+        delete(spark, f"{folder}/readings/{BATCH_COLUMN}={batch}")
 
 
 def _first_of_all_time(decoded: DataFrame) -> DataFrame:

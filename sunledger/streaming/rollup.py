@@ -2,54 +2,98 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+BATCH = "rollup_batch"
+PANEL_HOURS = T.StructType(
+    [
+        T.StructField("hour", T.TimestampType()),
+        T.StructField("panel_id", T.StringType()),
+        T.StructField("readings", T.LongType()),
+        T.StructField("total_production_kw", T.DecimalType(18, 3)),
+        T.StructField("peak_production_kw", T.DecimalType(8, 3)),
+        T.StructField("valid_readings", T.LongType()),
+        T.StructField(BATCH, T.LongType()),
+    ]
+)
 
-def hourly_rollup(readings: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """The fleet per hour as a stream; hours close ``lateness`` after their end.
 
-    Streams cannot count distinct values exactly: ``active_panels`` is a sketch.
-    The batch roll-up counts them exactly.
-    """
+def panel_hours(readings: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """Readings of each panel and hour; the state of an hour goes ``lateness`` after its end."""
     return (
         readings.withWatermark("timestamp", lateness)
-        .groupBy(F.window("timestamp", "1 hour"))
-        .agg(*_measures())
-        .select(F.col("window.start").alias("hour"), *_MEASURED)
+        .groupBy(F.window("timestamp", "1 hour"), "panel_id")
+        .agg(
+            F.count(F.lit(1)).alias("readings"),
+            F.sum("production_kw").cast("decimal(18,3)").alias("total_production_kw"),
+            F.max("production_kw").cast("decimal(8,3)").alias("peak_production_kw"),
+            F.count_if(F.col("is_valid")).alias("valid_readings"),
+        )
+        .selectExpr("window.start AS hour", "* EXCEPT (window)")
+    )
+
+
+def start_rollup(readings: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Keep the hours up to date: each trigger writes the panel hours that changed, and only those.
+
+    A batch replaces its own sub-folder as a whole, so it may run again.  Closed
+    hours leave the state; what comes later than the watermark is not counted.
+    """
+    spark = readings.sparkSession
+    spark.createDataFrame([], PANEL_HOURS).write.mode("ignore").partitionBy(BATCH).parquet(folder)
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
+
+    return (
+        panel_hours(readings)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def hourly_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The fleet per hour from the latest state of every panel hour; panels are counted exactly."""
+    latest = F.max_by(F.struct(*PANEL_HOURS.names[2:-1]), BATCH).alias("s")
+    states = spark.read.schema(PANEL_HOURS).parquet(folder).groupBy("hour", "panel_id").agg(latest)
+    return states.groupBy("hour").agg(
+        F.sum("s.readings").alias("readings"),
+        F.count("panel_id").alias("active_panels"),
+        F.sum("s.total_production_kw").alias("total_production_kw"),
+        F.max("s.peak_production_kw").alias("peak_production_kw"),
+        F.sum("s.valid_readings").alias("valid_readings"),
     )
 
 
 def live_windows(
     readings: DataFrame, length: str = "30 minutes", step: str = "5 minutes", lateness: str = "1 hour"
 ) -> DataFrame:
-    """Sliding windows of the last minutes for a dashboard."""
+    """Sliding windows of the last minutes for a dashboard.
+
+    Streams cannot count distinct values exactly: there ``active_panels`` is a
+    sketch.  Over a table it is exact.
+    """
     return (
         readings.withWatermark("timestamp", lateness)
         .groupBy(F.window("timestamp", length, step))
-        .agg(*_measures())
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            *_MEASURED,
+        .agg(
+            F.count(F.lit(1)).alias("readings"),
+            _panels(readings).alias("active_panels"),
+            F.sum("production_kw").alias("total_production_kw"),
+            F.max("production_kw").alias("peak_production_kw"),
+            F.count_if(F.col("is_valid")).alias("valid_readings"),
         )
+        .selectExpr("window.start AS window_start", "window.end AS window_end", "* EXCEPT (window)")
     )
 
 
-_MEASURED = (
-    "readings",
-    "active_panels",
-    "total_production_kw",
-    "peak_production_kw",
-    "valid_readings",
-)
-
-
-def _measures() -> list:
-    return [
-        F.count(F.lit(1)).alias("readings"),
-        F.approx_count_distinct("panel_id").alias("active_panels"),
-        F.sum("production_kw").alias("total_production_kw"),
-        F.max("production_kw").alias("peak_production_kw"),
-        F.count_if(F.col("is_valid")).alias("valid_readings"),
-    ]
+def _panels(readings: DataFrame) -> Column:
+    if readings.isStreaming:
+        return F.approx_count_distinct("panel_id")
+    return F.count_distinct("panel_id")

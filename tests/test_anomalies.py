@@ -127,7 +127,7 @@ def table(spark, *entries):
     )
 
 
-def test_rollup_pages_hold_every_panel_once(spark):
+def test_rollup_and_its_panels(spark):
     entries = [
         {
             "panel_id": f"P{i:03}",
@@ -138,11 +138,11 @@ def test_rollup_pages_hold_every_panel_once(spark):
         }
         for i in range(100)
     ]
-    whole = A.open_rollup(table(spark, *entries)).collect()
-    assert len(whole) == 1 and whole[0]["count"] == 100 and whole[0].page == 0
-    pages = A.open_rollup(table(spark, *entries), panels_per_page=10).collect()
-    listed = [p for page in pages for p in page.affected_panels.split(", ")]
-    assert len(pages) > 5 and sorted(listed) == [e["panel_id"] for e in entries]
+    (whole,) = A.open_rollup(table(spark, *entries, *entries[:7])).collect()
+    assert (whole["count"], whole.panels) == (107, 100)
+    listed = A.open_panels(table(spark, *entries, *entries[:7])).collect()
+    assert sorted(r.panel_id for r in listed) == [e["panel_id"] for e in entries]
+    assert sum(r["count"] for r in listed) == 107
 
 
 def test_purge_and_resolve(spark):

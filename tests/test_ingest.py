@@ -229,3 +229,34 @@ def test_live_windows_slide(spark, tmp_path):
     assert windows["12:00"].readings == 2 and windows["12:00"].peak_production_kw == 8.0
     assert windows["12:05"].readings == 2
     assert windows["12:30"].active_panels == 1
+
+
+def test_days_without_a_timestamp_are_checked_too(spark):
+    rows = [("e1", None), ("e2", "2026-04-11 01:00:00")]
+    new = spark.sql("SELECT * FROM VALUES ('e1', CAST(NULL AS TIMESTAMP)), ('e2', TIMESTAMP '2026-04-11 01:00:00') t(event_id, timestamp)")
+    sink = new.selectExpr("event_id", "to_date(timestamp) AS event_date")
+    assert ingest.unseen(new, sink, same_day_only=True).count() == 0
+    assert ingest.unseen(new, sink.where("event_id = 'e2'"), same_day_only=True).count() == len(rows) - 1
+
+
+def test_first_copy_of_a_batch_stays(spark):
+    copies = spark.createDataFrame(
+        [("e1", 1, 5, "b"), ("e1", 1, 3, "z"), ("e1", 2, 0, "a"), (None, 0, 0, "n"), (None, 0, 0, "n")],
+        "event_id string, partition int, offset long, value string",
+    )
+    kept = ingest.first_per_event(copies, ["partition", "offset", "value"]).collect()
+    assert sorted((r.event_id or "", r.value) for r in kept) == [("", "n"), ("", "n"), ("e1", "z")]
+
+
+@pytest.mark.parametrize("dedup", ["sink", "state"])
+def test_compaction_keeps_every_reading(spark, tmp_path, dedup):
+    for i in range(3):
+        drop_file(tmp_path / "in", f"{i}.json", [line(event_id=f"c{i}-{j}") for j in range(4)])
+    before = run(spark, tmp_path, dedup)
+    ids = sorted(r.event_id for r in before.collect())
+    batches = [r[0] for r in before.select(ingest.BATCH_COLUMN).distinct().collect()]
+    ingest.compact(spark, f"{tmp_path}/sink", batches, "merged")
+    after = ingest.read_readings(spark, f"{tmp_path}/sink")
+    assert sorted(r.event_id for r in after.collect()) == ids and len(ids) == 12
+    assert {r[0] for r in after.select(ingest.BATCH_COLUMN).distinct().collect()} == {"merged"}
+    assert after.where("ingestion_timestamp IS NULL").count() == 0

@@ -85,3 +85,42 @@ def test_append_adds(spark, tmp_path):
     for _ in range(2):
         append_table(fleet.weather.limit(3), f"{tmp_path}/w")
     assert spark.read.parquet(f"{tmp_path}/w").count() == 6
+
+
+def test_incremental_gold_changes_only_its_days(spark, tmp_path):
+    fleet = Fleet(spark, SMALL, AS_OF)
+    lake = refresh.Lake(spark, str(tmp_path))
+    refresh_table(fleet.weather, lake.location("bronze", "weather_data"), ts="timestamp")
+    refresh_table(fleet.readings, lake.location("bronze", "solar_panel_readings"), ts="timestamp")
+    refresh.refresh_silver(lake, AS_OF)
+    refresh.refresh_gold(lake, AS_OF)
+    later = datetime(2024, 2, 5)
+    # the readings of one day turn out to be void, those of another one stay
+    kept = fleet.readings.where("to_date(timestamp) <> DATE '2024-01-20'")
+    refresh_table(kept, lake.location("bronze", "solar_panel_readings"), ts="timestamp")
+    days = [date(2024, 1, 20), date(2024, 1, 21)]
+    refresh.refresh_silver(lake, later, days=days)
+    refresh.refresh_gold(lake, later, days=days)
+    stamps = lake.daily_panel.groupBy("date").agg(F.max("gold_ingestion_time").alias("t")).collect()
+    by_day = {r.date: r.t for r in stamps}
+    assert date(2024, 1, 20) not in by_day and by_day[date(2024, 1, 21)] == later
+    assert by_day[date(2024, 1, 19)] == AS_OF
+    solar = lake.silver_solar.count()
+    assert solar == kept.count()
+    assert lake.daily_panel.agg(F.sum("readings_count")).first()[0] == solar
+    assert lake.read("gold", "gold_hourly_system").where("to_date(hour) = DATE '2024-01-20'").isEmpty()
+    assert lake.read("gold", "gold_monthly_kpis").agg(F.sum("valid_readings")).first()[0] == (
+        lake.silver_solar.where("is_valid").count()
+    )
+
+
+def test_weather_job_appends(spark, tmp_path):
+    from sunledger.sources import messages
+
+    fleet = Fleet(spark, SMALL, AS_OF)
+    lake = refresh.Lake(spark, str(tmp_path))
+    payloads = messages.weather_payloads(fleet.weather)
+    refresh.ingest_weather(lake, payloads, datetime(2024, 1, 31, 10))
+    once = lake.weather.count()
+    refresh.ingest_weather(lake, payloads, datetime(2024, 1, 31, 11))
+    assert 0 < once and lake.weather.count() == 2 * once

@@ -80,6 +80,11 @@ def test_reading_validity(spark, changes, valid):
     assert row.is_valid is valid
 
 
+def test_a_huge_ratio_is_kept(spark):
+    (row,) = silver_rows(spark, reading(production_kw=D("10.000"), panel_power_kw=D("0.05")))
+    assert float(row.efficiency_ratio) > 100 and row.performance_category == "Excellent"
+
+
 WEATHER = (
     "id BIGINT, city STRING, timestamp TIMESTAMP_NTZ, temperature DECIMAL(5,2), humidity INT, "
     "wind_speed DECIMAL(5,2), cloud_cover INT, uv_index DECIMAL(3,1)"

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunledger.functions.quantiles import exact_quantiles
-from sunledger.functions.skew import hot_keys, salted_lookup, skew_join
+from sunledger.functions.skew import hot_keys, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -26,21 +26,11 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_plain_join(sides, how):
     left, right = sides
-    ours = skew_join(left, right, ["key"], how, salt_by=["id"])
+    ours = skew_join(left, right, ["key"], how, salt_by=["id"], rows_per_task=100)
     plain = left.join(right, "key", how)
     assert sorted(map(str, ours.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_equals_plain_join(sides, how):
-    left, right = sides
-    right = right.dropDuplicates(["key"])
-    ours = salted_lookup(left, right, ["key"], how, salt_by=["id"])
-    columns = [c for c in ours.columns if c != "v"]
-    plain = left.join(right, "key", how).select(*columns)
-    assert sorted(map(str, ours.select(*columns).collect())) == sorted(map(str, plain.collect()))
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_both_sides_hot(spark, how):
     left = [(i, "hot" if i % 3 else "l") for i in range(90)] + [(i, f"k{i}") for i in range(90, 900)]
@@ -49,7 +39,7 @@ def test_both_sides_hot(spark, how):
     right += [(i, f"k{i}") for i in range(100, 300)]
     left = spark.createDataFrame(left, "id INT, key STRING")
     right = spark.createDataFrame(right, "rid INT, key STRING")
-    ours = skew_join(left, right, ["key"], how, salt_by=["id"], right_salt_by=["rid"], salts=7)
+    ours = skew_join(left, right, ["key"], how, salt_by=["id"], right_salt_by=["rid"], rows_per_task=7)
     plain = left.join(right, "key", how)
     assert sorted(map(str, ours.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
@@ -60,23 +50,39 @@ def test_right_joins_are_refused(sides):
         skew_join(left, right, ["key"], "right", salt_by=["id"])
 
 
-def test_hot_keys_are_few(sides):
-    counted = sides[0].groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    found = [r.key for r in hot_keys(counted, ["key"], "n", max_hot=10).collect()]
-    assert found == ["hot"]
+def test_salts_follow_the_rows_of_a_key(sides):
+    found = {r.key: r.n for r in hot_keys(sides[0], ["key"], "n", rows_per_task=150).collect()}
+    assert found == {"hot": 14}  # 2000 rows
 
 
-def test_salt_spreads_the_hot_key(spark, sides):
+@pytest.fixture
+def unassisted(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        left, right = sides
-        joined = skew_join(left, right, ["key"], salt_by=["id"])
-        parts = joined.where("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct()
-        assert parts.count() == 4
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def largest_task(joined):
+    return joined.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_a_key_with_a_third_of_the_rows_is_spread(unassisted, sides):
+    left, right = sides
+    joined = skew_join(left, right, ["key"], salt_by=["id"], rows_per_task=100)
+    assert joined.where("key = 'hot'").count() == 4000
+    assert largest_task(joined) < 1000
+
+
+def test_uniform_busy_hours_are_split(unassisted, spark):
+    left = spark.range(7200).selectExpr("id", "id % 72 AS hour")
+    right = spark.range(2880).selectExpr("id AS rid", "id % 72 AS hour")
+    joined = skew_join(left, right, ["hour"], "left", salt_by=["id"], right_salt_by=["rid"], rows_per_task=20)
+    assert joined.count() == 7200 * 40
+    assert largest_task(joined) < 3 * 7200 * 40 / 32
 
 
 @pytest.mark.parametrize("probs", [[0.5], [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]])
@@ -91,3 +97,18 @@ def test_exact_quantiles_equal_percentile(spark, probs):
     for row in plain.collect():
         assert ours[row.g] == pytest.approx(row.q, rel=1e-12)
     assert "c" not in ours
+
+
+def test_null_is_a_group_of_the_quantiles(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", None)], "g STRING, v DOUBLE")
+    found = {r.g: (r.n, r.quantiles) for r in exact_quantiles(df, ["g"], F.col("v"), [0.5, 1]).collect()}
+    assert found == {None: (2, [2.0, 3.0]), "a": (1, [2.0, 2.0])}
+
+
+def test_stable_sum_does_not_cut(spark):
+    from sunledger.functions.semantics import stable_mean, stable_sum
+
+    df = spark.createDataFrame([(1e-9,), (2e-9,), (3e13,)], "v DOUBLE")
+    total, mean = df.where("v < 1").agg(stable_sum(F.col("v")), stable_mean(F.col("v"))).first()
+    assert total == pytest.approx(3e-9) and mean == pytest.approx(1.5e-9)
+    assert df.agg(stable_sum(F.col("v"))).first()[0] == pytest.approx(3e13)
