@@ -68,3 +68,36 @@ oracle(
     FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, timestamp) - to_minutes(5 * i) AS w
       FROM solar, range(6) AS r(i)) GROUP BY w""",
 )
+oracle(
+    "csv_weather_scan",
+    "climate",
+    """SELECT city, round(temperature, 6) AS temperature, CAST(humidity AS BIGINT) AS humidity,
+    CAST(trunc(wind_speed) AS BIGINT) AS wind_speed, CAST(cloudcover AS BIGINT) AS cloudcover,
+    round(uv_index, 6) AS uv_index, observation_time, date, CAST(hour AS BIGINT) AS hour,
+    CAST(extract(month FROM date) AS BIGINT) AS month, round(solar_angle, 6) AS solar_angle,
+    round(cloud_factor, 6) AS cloud_factor, 1::DOUBLE AS temp_efficiency,
+    round(uv_factor, 6) AS uv_factor, round(solar_potential, 6) AS solar_potential FROM climate""",
+)
+oracle(
+    "json_export",
+    "daily",
+    f"""SELECT date, panel_id, panel_type, readings_count, {dbl('avg_p_m', 1000)}
+    AS avg_production_kw, {dbl('total_c', 100)} AS total_production_kwh,
+    {dbl('max_m', 1000)} AS peak_production_kw, {dbl('min_m', 1000)} AS min_production_kw,
+    {dbl('eff_m', 1000)} AS avg_efficiency, valid_readings, invalid_readings,
+    {dbl('quality_c', 100)} AS data_quality_pct FROM daily""",
+)
+oracle(
+    "refreshed_days",
+    "readings",
+    """SELECT CAST(timestamp AS DATE) AS event_date, count(*) * CASE WHEN CAST(timestamp AS DATE)
+    BETWEEN DATE '2024-01-29' AND DATE '2024-01-30' THEN 1 ELSE 2 END AS row_count
+    FROM readings GROUP BY CAST(timestamp AS DATE)""",
+)
+oracle(
+    "silver_audit",
+    "readings weather",
+    """SELECT 'silver_solar' AS table_name, TIMESTAMP '2024-01-30 23:59:59.999999' AS stamped,
+    count(*) AS row_count FROM readings
+    UNION ALL SELECT 'silver_weather', TIMESTAMP '2024-01-30 23:59:59.999999', count(*) FROM weather""",
+)

@@ -152,6 +152,32 @@ class Site:
     temp_coefficient: float = 0.004
 
 
+@dataclass(frozen=True)
+class Sky:
+    """Empirical constants of sun position and irradiance."""
+
+    equation_of_time: tuple[float, float, float] = (9.87, 7.53, 1.5)
+    equinox_day: float = 81.0
+    tilt_of_earth: float = 23.45
+    clear_sky_wm2: float = 1098.0
+    extinction: float = 0.059
+    cloud_loss: float = 0.72
+    cloud_power: float = 3.2
+    lowest_transmittance: float = 0.16
+    haze_humidity: float = 55.0
+    haze_scale: float = 230.0
+    lowest_haze: float = 0.82
+    uv_scale: float = 11.0
+    uv_highest: float = 10.5
+    uv_power: float = 1.25
+    uv_cloud_loss: float = 0.55
+    uv_cloud_power: float = 2.2
+    diffuse_base: float = 0.22
+    diffuse_cloud: float = 0.42
+    diffuse_lowest: float = 0.18
+    diffuse_highest: float = 0.72
+
+
 @dataclass(frozen=True)
 class LoadProfile:
     """Household demand shape; bumps are (height, centre, width)."""

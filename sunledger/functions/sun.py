@@ -8,6 +8,11 @@ counted from south.
 
 from __future__ import annotations
 
+from sunledger import constants as C
+
+_SKY = C.Sky()
+_SIN2, _COS, _SIN = _SKY.equation_of_time
+
 # needs: ts_local, utc_offset_hours, latitude, longitude
 POSITION_STEPS = (
     {
@@ -16,12 +21,12 @@ POSITION_STEPS = (
         "clock": "hour(ts_local) + minute(ts_local) / 60D + second(ts_local) / 3600D",
     },
     {
-        "season_rad": "radians(360D / 364D * (day_of_year - 81))",
-        "decl_rad": "radians(23.45D * sin(radians(360D * (284 + day_of_year) / 365D)))",
+        "season_rad": f"radians(360D / 364D * (day_of_year - {_SKY.equinox_day}D))",
+        "decl_rad": f"radians({_SKY.tilt_of_earth}D * sin(radians(360D * (284 + day_of_year) / 365D)))",
     },
     {
-        "equation_of_time": "9.87D * sin(2 * season_rad) - 7.53D * cos(season_rad) "
-        "- 1.5D * sin(season_rad)",
+        "equation_of_time": f"{_SIN2}D * sin(2 * season_rad) - {_COS}D * cos(season_rad) "
+        f"- {_SIN}D * sin(season_rad)",
     },
     {
         "hour_rad": "radians(15D * (clock + (4D * (longitude - 15D * utc_offset_hours) "
@@ -44,14 +49,18 @@ POSITION_STEPS = (
 IRRADIANCE_STEPS = (
     {
         "clear_sky": "CASE WHEN solar_factor > 0 "
-        "THEN 1098D * solar_factor * exp(-0.059D / solar_factor) ELSE 0D END",
-        "transmittance": "greatest(0.16D, least(1D, 1D - 0.72D * pow(cloud / 100D, 3.2D)))",
-        "haze": "greatest(0.82D, least(1D, 1D - (humidity - 55D) / 230D))",
-        "uv": "CASE WHEN solar_factor > 0 THEN round(greatest(0D, least(10.5D, "
-        "11D * pow(solar_factor, 1.25D) * (1D - 0.55D * pow(cloud / 100D, 2.2D)))), 1) ELSE 0D END",
+        f"THEN {_SKY.clear_sky_wm2}D * solar_factor * exp(-{_SKY.extinction}D / solar_factor) ELSE 0D END",
+        "transmittance": f"greatest({_SKY.lowest_transmittance}D, least(1D, "
+        f"1D - {_SKY.cloud_loss}D * pow(cloud / 100D, {_SKY.cloud_power}D)))",
+        "haze": f"greatest({_SKY.lowest_haze}D, least(1D, "
+        f"1D - (humidity - {_SKY.haze_humidity}D) / {_SKY.haze_scale}D))",
+        "uv": f"CASE WHEN solar_factor > 0 THEN round(greatest(0D, least({_SKY.uv_highest}D, "
+        f"{_SKY.uv_scale}D * pow(solar_factor, {_SKY.uv_power}D) "
+        f"* (1D - {_SKY.uv_cloud_loss}D * pow(cloud / 100D, {_SKY.uv_cloud_power}D)))), 1) ELSE 0D END",
         "tilt_rad": "radians(tilt_deg)",
         "facing_rad": "radians(azimuth_from_south_deg)",
-        "diffuse_share": "greatest(0.18D, least(0.72D, 0.22D + 0.42D * cloud / 100D))",
+        "diffuse_share": f"greatest({_SKY.diffuse_lowest}D, least({_SKY.diffuse_highest}D, "
+        f"{_SKY.diffuse_base}D + {_SKY.diffuse_cloud}D * cloud / 100D))",
     },
     {
         "ghi": "clear_sky * transmittance * haze",

@@ -196,17 +196,18 @@ def hour_profile(df: DataFrame, value: str, site: str = "city") -> DataFrame:
 
 def hour_extremes(df: DataFrame, value: str, site: str = "city") -> DataFrame:
     """Peak and lowest hour (the first of equal ones) and the productive hours per day."""
-    # one row per site, date and hour first: days and hours come from the same pass, and
-    # what is collected below is bounded by the calendar
+    # one row per site, date and hour first: days and hours come from the same pass
     cells = df.groupBy(site, "date", "hour").agg(
-        F.sum(F.col(value).cast("decimal(18,6)")).alias("total"),
+        F.sum(F.col(value).cast("decimal(28,12)")).alias("total"),
         F.count(value).alias("n"),
         F.count_if(F.col(value) > 0).alias("productive"),
     )
+    first_of_day = Window.partitionBy(site, "date").orderBy("hour")  # 24 rows at most
+    cells = cells.withColumn("day", F.when(F.row_number().over(first_of_day) == 1, 1).otherwise(0))
     by_hour = cells.groupBy(site, "hour").agg(
         (F.sum("total").cast("double") / F.nullif(F.sum("n"), F.lit(0))).alias("mean_value"),
         F.sum("productive").alias("productive"),
-        F.collect_set("date").alias("dates"),
+        F.sum("day").alias("days"),
     )
     return (
         by_hour.groupBy(site)
@@ -216,7 +217,7 @@ def hour_extremes(df: DataFrame, value: str, site: str = "city") -> DataFrame:
             F.min_by("hour", F.struct("mean_value", "hour")).alias("lowest_hour"),
             F.min("mean_value").alias("lowest_value"),
             F.sum("productive").alias("productive_hours"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("days"),
+            F.sum("days").alias("days"),
         )
         .withColumn("productive_hours_per_day", F.col("productive_hours") / F.col("days"))
         .drop("days")

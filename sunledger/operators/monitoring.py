@@ -30,6 +30,19 @@ SCORE_LOWEST, DEDUCTION_LOWEST = "CRITICAL", "POOR"
 STALE_HOURS, DELAYED_HOURS = 24, 6
 LOW_VOLUME_PER_HOUR = 100
 
+# Texts of the deductions and of the alert
+STALE, DELAYED, POOR, FAIR = "Stale data", "Data delay", "Poor", "Fair"
+DELAY_DEDUCTION = "%s: -%d ({} hours)"
+ANOMALY_DEDUCTION = "Anomalies: -%d (%d critical real, %d missing, %d warning)"
+QUALITY_DEDUCTION = "%s data quality: -%d ({}%%)"
+EMPTY_DEDUCTION = "Missing tables: -%d (%d tables empty)"
+CRITICAL_REASON = "%d critical anomalies"
+WARNING_REASON = "%d warnings"
+DELAY_REASON = "Data delayed by %.1f hours"
+QUALITY_REASON = "Low data quality: %.1f%%"
+ALERT_HEADLINE, QUIET_HEADLINE = "Alert triggered: ", "No action needed - all systems normal"
+ALERT_SUMMARY = "Summary: %d critical, %d warnings, %.1fh delay, %.1f%% quality"
+
 
 def _moment(as_of: datetime) -> Column:
     return F.lit(as_of.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
@@ -253,8 +266,8 @@ def health_score_deductions(
             F.when(
                 fresh > 0,
                 F.format_string(
-                    f"%s: -%d ({one_digit} hours)",
-                    F.when(fresh == 30, "Stale data").otherwise("Data delay"),
+                    DELAY_DEDUCTION.format(one_digit),
+                    F.when(fresh == 30, STALE).otherwise(DELAYED),
                     fresh,
                     "hours",
                 ),
@@ -262,7 +275,7 @@ def health_score_deductions(
             F.when(
                 anomaly > 0,
                 F.format_string(
-                    "Anomalies: -%d (%d critical real, %d missing, %d warning)",
+                    ANOMALY_DEDUCTION,
                     anomaly,
                     counts["critical_real"],
                     counts["critical_missing"],
@@ -272,15 +285,15 @@ def health_score_deductions(
             F.when(
                 quality > 0,
                 F.format_string(
-                    f"%s data quality: -%d ({one_digit}%%)",
-                    F.when(quality == 20, "Poor").otherwise("Fair"),
+                    QUALITY_DEDUCTION.format(one_digit),
+                    F.when(quality == 20, POOR).otherwise(FAIR),
                     quality,
                     "quality",
                 ),
             ),
             F.when(
                 missing > 0,
-                F.format_string("Missing tables: -%d (%d tables empty)", missing, "empty_tables"),
+                F.format_string(EMPTY_DEDUCTION, missing, "empty_tables"),
             ),
         ]
     )
@@ -325,26 +338,26 @@ def alert_decision(
     is_critical = critical >= limits.critical_anomalies
     reasons = present(
         [
-            F.when(is_critical, F.format_string("%d critical anomalies", critical)),
+            F.when(is_critical, F.format_string(CRITICAL_REASON, critical)),
             F.when(
-                warning >= limits.warning_anomalies, F.format_string("%d warnings", warning)
+                warning >= limits.warning_anomalies, F.format_string(WARNING_REASON, warning)
             ),
             F.when(
                 delay > limits.data_delay_hours,
-                F.format_string("Data delayed by %.1f hours", delay),
+                F.format_string(DELAY_REASON, delay),
             ),
             F.when(
                 quality < limits.quality_pct,
-                F.format_string("Low data quality: %.1f%%", quality),
+                F.format_string(QUALITY_REASON, quality),
             ),
         ]
     )
     headline = F.when(
         F.size("reasons") > 0,
-        F.concat(F.lit("Alert triggered: "), F.array_join("reasons", ", ")),
-    ).otherwise("No action needed - all systems normal")
+        F.concat(F.lit(ALERT_HEADLINE), F.array_join("reasons", ", ")),
+    ).otherwise(QUIET_HEADLINE)
     summary = F.format_string(
-        "Summary: %d critical, %d warnings, %.1fh delay, %.1f%% quality",
+        ALERT_SUMMARY,
         critical, warning, delay, quality,
     )
     return (

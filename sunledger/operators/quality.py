@@ -36,6 +36,13 @@ SOME_ANOMALIES = ("⚠️ WARNING - ", " open anomalies")
 MANY_ANOMALIES = ("❌ CRITICAL - ", " open anomalies require attention")
 MANY_ANOMALIES_FROM = 5
 
+# Reasons of invalid readings
+NEGATIVE_PRODUCTION = "Negative production"
+BAD_TEMPERATURE = "Temperature out of range"
+BAD_CLOUD_FACTOR = "Invalid cloud factor"
+BAD_EFFICIENCY = "Invalid efficiency"
+OTHER_REASON = "Other"
+
 
 def broken(column: str, bounds: tuple) -> Column:
     return F.expr(outside(column, bounds))
@@ -286,11 +293,11 @@ def invalid_share(silver_weather: DataFrame) -> DataFrame:
 def invalid_reasons(silver_solar: DataFrame) -> DataFrame:
     """Invalid readings by the first rule they break; Other are missing values."""
     reason = (
-        F.when(F.col("production_kw") < 0, "Negative production")
-        .when(broken("temperature_c", C.PANEL_TEMPERATURE_RANGE), "Temperature out of range")
-        .when(broken("cloud_factor", C.CLOUD_FACTOR_RANGE), "Invalid cloud factor")
-        .when(broken("temp_efficiency", C.TEMP_EFFICIENCY_RANGE), "Invalid efficiency")
-        .otherwise("Other")
+        F.when(F.col("production_kw") < 0, NEGATIVE_PRODUCTION)
+        .when(broken("temperature_c", C.PANEL_TEMPERATURE_RANGE), BAD_TEMPERATURE)
+        .when(broken("cloud_factor", C.CLOUD_FACTOR_RANGE), BAD_CLOUD_FACTOR)
+        .when(broken("temp_efficiency", C.TEMP_EFFICIENCY_RANGE), BAD_EFFICIENCY)
+        .otherwise(OTHER_REASON)
     )
     return (
         silver_solar.where(~F.col("is_valid"))

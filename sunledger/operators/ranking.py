@@ -63,10 +63,9 @@ def _choices(weights: C.ChoiceWeights) -> Column:
     return F.expr(f"explode(array({', '.join(rows)}))")
 
 
-def payback_number(shown: Column) -> Column:
-    """Years from a text such as '7 years'; a text without a leading number counts as 99."""
-    digits = F.regexp_extract(shown, r"^\s*([0-9]+\.?[0-9]*)", 1)
-    return F.coalesce(F.nullif(digits, F.lit("")).cast("double"), F.lit(NO_PAYBACK_YEARS))
+def payback_number(years: Column) -> Column:
+    """Payback years as a criterion: none at all counts as 99."""
+    return F.coalesce(years.cast("double"), F.lit(NO_PAYBACK_YEARS))
 
 
 def scenario_ranking(
@@ -90,19 +89,20 @@ def scenario_ranking(
 
     compared = metrics.withColumns(
         {
+            "payback_number": F.col("payback_years"),
             "current_coverage": of_current("demand_coverage_pct"),
             "current_cost": of_current("installation_cost_euro"),
         }
     )
     sources = {
-        "payback": payback_number(F.col("payback_years")),
+        "payback": payback_number(F.col("payback_number")),
         "value": F.col("npv_25_years_euro"),
         "coverage": F.col("demand_coverage_pct"),
         "self_consumption": F.col("self_consumption_pct"),
         "capex": F.col("installation_cost_euro"),
         "production": F.col("annual_production_kwh"),
     }
-    rated = size_sensitivity(compared, "current_coverage", "current_cost").withColumns(
+    rated = size_sensitivity(compared, "payback_number", "current_coverage", "current_cost").withColumns(
         {f"{n}_raw": value for n, value in sources.items()}
     )
     rated = rated.withColumns(

@@ -7,7 +7,7 @@ the result into plain comparable types.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,8 @@ from sunledger.operators import (
 from sunledger.plans import feasibility
 from sunledger.plans.fleet import Fleet
 from sunledger.session import materialise, work_folder
-from sunledger.sources import messages
+from sunledger.schemas import SITE_WEATHER_CSV
+from sunledger.sources import messages, tables
 from sunledger.sources.events import readings_view
 from sunledger.streaming import decode, ingest, rollup
 
@@ -421,9 +422,9 @@ def health_score(f: Fleet) -> DataFrame:
 
 @query
 def health_score_deductions(f: Fleet) -> DataFrame:
-    tables = {**_bronze(f), **_silver(f), "gold_daily_panel": f.daily_panel}
+    watched = {**_bronze(f), **_silver(f), "gold_daily_panel": f.daily_panel}
     return monitoring.health_score_deductions(
-        f.readings, f.anomalies, f.daily_panel, tables, AS_OF
+        f.readings, f.anomalies, f.daily_panel, watched, AS_OF
     )
 
 
@@ -727,6 +728,57 @@ def simple_score(f: Fleet) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------ sources and sinks
+
+
+@query
+def csv_weather_scan(f: Fleet) -> DataFrame:
+    """Site weather through a CSV file and back."""
+    folder = work_folder(f.spark, "csv")
+    names = SITE_WEATHER_CSV.names
+    tables.write_csv(f.site_weather.selectExpr(*(_csv_column(n) for n in names)), folder)
+    return _rounded(tables.read_site_weather_csv(f.spark, folder))
+
+
+def _csv_column(name: str) -> str:
+    return f"CAST({name} AS {SITE_WEATHER_CSV[name].dataType.simpleString()}) AS {name}"
+
+
+@query
+def json_export(f: Fleet) -> DataFrame:
+    """Gold days through JSON lines and back."""
+    folder = work_folder(f.spark, "json")
+    days = f.daily_panel
+    tables.write_json(days, folder)
+    return f.spark.read.schema(days.schema).json(folder)
+
+
+@query
+def refreshed_days(f: Fleet) -> DataFrame:
+    """Rows per day of a table that was written, appended to, and refreshed for its last two days."""
+    location = f"{work_folder(f.spark, 'sinks')}/silver_solar"
+    tables.refresh_table(f.silver_solar, location, ts="timestamp")
+    tables.append_table(f.silver_solar, location)
+    days = [AS_OF.date() - timedelta(days=1), AS_OF.date()]
+    again = f.silver_solar.where(F.to_date("timestamp").isin(*days))
+    tables.refresh_days(again, location, days=days)
+    stored = tables.read_table(f.spark, location)
+    return stored.groupBy("event_date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def silver_audit(f: Fleet) -> DataFrame:
+    """The audit columns of the silver tables."""
+    solar = silver_ops.build_silver_solar(f.readings, AS_OF)
+    weather = silver_ops.build_silver_weather(f.weather, AS_OF)
+    parts = [
+        df.groupBy(F.col("silver_ingestion_time").alias("stamped")).agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "*")
+        for name, df in (("silver_solar", solar), ("silver_weather", weather))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # ------------------------------------------------------------------ ingestion
 
 

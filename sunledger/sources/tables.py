@@ -95,7 +95,9 @@ def delete(spark: SparkSession, location: str) -> None:
 
 
 def write_csv(df: DataFrame, location: str) -> None:
-    df.write.mode("overwrite").csv(location, header=True)
+    """CSV with a header; moments keep their microseconds."""
+    precise = {f"timestamp{kind}Format": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for kind in ("", "NTZ")}
+    df.write.mode("overwrite").options(**precise).csv(location, header=True)
 
 
 def write_json(df: DataFrame, location: str) -> None:
