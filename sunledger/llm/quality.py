@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import id_remainder, read_table, slices, text_or_empty, word_codes
 
-MAX_LABELLED = 6000  # bounds of the training sample
-MAX_POOL = 6000
+MAX_LABELLED = 3000  # bounds of the training sample
+MAX_POOL = 3000
 WORD_BITS = 16
 META_BUCKETS = 64
 ROUNDS = 4

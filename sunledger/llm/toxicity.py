@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import id_remainder, read_table, slices, text_or_empty, word_codes
+from sunledger.llm.common import id_remainder, read_table, slices, stored, text_or_empty, word_codes
 
 HASH_BITS = 22
 MAX_POSITIVES = 4000  # bounds of the training sample
@@ -84,17 +84,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn, id_col: str, label_
 
 
 def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its distinct features and four minima of seeded hashes over them."""
     for batch in batches:
         for part in slices(batch, "text"):
             rows, features = document_features(part.column("text"))
             counts = np.bincount(rows, minlength=part.num_rows) if len(rows) else np.zeros(part.num_rows, dtype=np.int64)
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(features.astype(np.int32)))
+            offsets = np.concatenate([[0], np.cumsum(counts)])
+            minima = [_minima(features[s:e]) for s, e in zip(offsets, offsets[1:], strict=False)]
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(features.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("positive"), lists], names=["id", "positive", "features"]
+                [part.column("id"), part.column("positive"), pa.array(minima, pa.string()), lists],
+                names=["id", "positive", "minima", "features"],
             )
 
 
+def _minima(features: np.ndarray) -> str | None:
+    if not len(features):
+        return None
+    x = features.astype(np.uint64)
+    return " ".join(str(int(((x * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min())) for m in MINIMUM_FACTORS)
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int, prior: float, seed: int) -> np.ndarray:
     """Weights and bias (last) that minimise the non-negative risk; rows are lists of columns."""
     rng = np.random.default_rng(seed)
@@ -103,7 +113,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: in
 
     def flat(rows):
         lengths = [len(r) for r in rows]
-        return np.repeat(np.arange(len(rows)), lengths), np.concatenate([*rows, np.empty(0, dtype=np.int64)])
+        return np.repeat(np.arange(len(rows)), lengths), np.concatenate([*rows, []]).astype(np.int64)
 
     (p_row, p_col), (u_row, u_col) = flat(p), flat(u)
     w = np.zeros(width + 1)
@@ -128,43 +138,68 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: in
     return w
 
 
-def without_copies(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """The sample without (near) copies: rows that share all of four minima of seeded hashes come once."""
-    seen, kept = set(), []
-    for row in rows:
-        if len(row):
-            x = np.asarray(row, dtype=np.uint64)
-            key = tuple(int(((x * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()) for m in MINIMUM_FACTORS)
-            if key in seen:
-                continue
-            seen.add(key)
-        kept.append(row)
-    return kept
+def training_table(sample: DataFrame) -> DataFrame:
+    """id, positive, features of the sample; (near) copies, which agree in all four minima, come once."""
+    rows = stored(
+        sample.mapInArrow(sample_features, "id long, positive boolean, minima string, features array<int>"),
+        "toxicity-sample",
+    )
+    first = rows.where("minima IS NOT NULL").groupBy("positive", "minima").agg(F.min("id").alias("id"))
+    once = rows.join(F.broadcast(first), ["positive", "minima", "id"], "left_semi").dropDuplicates(["positive", "id"])
+    return once.unionByName(rows.where("minima IS NULL")).select("id", "positive", "features")
+
+
+def telling_features(rows: DataFrame, positives: int, unlabelled: int) -> list[int]:
+    """The ``FEATURES`` features that are most over-represented in positives."""
+    rate = (F.col("u") + 1) / (unlabelled + 1)
+    strength = (F.col("p") / positives - rate) / F.sqrt(rate / positives)
+    counts = (
+        rows.select("positive", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
+    )
+    best = (
+        counts.where(F.col("p") >= MIN_POSITIVES)
+        .withColumn("strength", strength)
+        .where(F.col("strength") > MIN_STRENGTH)
+        .orderBy(F.col("strength").desc(), "feature")
+        .limit(FEATURES)
+    )
+    return sorted(r["feature"] for r in best.select("feature").collect())
 
 
 def train(sample: DataFrame, prior: float) -> tuple[dict[int, int], np.ndarray]:
-    """(column of each chosen feature, weights of each classifier).  The sample is bounded."""
-    got = sample.mapInArrow(sample_features, "id long, positive boolean, features array<int>").toPandas()
-    got = got.sort_values(["positive", "id"])
-    positive, unlabelled = (without_copies(list(got.features[x])) for x in (got.positive, ~got.positive))
-    if not positive or not unlabelled:
+    """(column of each chosen feature, weights of each classifier).  The sample is bounded; only its
+    chosen features come to the driver."""
+    rows = training_table(sample)
+    count = {r["positive"]: r["n"] for r in rows.groupBy("positive").agg(F.count("*").alias("n")).collect()}
+    if len(count) < 2:
         return {}, np.empty((0, 1))
-    count = lambda rows: np.bincount(np.concatenate(rows).astype(np.int64), minlength=1 << HASH_BITS)
-    in_p, in_u = count(positive), count(unlabelled)
-    rate_p, rate_u = in_p / len(positive), (in_u + 1) / (len(unlabelled) + 1)
-    strength = (rate_p - rate_u) / np.sqrt(rate_u / len(positive))
-    strength[in_p < MIN_POSITIVES] = 0
-    best = np.argsort(-strength, kind="stable")[:FEATURES]
-    best = np.sort(best[strength[best] > MIN_STRENGTH])
-    if not len(best):
+    best = telling_features(rows, count[True], count[False])
+    if not best:
         return {}, np.empty((0, 1))
-    column = np.full(1 << HASH_BITS, -1, dtype=np.int64)
-    column[best] = np.arange(len(best))
-    chosen = lambda rows: [c[c >= 0] for c in (column[np.asarray(r, dtype=np.int64)] for r in rows)]
-    p, u = chosen(positive), chosen(unlabelled)
+    wanted = np.array(best, dtype=np.int32)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("features")
+            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+            found = np.searchsorted(wanted, flat).clip(max=len(wanted) - 1)
+            hit = wanted[found] == flat
+            before = np.concatenate([[0], np.cumsum(hit)])
+            columns = pa.ListArray.from_arrays(
+                pa.array((before[at] - before[at[0]]).astype(np.int32)),
+                pa.array(found[at[0] : at[-1]][hit[at[0] : at[-1]]].astype(np.int32)),
+            )
+            kept = batch.select(["id", "positive"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, columns], names=["id", "positive", "columns"])
+
+    got = rows.mapInArrow(narrow, "id long, positive boolean, columns array<int>").toPandas()
+    got = got.sort_values(["positive", "id"])
+    p, u = (list(got["columns"][x]) for x in (got.positive, ~got.positive))
     prior = min(max(prior, 0.001), 0.9)
     weights = np.stack([fit_nnpu(p, u, len(best), prior, SEED + i) for i in range(CLASSIFIERS)])
-    return {int(f): i for i, f in enumerate(best)}, weights
+    return {f: i for i, f in enumerate(best)}, weights
 
 
 def score_toxicity(
