@@ -44,3 +44,23 @@ def test_silver_is_narrow(spark):
         plan = plan_of(QUERIES[name](spark, SMALL))
         if name != "pv_yield":  # looks its site parameters up
             assert "Exchange" not in plan
+
+
+def scans(plan):
+    return plan.count("FileScan parquet")
+
+
+@pytest.mark.parametrize(
+    ("name", "most_scans", "most_exchanges"),
+    [
+        ("silver_solar", 1, 0),
+        ("gold_daily_panel", 1, 1),
+        ("load_profile", 1, 2),
+        ("energy_balance", 1, 4),
+        ("scenario_metrics", 1, 7),
+    ],
+)
+def test_hours_and_events_are_read_once(spark, name, most_scans, most_exchanges):
+    plan = plan_of(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0]
+    assert scans(plan) <= most_scans
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") <= most_exchanges
