@@ -235,13 +235,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(a.v) + 1), i -> a.v[i] * b.v[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
   FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
 FROM pairs
