@@ -35,12 +35,18 @@ def dictionaries(docs: DataFrame, learn: Column, id_col: str, text_col: str, lan
         F.xxhash64(F.lit(3), F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("draw"),
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    draw = Window.partitionBy("lang").orderBy("draw")
-    piece = F.substring("text", 1, DICTIONARY_BYTES // 4)  # a dictionary holds several texts
+    largest = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES)
+    rows = rows.join(F.broadcast(largest.select("lang")), "lang", "left_semi")
+    # texts that leave room for others come first; what reaches the driver fits the dictionaries
+    rows = rows.withColumn("bytes", F.octet_length("text").cast("long"))
+    draw = Window.partitionBy("lang").orderBy(F.col("bytes") > DICTIONARY_BYTES // 4, "draw")
     drawn = rows.withColumn("n", F.row_number().over(draw)).where(F.col("n") <= SAMPLE_TEXTS)
-    got = drawn.select("lang", "n", piece.alias("text")).toPandas().sort_values(["lang", "n"])
+    upto = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = drawn.withColumn("filled", F.sum("bytes").over(upto)).where((F.col("filled") <= 2 * DICTIONARY_BYTES) | (F.col("n") == 1))
+    held = F.substring("text", 1, DICTIONARY_BYTES)
+    got = drawn.select("lang", "n", held.alias("text")).toPandas().sort_values(["lang", "n"])
     out: dict[str, bytes] = {}
-    for lang, texts in list(got.groupby("lang", sort=True).text)[:MAX_LANGUAGES]:
+    for lang, texts in got.groupby("lang", sort=True).text:
         size, kept = 0, []
         for text in dict.fromkeys(letters_only(pa.array(texts, pa.string())).to_pylist()):
             data = text.encode("utf-8", "replace")

@@ -18,20 +18,24 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import id_remainder, read_table, slices, text_or_empty, word_codes
 
-MAX_LABELLED = 3000  # bounds of the training sample
-MAX_POOL = 3000
+MAX_LABELLED = 6000  # bounds of the training sample
+MAX_POOL = 6000
 WORD_BITS = 16
 META_BUCKETS = 64
 ROUNDS = 4
 EXCHANGED = 0.05  # of the pool, per round, view and class proportion
-STEPS = 200
+STEPS, MORE_STEPS = 200, 100  # of the first fit, and of the fits that go on from it
 RATE = 0.1
+PLATT_STEPS = 2000
 L2 = 1e-4
 SEED = 17
 THRESHOLD = 0.5
 META_NUMBERS = 8
 
 SPARSE = "array<int>"
+ASCII_KINDS = {
+    code: kind for kind, first, last in (("A", "A", "Z"), ("a", "a", "z"), ("0", "0", "9")) for code in range(ord(first), ord(last) + 1)
+}
 
 
 def content_features(texts: pa.Array) -> list[np.ndarray]:
@@ -44,11 +48,13 @@ def content_features(texts: pa.Array) -> list[np.ndarray]:
 
 
 def _word_feature(word: str) -> tuple[int, int]:
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    short = shape[:1] + "~" + shape[-3:]
-    return zlib.crc32(word.lower().encode("utf-8", "replace")) >> (32 - WORD_BITS), zlib.crc32(short.encode("utf-8", "replace")) >> (
-        32 - WORD_BITS
-    )
+    """Hashes of a word's form and of the kinds of its first and last characters."""
+    shape = word[:1] + "~" + word[-3:]
+    if not shape.isascii():
+        shape = "".join("A" if c.isupper() else "a" if c.isalpha() else c for c in shape)
+    data = shape.translate(ASCII_KINDS).encode("utf-8", "replace")
+    form = word.lower().encode("utf-8", "replace")
+    return zlib.crc32(form) >> (32 - WORD_BITS), zlib.crc32(data) >> (32 - WORD_BITS)
 
 
 def metadata_features(texts: pa.Array, source: pa.Array, lang: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -110,15 +116,16 @@ class Logistic:
         """Calibrated log-odds."""
         return self.scale * self.margin(columns, numbers) + self.shift
 
-    def fit(self, columns: list[np.ndarray], numbers: np.ndarray, label: np.ndarray) -> None:
+    def fit(self, columns: list[np.ndarray], numbers: np.ndarray, label: np.ndarray, steps: int) -> None:
+        """Gradient steps on the balanced logistic loss, from the present weights."""
         row = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
         flat = np.concatenate([*columns, np.empty(0, dtype=np.int64)]).astype(np.int64)
         norm = np.sqrt(np.maximum(1, np.bincount(row, minlength=len(columns))))
         balance = np.where(label > 0, 0.5 / max(1e-9, label.mean()), 0.5 / max(1e-9, 1 - label.mean())) / len(label)
-        w = np.zeros(len(self.sparse) + len(self.dense) + 1)
+        w = np.concatenate([self.sparse, self.dense, [self.bias]])
         mean, square = np.zeros_like(w), np.zeros_like(w)
         s, d = len(self.sparse), len(self.dense)
-        for step in range(1, STEPS + 1):
+        for step in range(1, steps + 1):
             z = np.bincount(row, weights=w[flat], minlength=len(columns)) / norm + numbers @ w[s : s + d] + w[-1]
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) * balance
             grad = np.concatenate([np.bincount(flat, weights=(g / norm)[row], minlength=s), numbers.T @ g, [g.sum()]]) + L2 * w
@@ -127,19 +134,15 @@ class Logistic:
         self.sparse, self.dense, self.bias = w[:s], w[s : s + d], float(w[-1])
 
     def calibrate(self, columns: list[np.ndarray], numbers: np.ndarray, label: np.ndarray) -> None:
-        """Platt scaling by Newton steps."""
-        z, a, b = self.margin(columns, numbers), 1.0, 0.0
+        """Platt scaling: gradient descent on standardised margins."""
+        z = self.margin(columns, numbers)
+        middle, spread = z.mean(), z.std() + 1e-9
+        x, a, b = (z - middle) / spread, 1.0, 0.0
         target = np.where(label > 0, (label.sum() + 1) / (label.sum() + 2), 1 / ((1 - label).sum() + 2))
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            v = np.maximum(p * (1 - p), 1e-6)
-            ga, gb = ((p - target) * z).sum(), (p - target).sum()
-            haa, hab, hbb = (v * z * z).sum() + 1e-3, (v * z).sum(), v.sum() + 1e-3
-            det = haa * hbb - hab * hab
-            if abs(det) < 1e-12:
-                break
-            a, b = a - 0.5 * (hbb * ga - hab * gb) / det, b - 0.5 * (haa * gb - hab * ga) / det
-        self.scale, self.shift = max(float(a), 0.0), float(b)
+        for _ in range(PLATT_STEPS):
+            g = 1 / (1 + np.exp(-(a * x + b))) - target
+            a, b = max(a - 2 * (g * x).mean(), 0.0), b - 2 * g.mean()
+        self.scale, self.shift = a / spread, b - a * middle / spread
 
 
 def co_train(rows) -> tuple[list[Logistic], float] | None:
@@ -164,7 +167,7 @@ def co_train(rows) -> tuple[list[Logistic], float] | None:
     for turn in range(ROUNDS + 1):
         for model, view, labels in zip(models, views, given, strict=True):
             at = np.array(sorted(labels), dtype=np.int64)
-            model.fit(*take(view, at), np.array([labels[int(i)] for i in at]))
+            model.fit(*take(view, at), np.array([labels[int(i)] for i in at]), MORE_STEPS if turn else STEPS)
         if turn == ROUNDS or not len(pool):
             break
         for i, (model, view) in enumerate(zip(models, views, strict=True)):
