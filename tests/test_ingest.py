@@ -260,3 +260,20 @@ def test_compaction_keeps_every_reading(spark, tmp_path, dedup):
     assert sorted(r.event_id for r in after.collect()) == ids and len(ids) == 12
     assert {r[0] for r in after.select(ingest.BATCH_COLUMN).distinct().collect()} == {"merged"}
     assert after.where("ingestion_timestamp IS NULL").count() == 0
+
+
+def test_the_columns_of_a_topic(spark):
+    """What a Kafka source delivers: binary values with partition and offset."""
+    rows = [
+        (bytearray(line(event_id="k1", production_kw=2.0), "utf-8"), 1, 7),
+        (bytearray(line(event_id="k1", production_kw=3.0), "utf-8"), 1, 5),
+        (bytearray(b"{broken"), 0, 1),
+        (None, 0, 2),
+    ]
+    topic = spark.createDataFrame(rows, "value BINARY, partition INT, offset LONG")
+    readings = decode.decode_readings(topic)
+    assert {"partition", "offset"} <= set(readings.columns)
+    good = readings.where("reject_reason IS NULL")
+    (kept,) = ingest.first_per_event(good, ["partition", "offset", "value"]).collect()
+    assert (kept.event_id, kept.offset, float(kept.production_kw)) == ("k1", 5, 3.0)
+    assert readings.where("reject_reason IS NOT NULL").count() == 2
