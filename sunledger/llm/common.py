@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sunledger.session import work_folder
 
-SLICE_BYTES = 8 << 20  # text that a task looks at together
+SLICE_BYTES = 4 << 20  # text that a task looks at together
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -33,6 +33,29 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def identity(docs: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row, ``h1`` and ``h2``: rows that agree in both are equal."""
+    parts: list[Column] = []
+    for i, field in enumerate(docs.schema.fields):
+        column = F.col(f"`{field.name}`")
+        hashable = "map<" not in field.dataType.simpleString()
+        parts += [F.lit(i), column if hashable else F.to_json(F.struct(column))]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"h{seed}") for seed in (1, 2)]
+
+
+def joined_contents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``decisions`` (with h1, h2 of :func:`identity`) with the row they speak of as the struct ``doc``.
+
+    Equal rows of ``docs`` collapse before the shuffle, so each decision meets one row.
+    """
+    contents = docs.select(*identity(docs), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    contents = contents.dropDuplicates(["h1", "h2"])
+    keys = [F.col(h).alias(f"of_{h}") for h in ("h1", "h2")]
+    chosen = decisions.select("*", *keys).drop("h1", "h2")
+    same = (F.col("h1") == F.col("of_h1")) & (F.col("h2") == F.col("of_h2"))
+    return contents.join(chosen, same).drop("h1", "h2", "of_h1", "of_h2")
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``; null for a null id."""
     return F.crc32(F.col(column).cast("string")) % modulus

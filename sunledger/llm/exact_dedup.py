@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sunledger.llm.common import read_table, stored, text_or_empty
+from sunledger.llm.common import identity, joined_contents, read_table, stored, text_or_empty
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 BUCKET_CAPACITY = 4096  # entries (different texts) before a bucket splits
@@ -52,27 +52,12 @@ def directory(classes: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     return classes.sparkSession.createDataFrame(double_directory(counts, capacity, max_depth), CELLS)
 
 
-def build_index(
-    entries: DataFrame, text: Column, capacity: int = BUCKET_CAPACITY, max_depth: int = MAX_DEPTH
-) -> DataFrame:
-    """Index with one row per different text, as files sorted by bucket and key.
+def build_index(classes: DataFrame, capacity: int = BUCKET_CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """Index as files sorted by bucket and key, one row per different text.
 
-    ``entries``: key, text_sha256, points, doc_id, row and what ``text`` needs.  Copies collapse
-    before the shuffle, so a text that fills a third of the table is no hot key.
+    ``classes``: key, text_sha256 and what an entry carries.  The owner task of a bucket numbers the
+    chain of each of its keys.
     """
-    best = F.struct("points", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row"))
-    classes = (
-        entries.groupBy("key", text.alias("body"))
-        .agg(F.max(F.struct(best.alias("best"), "text_sha256")).alias("top"), F.count("*").alias("group_size"))
-        .select(
-            "key",
-            F.col("top.text_sha256").alias("text_sha256"),
-            F.bitwise_not("top.best.id").alias("keep_id"),
-            F.bitwise_not("top.best.row").alias("keep_row"),
-            "group_size",
-        )
-    )
-    classes = stored(classes, "dedup-classes")
     cells = F.broadcast(directory(classes, capacity, max_depth))
     chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
     same = Window.partitionBy("bucket", "key", "text_sha256")
@@ -88,7 +73,7 @@ def build_index(
                 F.col("equal_digests") > 1, F.raise_error(F.lit("different texts with one SHA-256")).cast("int")
             ).otherwise(F.col("chain")),
         )
-        .select("bucket", "depth", "key", "chain", "text_sha256", "keep_id", "keep_row", "group_size")
+        .drop("cell", "equal_digests")
     )
     return stored(owned.sortWithinPartitions("bucket", "key", "chain"), "dedup-index")
 
@@ -97,40 +82,58 @@ def exact_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    payload: bool = False,
     capacity: int = BUCKET_CAPACITY,
     max_depth: int = MAX_DEPTH,
     key_bits: int = 64,
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain, h1, h2.
 
     Texts are equal when identical without ASCII white space; a null text counts as empty.  Of equal
-    texts the row with the most code points stays, then the smallest id (null last), then the first
-    of fully repeated rows.  Other columns are ignored; with ``payload`` they come along in the struct
-    ``doc``.  An empty table gives an empty result.  ``key_bits`` shortens the hash (tests of chains).
+    texts the row with the most code points stays, then the smallest id (null last), then one of
+    fully repeated rows.  Other columns are ignored (h1 and h2 identify the whole row).  An empty table
+    gives an empty result.  ``key_bits`` shortens the hash (for tests of chains).
+
+    Texts are shuffled once, grouped on key *and* bytes; copies collapse before, so that a text that
+    fills a third of the table is no hot key.  Everything else handles digests.
     """
-    key = F.xxhash64(F.col("body"))
-    if key_bits < 64:
-        key = F.shiftleft(key, 64 - key_bits)
-    entries = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        text_or_empty(text_col).alias("text"),
+    texts = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"), *identity(docs)
     )
-    entries = entries.withColumn("body", normalised(F.col("text"))).select(
-        *(["doc"] if payload else []),
-        *([] if payload else ["text"]),
-        "doc_id",
-        F.monotonically_increasing_id().alias("row"),
-        F.char_length("text").alias("points"),
-        key.alias("key"),
-        F.sha2(F.encode("body", "UTF-8"), 256).alias("text_sha256"),
+    texts = texts.withColumn("body", normalised(F.col("text")))
+    key = F.xxhash64("body") if key_bits == 64 else F.shiftleft(F.xxhash64("body"), 64 - key_bits)
+    digest = F.sha2(F.encode("body", "UTF-8"), 256)
+    entries = stored(
+        texts.select(
+            "doc_id",
+            F.monotonically_increasing_id().alias("row"),
+            F.char_length("text").alias("points"),
+            key.alias("key"),
+            digest.alias("text_sha256"),
+            "h1",
+            "h2",
+        ),
+        "dedup-entries",
+    )
+    by_bytes = (
+        texts.select(key.alias("key"), "body")
+        .groupBy("key", "body")
+        .agg(F.count("*").alias("group_size"))
+        .select("key", digest.alias("text_sha256"), "group_size")
+    )
+    first = F.struct("points", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row"))
+    best = entries.groupBy("key", "text_sha256").agg(F.max(first).alias("best"))
+    classes = stored(
+        by_bytes.join(best, ["key", "text_sha256"]).select(
+            "key",
+            "text_sha256",
+            F.bitwise_not("best.id").alias("keep_id"),
+            F.bitwise_not("best.row").alias("keep_row"),
+            "group_size",
+        ),
+        "dedup-classes",
     )
-    entries = stored(entries, "dedup-entries")
-    whole = F.coalesce(F.col(f"doc.`{text_col}`").cast("string"), F.lit("")) if payload else F.col("text")
-    index = build_index(entries, normalised(whole), capacity, max_depth)
+    index = build_index(classes, capacity, max_depth)
     return entries.join(index, ["key", "text_sha256"]).select(
-        *(["doc"] if payload else []),
         "doc_id",
         "keep_id",
         "group_size",
@@ -138,12 +141,15 @@ def exact_duplicates(
         "text_sha256",
         "bucket",
         "chain",
+        "h1",
+        "h2",
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns unchanged."""
-    return exact_duplicates(docs, id_col, text_col, payload=True).where("kept").select("doc.*")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").select("h1", "h2")
+    return joined_contents(docs, kept).select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

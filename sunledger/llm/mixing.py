@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sunledger.llm.common import read_table, stored, text_or_empty
+from sunledger.llm.common import identity, joined_contents, read_table, stored, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -138,7 +138,6 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    payload: bool = False,
     weights: tuple[int, ...] = WEIGHTS,
     block_words: int = BLOCK_WORDS,
     shard_rows: int = SHARD_ROWS,
@@ -150,14 +149,14 @@ def mix(
     [tail_start, tail_end) are taken once more.  size counts words (null text: 0); a null source is a
     source of its own and comes last.  Nothing depends on partitioning, so reruns agree; rows with the
     same id and size are interchangeable.  Empty tables give an empty result; other columns are
-    ignored, or come along in the struct ``doc`` with ``payload``.
+    ignored (h1 and h2 identify the whole row).
     """
     sized = stored(
         docs.select(
-            *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if payload else []),
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
+            F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+            F.col(f"`{source_col}`").cast("string").alias("source"),
+            F.regexp_count(text_or_empty(f"`{text_col}`"), F.lit(WORD)).cast("long").alias("size"),
+            *identity(docs),
         ),
         "mix-sizes",
     )
@@ -200,7 +199,6 @@ def mix(
             "taken", F.col("rounds") * F.col("size") + F.col("head_end") + F.col("tail_end") - F.col("tail_start")
         )
         .select(
-            *(["doc"] if payload else []),
             "doc_id",
             "source",
             "size",
@@ -211,6 +209,8 @@ def mix(
             "head_end",
             "tail_start",
             "tail_end",
+            "h1",
+            "h2",
         )
     )
 
@@ -241,7 +241,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts without a word have nothing to take and don't appear.
     """
-    rows = mix(docs, id_col, text_col, source_col, payload=True).where("taken > 0")
+    taken = mix(docs, id_col, text_col, source_col).where("taken > 0")
+    rows = joined_contents(docs, taken.select("h1", "h2", "size", "rounds", "head_end", "tail_start", "tail_end"))
     rows = rows.withColumn("_text", F.explode(taken_texts(F.col(f"doc.`{text_col}`").cast("string"))))
     return rows.select(
         *[F.col("_text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]

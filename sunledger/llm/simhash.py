@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import read_table, slices, stored, text_or_empty
+from sunledger.llm.common import identity, joined_contents, read_table, slices, stored, text_or_empty
 
 BITS = 64
 RADIUS = 3
@@ -238,23 +238,20 @@ def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    payload: bool = False,
     words: int = SHINGLE_WORDS,
     radius: int = RADIUS,
     limit: int = BUCKET_LIMIT,
 ) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id, kept.
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id, kept, h1, h2.
 
     Fingerprints link at ``radius`` or fewer differing bits.  component_id is the smallest id
     reachable (null when the component has none); ``kept`` marks one row of each component, that with
     the smallest id (null last), the first one of repeated rows.  A null text counts as empty; empty
-    texts have fingerprint zero and link like any other.  Other columns are ignored, or come along in
-    the struct ``doc`` with ``payload``.  An empty table gives an empty result.
+    texts have fingerprint zero and link like any other.  Other columns are ignored (h1 and h2
+    identify the whole row).  An empty table gives an empty result.
     """
     rows = docs.select(
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if payload else []),
-        F.col(id_col).cast("long").alias("doc_id"),
-        text_or_empty(text_col).alias("text"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), *identity(docs), text_or_empty(f"`{text_col}`").alias("text")
     )
     marked = stored(
         fingerprint_column(rows, "text", words).drop("text").withColumn("row", F.monotonically_increasing_id()),
@@ -269,17 +266,19 @@ def near_duplicates(
     least = joined.groupBy("root").agg(F.min("best").alias("first"))
     of_fp = joined.join(least, "root").select("fp", "first")
     return marked.join(of_fp, "fp").select(
-        *(["doc"] if payload else []),
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first.doc_id").alias("component_id"),
         (F.col("row") == F.col("first.row")).alias("kept"),
+        "h1",
+        "h2",
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, all columns unchanged."""
-    return near_duplicates(docs, id_col, text_col, payload=True).where("kept").select("doc.*")
+    kept = near_duplicates(docs, id_col, text_col).where("kept").select("h1", "h2")
+    return joined_contents(docs, kept).select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

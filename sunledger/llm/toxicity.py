@@ -203,17 +203,24 @@ def train(sample: DataFrame, prior: float) -> tuple[dict[int, int], np.ndarray]:
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, learn=None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    score_col: str = "toxicity",
 ) -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1), which depends on the text only.
+    """``docs`` with ``score_col`` (0 to 1), which depends on the text only.
 
     ``learn``: condition on ``labels`` rows to learn from.  A null text counts as empty and is scored
     like it.  Without a positive, or a
     feature that tells positives apart, every score is 0.  Repeated rows score alike;
-    an existing column ``toxicity`` is replaced.
+    an existing column ``score_col`` is replaced.
     """
     learn = F.lit(True) if learn is None else learn
-    sample, prior = training_rows(docs.withColumnRenamed(text_col, "text"), labels, learn, id_col, label_col)
+    plain = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("text"))
+    sample, prior = training_rows(plain, labels, learn, id_col, label_col)
     wanted, weights = train(sample, prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,11 +233,11 @@ def score_toxicity(
                         z = np.bincount(rows, weights=w[columns], minlength=part.num_rows) + w[-1]
                         total += 1 / (1 + np.exp(-z)) / len(weights)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(total)], names=[*part.schema.names, "toxicity"]
+                    [*part.columns, pa.array(total)], names=[*part.schema.names, score_col]
                 )
 
-    rest = docs.drop("toxicity").withColumn(text_col, F.col(text_col).cast("string"))
-    return rest.mapInArrow(run, rest.withColumn("toxicity", F.lit(0.0)).schema)
+    rest = docs.drop(score_col).withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    return rest.mapInArrow(run, rest.withColumn(score_col, F.lit(0.0)).schema)
 
 
 def not_held_out() -> Column:
@@ -250,5 +257,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those predicted toxic; columns unchanged."""
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text")
-    return score_toxicity(marked, labels, not_held_out()).where(F.col("toxicity") < THRESHOLD).select("doc.*")
+    name = "toxicity"
+    while name in docs.columns:
+        name += "_"
+    return score_toxicity(docs, labels, not_held_out(), score_col=name).where(F.col(name) < THRESHOLD).drop(name)

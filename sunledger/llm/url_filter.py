@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,18 +141,12 @@ def judge(
         )
         trees = GBTClassifier(featuresCol="f_all", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
         scored = trees.transform(vector.transform(with_statistics(urls)))
-        scored = scored.withColumn("blocked", F.get(_to_array("probability"), F.lit(1)))
+        scored = scored.withColumn("blocked", F.get(vector_to_array("probability"), F.lit(1)))
     else:
         scored = urls.withColumn("blocked", F.lit(1.0 if counts.get("block") else 0.0))
     own = F.when(F.col("blocked") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "url", "host", "path", "rule", F.coalesce("given", own).alias("verdict"), "blocked")
 
 
-def _to_array(column: str) -> Column:
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(F.col(column))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
