@@ -407,10 +407,10 @@ cte(
 oracle(
     "cash_flow",
     "years",
-    """SELECT site_id, size_kw, y AS year, round(prod, 4) AS annual_production_kwh,
-    round(self, 4) AS annual_self_consumed_kwh, round(ex, 4) AS annual_exported_kwh,
-    round(im, 4) AS annual_imported_kwh, round(load, 4) AS annual_load_kwh,
-    round(cf, 4) AS cash_flow, round(cum, 4) AS cumulative, round(disc, 4) AS discounted
+    """SELECT site_id, size_kw, y AS year, round(prod, 6) AS annual_production_kwh,
+    round(self, 6) AS annual_self_consumed_kwh, round(ex, 6) AS annual_exported_kwh,
+    round(im, 6) AS annual_imported_kwh, round(load, 6) AS annual_load_kwh,
+    round(cf, 6) AS cash_flow, round(cum, 6) AS cumulative, round(disc, 6) AS discounted
     FROM years""",
 )
 cte(
@@ -430,17 +430,17 @@ cte(
 cte(
     "scenarios_named",
     "scenarios",
-    """SELECT site_id, size_kw AS panel_size_kw, round(cost, 4) AS installation_cost_euro,
-    round(prod, 4) AS annual_production_kwh, round(self, 4) AS annual_self_consumed_kwh,
-    round(ex, 4) AS annual_exported_kwh, round(im, 4) AS annual_imported_kwh,
-    round(load, 4) AS annual_load_kwh, payback AS payback_years, shown AS payback_display,
-    round(self_pct, 4) AS self_consumption_pct, round(demand_pct, 4) AS demand_coverage_pct,
-    round(prod_pct, 4) AS production_coverage_pct, round(roi, 4) AS roi_20_years,
-    round(profit, 4) AS net_profit_20_years_euro, round(benefit, 4) AS total_benefit_20_years_euro,
-    round(npv, 4) AS npv_25_years_euro, round(load * 0.3::DOUBLE
-      * (SELECT sum(pow(1.03::DOUBLE, i)) FROM (SELECT unnest(range(0, 20)) AS i)), 4)
-      AS grid_cost_20_years_euro, round(profit, 4) AS net_benefit_vs_grid_20_years_euro,
-    round(break_even, 4) AS break_even_rate_euro_per_kwh,
+    """SELECT site_id, size_kw AS panel_size_kw, round(cost, 6) AS installation_cost_euro,
+    round(prod, 6) AS annual_production_kwh, round(self, 6) AS annual_self_consumed_kwh,
+    round(ex, 6) AS annual_exported_kwh, round(im, 6) AS annual_imported_kwh,
+    round(load, 6) AS annual_load_kwh, payback AS payback_years, shown AS payback_display,
+    round(self_pct, 6) AS self_consumption_pct, round(demand_pct, 6) AS demand_coverage_pct,
+    round(prod_pct, 6) AS production_coverage_pct, round(roi, 6) AS roi_20_years,
+    round(profit, 6) AS net_profit_20_years_euro, round(benefit, 6) AS total_benefit_20_years_euro,
+    round(npv, 6) AS npv_25_years_euro, round(load * 0.3::DOUBLE
+      * (SELECT sum(pow(1.03::DOUBLE, i)) FROM (SELECT unnest(range(0, 20)) AS i)), 6)
+      AS grid_cost_20_years_euro, round(profit, 6) AS net_benefit_vs_grid_20_years_euro,
+    round(break_even, 6) AS break_even_rate_euro_per_kwh,
     row_number() OVER (PARTITION BY site_id ORDER BY npv DESC, coalesce(-payback, -999) DESC,
       size_kw) AS place FROM scenarios""",
 )

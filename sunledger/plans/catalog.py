@@ -625,12 +625,12 @@ def month_extremes(f: Fleet) -> DataFrame:
 
 @query
 def cash_flow(f: Fleet) -> DataFrame:
-    return _rounded(feasibility.cash_flows(f.site_hours), 4)
+    return _rounded(feasibility.cash_flows(f.site_hours))
 
 
 @query
 def scenario_metrics(f: Fleet) -> DataFrame:
-    return _rounded(feasibility.metrics(f.site_hours), 4)
+    return _rounded(feasibility.metrics(f.site_hours))
 
 
 @query
@@ -640,7 +640,7 @@ def size_sensitivity(f: Fleet) -> DataFrame:
 
 @query
 def optimal_size(f: Fleet) -> DataFrame:
-    return _rounded(economics.optimal_size(feasibility.metrics(f.site_hours)), 4)
+    return _rounded(economics.optimal_size(feasibility.metrics(f.site_hours)))
 
 
 @query
