@@ -354,10 +354,11 @@ cte("sizes", "", "SELECT unnest([2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0])::DOUBL
 cte(
     "balances",
     "loads sizes",
-    """SELECT site_id, size_kw, y, coalesce(sum(q), 0) AS prod,
-    coalesce(sum(least(q, l)) FILTER (WHERE q IS NOT NULL), 0) AS self,
-    coalesce(sum(greatest(0, q - l)) FILTER (WHERE q IS NOT NULL), 0) AS ex,
-    coalesce(sum(greatest(0, l - q)) FILTER (WHERE q IS NOT NULL), 0) AS im, sum(l) AS load FROM (
+    """SELECT site_id, size_kw, y, coalesce(CAST(sum(CAST(q AS DECIMAL(38,16))) AS DOUBLE), 0) AS prod,
+    coalesce(CAST(sum(CAST(least(q, l) AS DECIMAL(38,16))) FILTER (WHERE q IS NOT NULL) AS DOUBLE), 0) AS self,
+    coalesce(CAST(sum(CAST(greatest(0, q - l) AS DECIMAL(38,16))) FILTER (WHERE q IS NOT NULL) AS DOUBLE), 0) AS ex,
+    coalesce(CAST(sum(CAST(greatest(0, l - q) AS DECIMAL(38,16))) FILTER (WHERE q IS NOT NULL) AS DOUBLE), 0) AS im,
+    CAST(sum(CAST(l AS DECIMAL(38,16))) AS DOUBLE) AS load FROM (
       SELECT site_id, size_kw, y, l, p * size_kw / 3 * pow(0.995::DOUBLE, y - 1) AS q
       FROM loads, sizes, (SELECT unnest(range(1, 26)) AS y)) GROUP BY ALL""",
 )

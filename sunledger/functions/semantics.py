@@ -29,10 +29,10 @@ def exact_sum(value: Column) -> Column:
 def stable_sum(value: Column) -> Column:
     """Sum of a DOUBLE column that does not depend on the order of the rows.
 
-    Added up in DECIMAL with twelve digits after the point, which keeps every
-    measured value; sums reach 1e26.
+    Added up in DECIMAL with sixteen digits after the point, which keeps every
+    measured value; sums reach 1e22.
     """
-    return F.sum(value.cast("decimal(28,12)")).cast("double")
+    return F.sum(value.cast("decimal(32,16)")).cast("double")
 
 
 def stable_mean(value: Column) -> Column:

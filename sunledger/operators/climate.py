@@ -198,7 +198,7 @@ def hour_extremes(df: DataFrame, value: str, site: str = "city") -> DataFrame:
     """Peak and lowest hour (the first of equal ones) and the productive hours per day."""
     # one row per site, date and hour first: days and hours come from the same pass
     cells = df.groupBy(site, "date", "hour").agg(
-        F.sum(F.col(value).cast("decimal(28,12)")).alias("total"),
+        F.sum(F.col(value).cast("decimal(32,16)")).alias("total"),
         F.count(value).alias("n"),
         F.count_if(F.col(value) > 0).alias("productive"),
     )
