@@ -70,6 +70,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     cuts = np.flatnonzero(np.diff(part)) + 1
     for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
         yield batch.slice(int(start), int(end - start))
+    pa.default_memory_pool().release_unused()  # workers are reused and should not keep a peak
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:

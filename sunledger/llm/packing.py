@@ -23,7 +23,7 @@ from sunledger.llm.common import read_table, slices, text_or_empty, word_codes
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 1_200_000  # words whose ids a task remembers; a full memory starts anew
+CACHED_WORDS = 800_000  # words whose ids a task remembers; a full memory starts anew
 JOINED_WORDS = 2000
 WORD_END = "</w>"
 LETTER_THEN_MARK = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"  # the tokenizer always splits between the two
