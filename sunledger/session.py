@@ -40,7 +40,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
