@@ -1,4 +1,4 @@
-"""Secret scan: candidates by pattern, false positives removed by a random forest.
+"""Secret scan: candidates by two patterns (long runs of key letters, assigned values), false positives removed by a random forest.
 
 The forest sees the candidate's length, its transitions between character classes, how much of it is
 made of letter sequences that are common in the corpus, its path and the neighbouring words.
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import id_remainder, read_table, slices, stored, text_or_empty
 
-CANDIDATE = re.compile(r"(?<!\w)[A-Za-z0-9_+/\-]{16,}={0,2}(?!\w)")
+# Borders are ASCII: a key may touch a letter of another script.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_+/\-]{16,}={0,2}(?![A-Za-z0-9_])")
 CONTEXT = 48  # characters of either side
 GRAM_BITS = 16
 COMMON_GRAM = 2e-5  # share of all letter sequences from which one counts as common
@@ -33,7 +34,12 @@ SEED = 23
 
 # Documented key formats and the names that secrets are assigned to.
 KNOWN_FORMAT = r"^(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|xox[abp]-[0-9A-Za-z-]{20,})$"
-ASSIGNED = r"(?i)(password|passwd|secret|token|api[_-]?key)['\"]?\s*[:=]\s*['\"]?$"
+NAMES = r"password|passwd|secret|token|api[_-]?key"
+ASSIGNED = rf"(?i)({NAMES})['\"]?\s*[:=]\s*['\"]?$"
+ASSIGNMENT = re.compile(rf"(?i)(?:{NAMES})\\*['\"`]?\s*(?::=|=>|={{2,3}}(?=[\s'\"`])|[:=])\s*(?:[bfru]{{1,2}}(?=['\"]))?")
+QUOTE = re.compile(r"(\\*)(['\"`])")
+RUN = re.compile(r"\S+")
+MIN_KNOWN = 8  # characters from which an assigned value with a digit is taken as verified
 PLAIN = r"^[A-Za-z]+$"
 
 CANDIDATES = (
@@ -80,7 +86,7 @@ def _bucket(text: str, buckets: int) -> np.ndarray:
 
 
 def candidate_features(candidate: str, before: str, after: str, path: str, common: np.ndarray) -> np.ndarray:
-    data = np.frombuffer(candidate.encode("ascii"), dtype=np.uint8)
+    data = np.frombuffer(candidate.encode("utf-8", "replace"), dtype=np.uint8)
     kind = np.select([(data >= 97) & (data <= 122), (data >= 65) & (data <= 90), (data >= 48) & (data <= 57)], [0, 1, 2], 3)
     steps = np.bincount(kind[:-1] * 4 + kind[1:], minlength=16) / max(1, len(data) - 1)
     _, per_letter = np.unique(data, return_counts=True)
@@ -108,8 +114,59 @@ def candidate_features(candidate: str, before: str, after: str, path: str, commo
     )
 
 
+def assigned_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every value after an assigned name, of any length and characters.
+
+    A quoted value ends at its closing quote.  Any other reaches to white space; names inside it are
+    assigned what follows up to the next name, so that the spans of a text stay within a few times
+    its length.
+    """
+    run_end = 0  # of the run of the last value without quotes
+    found = ASSIGNMENT.search(text)
+    while found:
+        start, following = found.end(), ASSIGNMENT.search(text, found.end())
+        quote = QUOTE.match(text, start)
+        close = _closing(text, quote) if quote else -1
+        if close >= 0:
+            if close > quote.end():
+                yield quote.end(), close
+        if close < 0 or "\n" in text[quote.end() : close]:  # perhaps a quote that nobody closed
+            start = quote.end() if quote else start
+            run = RUN.match(text, start)
+            if run and start < run_end and following:
+                yield start, max(start + 1, min(run.end(), following.start()))
+            elif run:
+                yield run.span()
+            run_end = max(run_end, run.end() if run else 0)
+        found = following
+
+
+def _closing(text: str, quote: re.Match) -> int:
+    """Place of the same quote, escaped as often, after an opening one; -1 if there is none."""
+    at = text.find(quote[0], quote.end())
+    while at >= 0 and not quote[1] and _escaped(text, at, quote.end()):
+        at = text.find(quote[0], at + 1)
+    return at
+
+
+def _escaped(text: str, at: int, begin: int) -> bool:
+    slashes = at
+    while slashes > begin and text[slashes - 1] == "\\":
+        slashes -= 1
+    return (at - slashes) % 2 == 1
+
+
+def spans(text: str) -> list[tuple[int, int]]:
+    """Start and end of all candidates of a text, each once."""
+    return sorted({m.span() for m in CANDIDATE.finditer(text)} | set(assigned_spans(text)))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """All candidates (``CANDIDATES``) of whole texts with their features."""
+    """All candidates (``CANDIDATES``) of whole texts with their features.
+
+    A candidate is a run of 16 or more key letters or the value after an assigned name; where the two
+    differ, both are candidates.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
@@ -121,14 +178,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                hit = pc.match_substring_regex(part.column("text"), r"[A-Za-z0-9_+/\-]{16,}")
+                hit = pc.match_substring_regex(part.column("text"), rf"[A-Za-z0-9_+/\-]{{16,}}|(?i:{NAMES})")
                 columns: list[list] = [[] for _ in names]
                 some = part.filter(hit)
                 for doc_id, path, text in zip(*(some.column(c).to_pylist() for c in ("doc_id", "path", "text")), strict=True):
-                    for m in CANDIDATE.finditer(text):
-                        before, after = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
-                        features = candidate_features(m[0], before, after, path, common)
-                        for column, value in zip(columns, (doc_id, path, m.start(), m[0], before, after, features), strict=True):
+                    for start, end in spans(text):
+                        found, before, after = text[start:end], text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+                        features = candidate_features(found, before, after, path, common)
+                        for column, value in zip(columns, (doc_id, path, start, found, before, after, features), strict=True):
                             column.append(value)
                 kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -140,7 +197,8 @@ def verified_findings() -> Column:
     """Label of a candidate: true for a documented format or an assigned value with a digit, false for
     plain words, null where nothing is known."""
     value = F.col("candidate")
-    secret = value.rlike(KNOWN_FORMAT) | (F.col("before").rlike(ASSIGNED) & value.rlike("[0-9]"))
+    assigned = F.col("before").rlike(ASSIGNED) & value.rlike("[0-9]") & (F.length(value) >= MIN_KNOWN)
+    secret = value.rlike(KNOWN_FORMAT) | assigned
     return F.when(secret, True).when(value.rlike(PLAIN), False)
 
 

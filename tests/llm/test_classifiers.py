@@ -133,3 +133,38 @@ def test_secrets_on_odd_tables(spark, make):
 def test_gram_codes_count_runs_of_letters():
     flags = lambda t: len(secrets.gram_codes(np.frombuffer(t.encode(), dtype=np.uint8)))
     assert [flags(t) for t in ("", "abc", "abcd", "ab1cde", "abcde", "AbCdE xyzw")] == [0, 0, 1, 0, 2, 3]
+
+
+PLANTED = [  # text before, secret, text after
+    ("é", SECRET, " x"),
+    ("clé ", SECRET, "的密钥"),
+    ("密钥是", SECRET, "。"),
+    ('password = "', "p@ss!W0rd#2024xyz", '"'),
+    ('password="', "hunter2hunter2", '" and more'),
+    ("PASSWD: ", "k0rt!", " end"),
+    ("{'api_key': '", "a b\\'c 9", "'}"),
+    ('{\\"token\\": \\"', "q-1", '\\"}'),
+    ("secret=", "ünï©ode7", "\n"),
+    ("login?token=1&password=", "hunter2", " x"),
+    ("password = '", "never closed", "\n".join(["", "line"])),
+    ("token := `", "raw 1", "`"),
+    ('secret = b"', "by tes", '"'),
+    ('password = "', "one\ntwo", '"'),
+]
+
+
+def test_planted_secrets_are_candidates(spark):
+    """The list is independent of the patterns."""
+    texts = [before + secret + after for before, secret, after in PLANTED]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = secrets.scan(docs).collect()
+    found = {(r["doc_id"], r["start"], r["candidate"]) for r in rows}
+    want = {(i, len(before), secret) for i, (before, secret, _) in enumerate(PLANTED) if secret != "never closed"}
+    assert want <= found and (10, len(PLANTED[10][0]), "never") in found
+    assert all(texts[r["doc_id"]][r["start"] :][: r["length"]] == r["candidate"] for r in rows)
+    assert len(found) == len(rows)
+
+
+def test_assigned_spans_stay_linear():
+    for text in ("password=" * 5000, "password='" * 5001, "token=\"x\\" * 3000):
+        assert sum(e - s for s, e in secrets.assigned_spans(text)) <= 4 * len(text)
