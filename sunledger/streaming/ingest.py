@@ -24,6 +24,7 @@ from sunledger.sources.tables import delete
 from sunledger.streaming.decode import decode_readings
 
 BATCH_COLUMN = "ingest_batch"
+_FIRST_SEEN = "first_seen"  # marks the rows that only name an id the state did not know
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -77,8 +78,8 @@ def file_messages(
     return reader.text(folder)
 
 
-def first_per_event(readings: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The first row of each event id by ``order``; rows without an id are all kept.
+def first_per_event(readings: DataFrame, order: Sequence[str], among: DataFrame | None = None) -> DataFrame:
+    """The first row of each event id by ``order``, of the ids in ``among`` if given; rows without an id are all kept.
 
     A grouped ``min_by``, not a window: copies of one id are reduced before the
     shuffle, however many there are.
@@ -90,6 +91,8 @@ def first_per_event(readings: DataFrame, order: Sequence[str]) -> DataFrame:
         .agg(F.min_by(F.struct(*readings.columns), F.struct(*order)).alias("r"))
         .select("r.*")
     )
+    if among is not None:
+        first = first.join(among.select("event_id"), "event_id", "left_semi")
     return first.unionByName(readings.where(key.isNull()))
 
 
@@ -147,9 +150,16 @@ def batch_writer(
         decoded.write.mode("overwrite").parquet(staged)
         decoded = spark.read.schema(decoded.schema).parquet(staged)
         try:
+            ids = None
+            counted = decoded
+            if _FIRST_SEEN in decoded.columns:
+                named = F.col(_FIRST_SEEN)
+                ids = decoded.where(named)
+                counted = decoded.where(named | F.col("event_id").isNull() | F.col("reject_reason").isNotNull())
+                decoded = decoded.where(~named).drop(_FIRST_SEEN)
             good = decoded.where(F.col("reject_reason").isNull())
             order = [c for c in ("partition", "offset") if c in decoded.columns] + ["value"]
-            new = first_per_event(good, order)
+            new = first_per_event(good, order, ids)
             if against_sink:
                 earlier = read_readings(spark, folder).where(F.col(BATCH_COLUMN) != name)
                 new = unseen(new, earlier, same_day_only)
@@ -169,7 +179,7 @@ def batch_writer(
             rejected.select(F.col("value").cast("string"), "reject_reason").write.mode(
                 "overwrite"
             ).parquet(f"{folder}/rejects/{BATCH_COLUMN}={name}")
-            decoded.agg(
+            counted.agg(
                 F.count_if(F.col("reject_reason").isNull()).alias("messages"),
                 F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
             ).write.mode("overwrite").parquet(f"{folder}/counters/{BATCH_COLUMN}={name}")
@@ -196,21 +206,21 @@ def start_ingest(
     * ``state``: ids are kept in the query's RocksDB state, so a batch costs as
       much as its own rows whatever the size of the table.  For one writer.  The
       number of ``state_partitions`` (default: the session's shuffle partitions)
-      stays for the life of the checkpoint.  Of copies that differ and come in
-      one batch any may be the one that stays; across batches it is the first.
+      stays for the life of the checkpoint.
     * ``sink``: each batch is checked against the ids in the table, also those
-      written by other streams, and the first copy of a batch by partition and
-      offset stays.  Reads the table's id column once per batch; with
-      ``same_day_only`` only that of the batch's days.
+      written by other streams.  Reads the table's id column once per batch;
+      with ``same_day_only`` only that of the batch's days.
 
-    Neither forgets an id: a late, never-seen event is always kept.
+    Either way the first copy stays: the earliest batch's, and within a batch the
+    least by partition, offset (where the source has them) and value.  Neither
+    forgets an id: a late, never-seen event is always kept.
     """
     if dedup not in ("sink", "state"):
         raise ValueError(f"dedup must be 'sink' or 'state', not {dedup!r}")
     spark = messages.sparkSession
     decoded = decode_readings(messages)
     if dedup == "state":
-        decoded = _first_of_all_time(decoded)
+        decoded = _with_new_ids(decoded)
     _create(spark, f"{folder}/readings", READINGS_SCHEMA, [BATCH_COLUMN, PARTITION_COLUMN])
     _create(spark, f"{folder}/rejects", REJECTS_SCHEMA, [BATCH_COLUMN])
     _create(spark, f"{folder}/counters", COUNTERS_SCHEMA, [BATCH_COLUMN])
@@ -260,22 +270,25 @@ def compact(spark: SparkSession, folder: str, batches: Sequence[str], name: str)
         delete(spark, f"{folder}/readings/{BATCH_COLUMN}={batch}")
 
 
-def _first_of_all_time(decoded: DataFrame) -> DataFrame:
-    """One row per event id over the life of the query; rejects and rows without an id pass.
+def _with_new_ids(decoded: DataFrame) -> DataFrame:
+    """All rows, and one more for each event id that comes for the first time in the life of the query.
 
-    Copies are dropped per source task first: an id that makes up a large part
-    of a batch is spread over the tasks of the source, and only one row of each
-    goes to the task that owns the id.
+    The added rows hold the id alone and are marked as ``first_seen``: the state
+    says which ids are new, the batch which copy is the first.  Ids are dropped
+    per source task first: one that makes up a large part of a batch is spread
+    over the tasks of the source, and only one row of each goes to the task that
+    owns the id.
     """
     keyed = F.col("reject_reason").isNull() & F.col("event_id").isNotNull()
-    once = (
+    ids = (
         decoded.withColumn("source_task", F.spark_partition_id())
         .where(keyed)
+        .select("event_id", "source_task")
         .dropDuplicates(["event_id", "source_task"])
         .dropDuplicates(["event_id"])
-        .drop("source_task")
+        .select("event_id", F.lit(True).alias(_FIRST_SEEN))
     )
-    return once.unionByName(decoded.where(~keyed))
+    return decoded.withColumn(_FIRST_SEEN, F.lit(False)).unionByName(ids, allowMissingColumns=True)
 
 
 def _stream_name(spark: SparkSession, checkpoint: str) -> Callable[[], str]:

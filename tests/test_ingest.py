@@ -277,3 +277,30 @@ def test_the_columns_of_a_topic(spark):
     (kept,) = ingest.first_per_event(good, ["partition", "offset", "value"]).collect()
     assert (kept.event_id, kept.offset, float(kept.production_kw)) == ("k1", 5, 3.0)
     assert readings.where("reject_reason IS NOT NULL").count() == 2
+
+
+@pytest.mark.parametrize("dedup", ["sink", "state"])
+def test_the_first_of_differing_copies_is_stored(spark, tmp_path, dedup):
+    """Within a batch the least copy, in whichever order they lie in the file; across batches the first."""
+    copies = [line(event_id=f"d{i}", production_kw=1.0 + (i + k) % 3) for k in range(3) for i in range(30)]
+    drop_file(tmp_path / "in", "1.json", copies)
+    run(spark, tmp_path, dedup)
+    drop_file(tmp_path / "in", "2.json", [line(event_id=f"d{i}", production_kw=0.5) for i in range(31)])
+    stored = {r.event_id: float(r.production_kw) for r in run(spark, tmp_path, dedup).collect()}
+    assert stored == {f"d{i}": 1.0 for i in range(30)} | {"d30": 0.5}
+
+
+@pytest.mark.parametrize("dedup", ["sink", "state"])
+def test_the_first_copy_of_a_topic_is_stored(spark, tmp_path, dedup):
+    """With partition and offset these decide, not the value."""
+    rows = [
+        (line(event_id=f"t{i}", production_kw=kw), partition, offset)
+        for i in range(20)
+        for kw, partition, offset in ((1.0, 1, 5 + i % 4), (3.0, 1, 4), (2.0, 1, 9), (0.5, 2, 0))
+    ]
+    schema = "value STRING, partition INT, offset LONG"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    ingest.start_ingest(stream, f"{tmp_path}/sink", f"{tmp_path}/cp", dedup=dedup).awaitTermination()
+    stored = {r.event_id: float(r.production_kw) for r in ingest.read_readings(spark, f"{tmp_path}/sink").collect()}
+    assert stored == {f"t{i}": 3.0 for i in range(20)}
