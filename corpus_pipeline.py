@@ -37,7 +37,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length with the checksum of their ids."""
-    return packing.pack(docs, digest=True).drop("bucket")
+    return packing.pack(docs, digest=True, added_tokens=True).drop("bucket")
 
 
 STAGES = [

@@ -7,6 +7,7 @@ bucket), nothing is padded and no sequence crosses documents.  One narrow stage,
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -36,21 +37,30 @@ class WordEncoder:
 
     The tokenizer folds case, drops white space and never merges across white space or from a letter
     into punctuation, so words between such borders are encoded independently, each of them once.
+    With ``added_tokens``, texts are split at the added tokens of the vocabulary (``<|endoftext|>``,
+    case as written) first; these have their own ids, as in the tokenizer's plain call.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # words are ordinary text: case folding may make up an added token
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a run of letters
         self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError("added tokens have to be plain strings")
+        self.closing = np.array([END_ID, *added], dtype=np.int32)  # places 0, 1, ...: what a part of a text ends with
+        self.closing_place = {t.content: i for i, t in enumerate(added.values(), 1)}
+        longest_first = sorted(map(re.escape, self.closing_place), key=len, reverse=True)
+        self.added = f"({'|'.join(longest_first)})" if added else None
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids, self.sizes = [np.array([END_ID], dtype=np.int32)], [np.array([1], dtype=np.int64)]
+        self.ids, self.sizes = [self.closing], [np.ones(len(self.closing), dtype=np.int64)]
 
     def _learn(self, words: list[str]) -> None:
         """Runs of letters are encoded many at a time, as each ends with a closing id."""
@@ -74,14 +84,26 @@ class WordEncoder:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        first = len(self.place) + 1  # place 0 holds the id that closes a text
+        first = len(self.place) + len(self.closing)
         self.place.update(zip(words, range(first, first + len(words)), strict=True))
         self.ids.append(ids)
         self.sizes.append(sizes.astype(np.int64))
 
+    def _parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts between added tokens, and the place of the id that each part ends with."""
+        if not self.added or not pc.any(pc.match_substring_regex(texts, self.added)).as_py():
+            return texts, np.zeros(len(texts), dtype=np.int64)
+        parts, closing = [], []
+        for text in texts.to_pylist():
+            pieces = re.split(self.added, text or "")
+            parts += pieces[::2]
+            closing += [*(self.closing_place[p] for p in pieces[1::2]), 0]
+        return pa.array(parts, pa.large_string()), np.array(closing, dtype=np.int64)
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by ``END_ID``, and the number of ids per text."""
-        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), LETTER_THEN_MARK, r"\1 \2")
+        parts, closing = self._parts(texts)
+        spaced = pc.replace_substring_regex(pc.ascii_lower(parts), LETTER_THEN_MARK, r"\1 \2")
         rows, codes, words = word_codes(spaced)
         if len(self.place) > CACHED_WORDS:
             self._forget()
@@ -90,20 +112,21 @@ class WordEncoder:
         ids, sizes = self.ids[0], self.sizes[0]
         starts = np.cumsum(sizes) - sizes
         place = np.fromiter((self.place[w] for w in words), dtype=np.int64, count=len(words))
-        per_text = np.bincount(rows, minlength=len(texts))
-        closed = np.insert(place[codes], np.cumsum(per_text), 0)
+        per_part = np.bincount(rows, minlength=len(parts))
+        closed = np.insert(place[codes], np.cumsum(per_part), closing)
         lengths = sizes[closed]
         ends = np.cumsum(lengths)
-        counts = np.diff(ends[np.cumsum(per_text + 1) - 1], prepend=0)
+        counts = np.diff(ends[np.cumsum(per_part + 1)[closing == 0] - 1], prepend=0)
         return ids[np.repeat(starts[closed] - ends + lengths, lengths) + np.arange(ends[-1])], counts
 
 
-def worker_encoder(path: str) -> WordEncoder:
+def worker_encoder(path: str, added_tokens: bool = False) -> WordEncoder:
     """The encoder of this worker process: its tasks share the words learnt so far."""
     held = vars(sys.modules.setdefault("_packing_worker", ModuleType("_packing_worker")))
-    if path not in held:
-        held[path] = WordEncoder(path)
-    return held[path]
+    key = f"{path}-{added_tokens}"
+    if key not in held:
+        held[key] = WordEncoder(path, added_tokens)
+    return held[key]
 
 
 def piece_lengths(tokens: int, longest: int) -> list[int]:
@@ -112,9 +135,9 @@ def piece_lengths(tokens: int, longest: int) -> list[int]:
     return [longest] * (tokens // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def cut(batches: Iterator[pa.RecordBatch], path: str, longest: int) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterator[pa.RecordBatch], path: str, longest: int, added_tokens: bool = False) -> Iterator[pa.RecordBatch]:
     """Pieces (columns ``PIECES``) of batches with doc_id and text."""
-    encoder = worker_encoder(path)
+    encoder = worker_encoder(path, added_tokens)
     names = ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"]
     for batch in batches:
         for part in slices(batch, "text"):
@@ -163,20 +186,23 @@ def pack(
     path: str | None = None,
     longest: int = SEQUENCE_TOKENS,
     digest: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Pieces of all rows: ``PIECES`` and sequence_id, offset.
 
     ``longest`` is a power of two.  Each row of ``docs`` is a document of its own (repeated rows give
     repeated pieces with ids of their own); a null text counts as empty and has one id.  An empty
     table gives an empty result; other columns are ignored.  ``digest`` replaces the ids by their
-    checksum ids_crc32.  sequence_id is unique and, for the same files, the same on every attempt.
+    checksum ids_crc32.  ``added_tokens`` gives the strings of the vocabulary's added tokens their own
+    ids, as ``Tokenizer.encode(text, add_special_tokens=False)`` does; without it they are ordinary
+    text.  sequence_id is unique and, for the same files, the same on every attempt.
     """
     if longest & (longest - 1):
         raise ValueError("the sequence length must be a power of two")
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = cut(batches, path, longest)
+        pieces = cut(batches, path, longest, added_tokens)
         yield from digests(pieces) if digest else pieces
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -194,6 +220,6 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read_table(spark, sf_dir, "documents"), digest=True).select(
+    return pack(read_table(spark, sf_dir, "documents"), digest=True, added_tokens=True).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

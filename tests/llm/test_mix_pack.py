@@ -157,3 +157,45 @@ def test_buckets_on_disk(spark, tmp_path):
     assert back.count() == pieces.count()
     with pytest.raises(ValueError):
         packing.pack(documents(spark), longest=1000)
+
+
+SPECIAL_TEXTS = [
+    "a <|endoftext|> b",
+    "<|endoftext|>",
+    "<|startoftext|><|endoftext|><|endoftext|>x<|startoftext|>",
+    "Don't<|endoftext|>'s 12<|endoftext|>34",
+    "<|ENDOFTEXT|> <|EndOfText|> <| endoftext|> <|endoftext<|endoftext|>|>",
+    "e<|endoftext|>\u0301 <|endoftext|>\u0338",
+    "word " * 3000 + "<|endoftext|>" + " word" * 3000,
+    "plain text",
+    "",
+    None,
+]
+
+
+def plain_ids(text):
+    """The tokenizer's own call, without any setting."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary_path())
+    return [*t.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_added_tokens_have_their_own_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(list(enumerate(SPECIAL_TEXTS)), "doc_id long, text string")
+    back = defaultdict(list)
+    for r in sorted(packing.pack(docs, added_tokens=True).collect(), key=lambda r: r["sequence_id"]):
+        back[r["doc_id"]] += r["ids"]
+    assert back == {i: plain_ids(t) for i, t in enumerate(SPECIAL_TEXTS)}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for i, text in enumerate(SPECIAL_TEXTS):
+        ids, at = plain_ids(text), 0
+        for n in packing.piece_lengths(len(ids), 2048):
+            want.add((i, at, n, zlib.crc32(np.array(ids[at : at + n], dtype="<u4").tobytes()), len(ids)))
+            at += n
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    for got in (packing.query(spark, str(tmp_path)), corpus_pipeline.pack_stage(spark, docs, str(tmp_path))):
+        assert {tuple(r) for r in got.select(columns).collect()} == want
