@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,7 +71,22 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     cuts = np.flatnonzero(np.diff(part)) + 1
     for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
         yield batch.slice(int(start), int(end - start))
-    pa.default_memory_pool().release_unused()  # workers are reused and should not keep a peak
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused and should not keep a peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def letter_kinds(pre_tokenizer, points: str) -> np.ndarray:
+    """How a tokenizer that parts letters, numbers and marks sees each code point: L joins letters, N stands alone, O joins marks."""
+    pieces = pre_tokenizer.pre_tokenize_str(" ".join("a" + c + c for c in points))
+    per_point = np.bincount([start // 4 for _, (start, _) in pieces], minlength=len(points))
+    return np.array([ord("X"), ord("L"), ord("O"), ord("N")], dtype=np.uint8)[per_point]
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:

@@ -19,24 +19,43 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import read_table, slices, text_or_empty, word_codes
+from sunledger.llm.common import give_back, letter_kinds, read_table, slices, text_or_empty, word_codes
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 800_000  # words whose ids a task remembers; a full memory starts anew
+CACHED_BYTES = 48 << 20  # memory for the words whose ids a task remembers; a full one starts anew
+WORD_OVERHEAD = 220  # bytes that a remembered word takes besides its letters and ids
+SLICE_BYTES = 1 << 20  # text that a task looks at together
 JOINED_WORDS = 2000
 WORD_END = "</w>"
-LETTER_THEN_MARK = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"  # the tokenizer always splits between the two
+LETTER_THEN_MARK = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"  # the tokenizer splits between the two in simple texts
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, bucket int, ids array<int>"
 
 
+def unsimple_letters(tokenizer) -> str:
+    """Pattern of all marks, and of the code points that are letters or numbers here but not, or not alone, to the tokenizer.
+
+    Normalisation and lower case may turn a letter into a letter and a mark, and the tokenizer's table of
+    letters may be of another age than the one used here.
+    """
+    codes = [c for c in range(0xA0, 0x40000) if not 0xD800 <= c < 0xF900]
+    lettered = pc.match_substring_regex(pa.array(list(map(chr, codes)), pa.string()), r"[\p{L}\p{N}]")
+    letters = "".join(chr(c) for c, x in zip(codes, lettered.to_pylist(), strict=True) if x)
+    forms = tokenizer.normalizer.normalize_str("\0".join(letters)).split("\0")
+    kinds = letter_kinds(tokenizer.pre_tokenizer, "".join(f[-1] for f in forms))
+    found = "".join(f"\\x{{{ord(c):X}}}" for c, k in zip(letters, kinds, strict=True) if chr(k) not in "LN")
+    return r"[\p{M}" + found + "]"
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their words.
 
-    The tokenizer folds case, drops white space and never merges across white space or from a letter
-    into punctuation, so words between such borders are encoded independently, each of them once.
+    The tokenizer drops white space and never merges across it, so words are encoded independently,
+    each of them once.  In texts without marks (and without letters that normalise to a letter and a
+    mark) case may be folded first, and a letter and a following ASCII mark are parted as well.  The
+    other texts keep their letters as written: a mark can make a letter another one, or end its run.
     With ``added_tokens``, texts are split at the added tokens of the vocabulary (``<|endoftext|>``,
     case as written) first; these have their own ids, as in the tokenizer's plain call.
     """
@@ -56,10 +75,12 @@ class WordEncoder:
         self.closing_place = {t.content: i for i, t in enumerate(added.values(), 1)}
         longest_first = sorted(map(re.escape, self.closing_place), key=len, reverse=True)
         self.added = f"({'|'.join(longest_first)})" if added else None
-        self._forget()
+        self.marked = unsimple_letters(self.tokenizer)
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.held_bytes = 0
         self.ids, self.sizes = [self.closing], [np.ones(len(self.closing), dtype=np.int64)]
 
     def _learn(self, words: list[str]) -> None:
@@ -86,6 +107,7 @@ class WordEncoder:
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         first = len(self.place) + len(self.closing)
         self.place.update(zip(words, range(first, first + len(words)), strict=True))
+        self.held_bytes += WORD_OVERHEAD * len(words) + 4 * sum(map(len, words)) + 4 * len(ids)
         self.ids.append(ids)
         self.sizes.append(sizes.astype(np.int64))
 
@@ -103,10 +125,11 @@ class WordEncoder:
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by ``END_ID``, and the number of ids per text."""
         parts, closing = self._parts(texts)
+        simple = pc.invert(pc.match_substring_regex(parts, self.marked))
         spaced = pc.replace_substring_regex(pc.ascii_lower(parts), LETTER_THEN_MARK, r"\1 \2")
-        rows, codes, words = word_codes(spaced)
-        if len(self.place) > CACHED_WORDS:
-            self._forget()
+        rows, codes, words = word_codes(pc.if_else(simple, spaced, parts))
+        if self.held_bytes > CACHED_BYTES:
+            self.forget()
         self._learn([w for w in words if w not in self.place])
         self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
         ids, sizes = self.ids[0], self.sizes[0]
@@ -121,7 +144,7 @@ class WordEncoder:
 
 
 def worker_encoder(path: str, added_tokens: bool = False) -> WordEncoder:
-    """The encoder of this worker process: its tasks share the words learnt so far."""
+    """The encoder of this worker process, read once; a task forgets the words it has learnt when it ends."""
     held = vars(sys.modules.setdefault("_packing_worker", ModuleType("_packing_worker")))
     key = f"{path}-{added_tokens}"
     if key not in held:
@@ -140,7 +163,7 @@ def cut(batches: Iterator[pa.RecordBatch], path: str, longest: int, added_tokens
     encoder = worker_encoder(path, added_tokens)
     names = ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"]
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             ids, counts = encoder.texts(part.column("text"))
             cuts = [piece_lengths(int(n), longest) for n in counts]
             per_doc = np.array([len(c) for c in cuts])
@@ -159,6 +182,8 @@ def cut(batches: Iterator[pa.RecordBatch], path: str, longest: int, added_tokens
                 ],
                 names=names,
             )
+    encoder.forget()
+    give_back()
 
 
 def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
