@@ -6,11 +6,13 @@ from sunledger.llm import (
     exact_dedup,
     knn,
     language_id,
+    lexical,
     mixing,
     packing,
     quality,
     secrets,
     simhash,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -26,6 +28,12 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_secrets": secrets.query,
     "op10_simhash": simhash.query,
+    "op12_token_counts": token_counts.query,
+    "op13_lexical_search": lexical.query,
 }
 
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_knn": knn.ORACLE}
+ORACLES = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op7_knn": knn.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
+}
