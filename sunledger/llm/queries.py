@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sunledger.llm import (
+    collocations,
     exact_dedup,
     knn,
     language_id,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_secrets": secrets.query,
     "op10_simhash": simhash.query,
+    "op11_collocations": collocations.query,
     "op12_token_counts": token_counts.query,
     "op13_lexical_search": lexical.query,
 }
@@ -35,5 +37,6 @@ QUERIES = {
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op7_knn": knn.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op13_lexical_search": lexical.ORACLE,
 }
