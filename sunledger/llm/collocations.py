@@ -31,6 +31,8 @@ TOP = 2000
 NO_LANGUAGE = "und"
 SLICE_BYTES = 2 << 20  # text that a task looks at together
 FILTER_BITS = 22  # a filter has 2**22 cells (512 KB), whatever the corpus
+GROUP_WORDS = 1 << 20  # words of the code table that a task counts together
+HELD_WORDS = 150_000  # different words whose counts a task holds before it hands them on
 SHARES = (1 / 8, 1)  # of the occurrences of frequent words, expanded up to each round
 STEPS = 4  # histogram steps per doubling of a word's count
 
@@ -49,13 +51,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def prefix_cells(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
-    """Filter cell of the phrase of 1, 2, ... words that starts at each place of ``codes`` (0 is a break)."""
+def prefix_hashes(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """Hash of the phrase of 1, 2, ... words that starts at each place of ``codes`` (0 is a break)."""
     h = np.zeros(len(codes), dtype=np.uint64)
     padded = np.concatenate([codes, np.zeros(longest, np.int64)]).view(np.uint64)
     for k in range(longest):
         h = mixed(h * np.uint64(31) + padded[k : k + len(codes)])
-        yield (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        yield h
+
+
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -99,12 +105,22 @@ def codes_of(words: pa.Array, seed: int) -> np.ndarray:
 def word_counts(texts: DataFrame, seed: int) -> DataFrame:
     """lang, word, code, f: every different word of each language."""
 
+    def handed(lang: str, held: dict[str, int]) -> pa.RecordBatch:
+        words = pa.array(held, pa.string())
+        made = [pa.array([lang] * len(held), pa.string()), words, pa.array(codes_of(words, seed)), pa.array(held.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(made, names=["lang", "word", "code", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, dict[str, int]] = {}
         for lang, part in by_language(batches):
             _, _, codes, words = words_of(part)
-            n = np.bincount(codes, minlength=len(words))
-            made = [pa.array([lang] * len(words), pa.string()), words.cast(pa.string()), pa.array(codes_of(words, seed)), pa.array(n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(made, names=["lang", "word", "code", "n"])
+            held = counts.setdefault(lang, {})
+            for word, n in zip(words.to_pylist(), np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+                held[word] = held.get(word, 0) + n
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                yield from (handed(*c) for c in counts.items())
+                counts.clear()
+        yield from (handed(*c) for c in counts.items())
 
     counted = texts.mapInArrow(run, "lang string, word string, code long, n long")
     return counted.groupBy("lang", "word", "code").agg(F.sum("n").alias("f"))
@@ -118,7 +134,7 @@ def code_table(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
         for lang, part in by_language(batches):
             _, opens, local, words = words_of(part)
             code = codes_of(words, seed)
-            code[~known[next(prefix_cells(code, 1))]] = 0
+            code[~known[cells_of(next(prefix_hashes(code, 1)))]] = 0
             codes = code[local]
             at = np.flatnonzero(opens)
             codes = np.insert(codes, at, 0)
@@ -136,7 +152,9 @@ def code_table(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
 
 
 def bit_filter(phrases: DataFrame) -> np.ndarray:
-    """Cells of the phrases in column ``words`` (of any length) as bits; languages share them."""
+    """Cells of the phrases in column ``words`` (of any length), or of their ``hash``, as bits; languages share them."""
+    if "hash" in phrases.columns:
+        return _bits(phrases.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("cell")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,11 +163,14 @@ def bit_filter(phrases: DataFrame) -> np.ndarray:
             flat, at = lists.flatten().to_numpy(), np.cumsum(sizes) - sizes
             cells = np.zeros(len(sizes), dtype=np.int64)
             longest = int(sizes.max(initial=0))
-            for k, cell in enumerate(prefix_cells(flat, longest), 1):
-                cells[sizes == k] = cell[at[sizes == k]]
+            for k, hashes in enumerate(prefix_hashes(flat, longest), 1):
+                cells[sizes == k] = cells_of(hashes[at[sizes == k]])
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(cells))], names=["cell"])
 
-    cells = phrases.select("words").mapInArrow(run, "cell long")
+    return _bits(phrases.select("words").mapInArrow(run, "cell long"))
+
+
+def _bits(cells: DataFrame) -> np.ndarray:
     group = cells.groupBy(F.shiftright("cell", 5).alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, int(cell % 32))")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
     for r in group.toLocalIterator():  # at most 2**(FILTER_BITS - 5) rows
@@ -166,40 +187,73 @@ def local_groups(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(group, return_index=True)[1], group
 
 
-def phrase_counts(codes: DataFrame, length: int, wanted: np.ndarray, prefix: bool) -> DataFrame:
-    """``COUNTS`` of the phrases of ``length`` words whose prefix of one word less (or which themselves) pass the filter.
+def grouped_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    """Rows of the code table put together, language by language, a break between them."""
+    held: dict[str, list[np.ndarray]] = {}
+    for batch in batches:
+        for lang, codes in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
+            rows = held.setdefault(lang, [])
+            rows += [codes.values.to_numpy(), np.zeros(1, np.int64)]
+            if sum(map(len, rows)) > GROUP_WORDS:
+                yield lang, np.concatenate(held.pop(lang))
+        for lang in list(held):  # nothing is held beyond its batch
+            yield lang, np.concatenate(held.pop(lang))
+        give_back()
+
+
+def places(codes: np.ndarray, length: int, asked: np.ndarray, asked_length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the phrases of ``length`` words whose first ``asked_length`` words pass the filter."""
+    hashes = list(prefix_hashes(codes, length))
+    padded = np.concatenate([codes, np.zeros(length, np.int64)])
+    full = reduce(np.logical_and, (padded[k : k + len(codes)] != 0 for k in range(length)))
+    at = np.flatnonzero(full & asked[cells_of(hashes[asked_length - 1])])
+    return at, hashes[-1][at]
+
 
-    Occurrences are added up per row of ``codes``, then by Spark before and after the shuffle.
+def frequent_filter(codes: DataFrame, length: int, prefixes: np.ndarray, least: int) -> np.ndarray:
+    """Filter of the phrases of ``length`` words with a prefix of one word less in ``prefixes`` that may be frequent.
+
+    Counts hashes alone: one that several phrases share only lets more of them pass.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.unpackbits(prefixes).astype(bool)
+        for _, row in grouped_rows(batches):
+            found, n = np.unique(places(row, length, asked, length - 1)[1], return_counts=True)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+    hashes = codes.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return bit_filter(hashes.where(F.col("n") >= least))
+
+
+def phrase_counts(codes: DataFrame, length: int, wanted: np.ndarray) -> DataFrame:
+    """Exact counts of the phrases of ``length`` words that pass the filter.
+
+    Occurrences are added up per group of rows of ``codes``, then by Spark before and after the shuffle.
     ``least_before`` and ``most_before`` bound the codes of the words before the phrase (0: none that counts).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = np.unpackbits(wanted).astype(bool)
-        for batch in batches:
-            for lang, held in zip(batch.column("lang"), batch.column("codes"), strict=True):
-                row = held.values.to_numpy()
-                *_, cell = prefix_cells(row, length - prefix)
-                padded = np.concatenate([[0], row, np.zeros(LONGEST, np.int64)])
-                full = reduce(np.logical_and, (padded[1 + k : 1 + k + len(row)] != 0 for k in range(length)))
-                at = np.flatnonzero(full & asked[cell])
-                if not len(at):
-                    continue
-                columns = [padded[1 + k + at] for k in range(length)]
-                first, group = local_groups(columns)
-                n = np.bincount(group)
-                order = np.argsort(group, kind="stable")
-                edges = np.cumsum(n) - n
-                before = padded[at][order]
-                phrases = np.stack([c[first] for c in columns], axis=1).ravel()
-                made = [
-                    pa.array([lang.as_py()] * len(first), pa.string()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * length), pa.array(phrases)),
-                    pa.array(n.astype(np.int64)),
-                    pa.array(np.minimum.reduceat(before, edges)),
-                    pa.array(np.maximum.reduceat(before, edges)),
-                ]
-                yield pa.RecordBatch.from_arrays(made, names=["lang", "words", "n", "least_before", "most_before"])
-            give_back()
+        for lang, row in grouped_rows(batches):
+            at, _ = places(row, length, asked, length)
+            if not len(at):
+                continue
+            columns = [row[k + at] for k in range(length)]
+            first, group = local_groups(columns)
+            n = np.bincount(group)
+            edges = np.cumsum(n) - n
+            before = np.concatenate([[0], row])[at][np.argsort(group, kind="stable")]
+            phrases = np.stack([c[first] for c in columns], axis=1).ravel()
+            made = [
+                pa.array([lang] * len(first), pa.string()),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * length), pa.array(phrases)),
+                pa.array(n.astype(np.int64)),
+                pa.array(np.minimum.reduceat(before, edges)),
+                pa.array(np.maximum.reduceat(before, edges)),
+            ]
+            yield pa.RecordBatch.from_arrays(made, names=["lang", "words", "n", "least_before", "most_before"])
 
     counted = codes.mapInArrow(run, COUNTS)
     return counted.groupBy("lang", "words").agg(
@@ -318,7 +372,8 @@ def _survivors(codes, first, single, frequent, least, report, turn) -> DataFrame
     """Scored phrases that start with a word of ``first`` and lie in no longer phrase as frequent."""
     grown, prefixes = [], first
     for length in range(2, LONGEST + 1):
-        counted = phrase_counts(codes, length, bit_filter(prefixes), prefix=True).where(F.col("a") >= least)
+        hopeful = frequent_filter(codes, length, bit_filter(prefixes), least)
+        counted = phrase_counts(codes, length, hopeful).where(F.col("a") >= least)
         front = F.slice("words", 1, length - 1)
         counted = counted.withColumn("front", front).join(
             prefixes.select("lang", F.col("words").alias("front")), ["lang", "front"], "left_semi"
@@ -358,7 +413,7 @@ def _survivors(codes, first, single, frequent, least, report, turn) -> DataFrame
     rests = stored(rests, "colloc-rests")
     wanted = bit_filter(rests)
     counted = [
-        phrase_counts(codes, length, wanted, prefix=False).join(rests, ["lang", "words"], "left_semi").select("lang", "words", "a")
+        phrase_counts(codes, length, wanted).join(rests, ["lang", "words"], "left_semi").select("lang", "words", "a")
         for length in range(2, LONGEST)
     ]
     ends = stored(reduce(DataFrame.unionByName, counted), "colloc-ends").unionByName(single)
