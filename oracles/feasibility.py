@@ -49,6 +49,13 @@ oracle(
     max(value) AS max, round(stddev_samp(value), 6) AS std, round({dsum('value')}, 6) AS sum,
     round(median(value), 6) AS median FROM measured GROUP BY city, variable""",
 )
+oracle(
+    "climate_from_days",
+    "measured",
+    f"""SELECT city, variable, count(*) AS n, round({dmean('value')}, 6) AS mean, min(value) AS min,
+    max(value) AS max, round(stddev_samp(value), 6) AS std, TRUE AS p10_within, TRUE AS p50_within,
+    TRUE AS p90_within FROM measured WHERE value IS NOT NULL GROUP BY city, variable""",
+)
 oracle(
     "climate_percentiles",
     "measured",

@@ -37,6 +37,7 @@ STORED = """SELECT CASE WHEN n % 67 = 6 THEN NULL ELSE 'e' || n END AS event_id,
     AND (i = 0 OR n % 67 = 6)"""
 oracle("stream_ingest", "messages", STORED)
 oracle("stream_ingest_state", "messages", STORED)
+oracle("stream_ingest_ids", "messages", STORED)
 oracle(
     "stream_rejects",
     "messages",
@@ -58,15 +59,18 @@ oracle(
     {dbl('sum(p_m)', 1000)} AS total_production_kw, {dbl('max(p_m)', 1000)} AS peak_production_kw,
     count(*) FILTER (WHERE is_valid) AS valid_readings FROM solar GROUP BY 1""",
 )
-oracle(
-    "live_windows",
-    "solar",
-    f"""SELECT w AS window_start, w + INTERVAL 30 MINUTE AS window_end, count(*) AS readings,
+LIVE = f"""SELECT w AS window_start, w + INTERVAL 30 MINUTE AS window_end, count(*) AS readings,
     count(DISTINCT panel_id) AS active_panels, {dbl('sum(p_m)', 1000)} AS total_production_kw,
     {dbl('max(p_m)', 1000)} AS peak_production_kw,
     count(*) FILTER (WHERE is_valid) AS valid_readings
     FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, timestamp) - to_minutes(5 * i) AS w
-      FROM solar, range(6) AS r(i)) GROUP BY w""",
+      FROM solar, range(6) AS r(i)) GROUP BY w"""
+oracle("live_windows", "solar", LIVE)
+oracle(
+    "live_windows_stream",
+    "solar",
+    f"""{LIVE} HAVING w + INTERVAL 30 MINUTE <= (SELECT date_trunc('milliseconds', max(timestamp)) FROM solar)
+    - INTERVAL 1 HOUR""",
 )
 oracle(
     "csv_weather_scan",

@@ -56,12 +56,13 @@ oracle(
 MONTHLY = f"""year, month, total_panels, {dbl('total_c', 100)} AS total_production_kwh,
     {dbl('avg_p_m', 1000)} AS avg_production_kw, {dbl('eff_m', 1000)} AS avg_efficiency,
     {dbl('quality_c', 100)} AS data_quality_pct"""
-oracle(
-    "gold_monthly_kpis",
-    "monthly",
-    f"""SELECT {MONTHLY}, {dbl('max_m', 1000)} AS peak_production_kw,
-    {dbl('temp_d', 10)} AS avg_temperature, valid_readings FROM monthly""",
-)
+for _name in ("gold_monthly_kpis", "gold_monthly_from_days"):
+    oracle(
+        _name,
+        "monthly",
+        f"""SELECT {MONTHLY}, {dbl('max_m', 1000)} AS peak_production_kw,
+        {dbl('temp_d', 10)} AS avg_temperature, valid_readings FROM monthly""",
+    )
 oracle(
     "gold_weather_impact",
     "impact",

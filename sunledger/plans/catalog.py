@@ -17,6 +17,7 @@ from sunledger import constants as C
 from sunledger.operators import (
     anomalies,
     climate,
+    daystates,
     economics,
     energy,
     gold,
@@ -25,6 +26,7 @@ from sunledger.operators import (
     quality,
     silver as silver_ops,
 )
+from sunledger.functions.semantics import join_null_safe
 from sunledger.plans import feasibility
 from sunledger.plans.fleet import Fleet
 from sunledger.session import materialise, work_folder
@@ -98,6 +100,15 @@ def gold_monthly_kpis(f: Fleet) -> DataFrame:
     return f.monthly_kpis
 
 
+@query
+def gold_monthly_from_days(f: Fleet) -> DataFrame:
+    """gold_monthly_kpis from written states per day, panels counted exactly."""
+    numbers = materialise(daystates.panel_numbers(f.silver_solar), "panel-numbers")
+    production = materialise(daystates.production_states(f.silver_solar), "production-days")
+    bitmaps = materialise(daystates.panel_bitmaps(f.silver_solar, numbers), "panel-days")
+    return daystates.months_of_days(production, bitmaps)
+
+
 @query
 def gold_weather_impact(f: Fleet) -> DataFrame:
     return f.weather_impact
@@ -483,6 +494,24 @@ def climate_summary(f: Fleet) -> DataFrame:
     return _rounded(climate.variable_summary(f.site_weather))
 
 
+@query
+def climate_from_days(f: Fleet) -> DataFrame:
+    """Exact moments and sketched quantiles from states per day; whether each quantile keeps its rank error."""
+    weather = f.site_weather
+    states = materialise(daystates.variable_states(weather, "city", F.to_date("date")), "climate-days")
+    found = materialise(daystates.state_summary(daystates.merged_days(states, "city")), "climate-merged")
+    values = climate.long_form(weather, "city").where("value IS NOT NULL AND NOT isnan(value)")
+    shares = join_null_safe(values, found.select("city", "variable", "p10", "p50", "p90"), ["city", "variable"])
+    kept = []
+    for p in (10, 50, 90):
+        below, upto = (F.count_if(F.col("value") < F.col(f"p{p}")), F.count_if(F.col("value") <= F.col(f"p{p}")))
+        n, error = F.count(F.lit(1)), daystates.RANK_ERROR
+        kept.append(((below <= n * (p / 100 + error)) & (upto >= n * (p / 100 - error))).alias(f"p{p}_within"))
+    ranks = shares.groupBy("city", "variable").agg(*kept)
+    joined = join_null_safe(found.drop("p10", "p50", "p90"), ranks, ["city", "variable"])
+    return _rounded(joined)
+
+
 @query
 def climate_percentiles(f: Fleet) -> DataFrame:
     return _rounded(climate.variable_percentiles(f.site_weather))
@@ -820,6 +849,11 @@ def stream_ingest_state(f: Fleet) -> DataFrame:
     return _readings_of(f, "state")
 
 
+@query
+def stream_ingest_ids(f: Fleet) -> DataFrame:
+    return _readings_of(f, "ids")
+
+
 @query
 def stream_rejects(f: Fleet) -> DataFrame:
     rejects = ingest.read_rejects(f.spark, _ingested(f, "sink"))
@@ -851,3 +885,18 @@ def live_windows(f: Fleet) -> DataFrame:
     """The dashboard's sliding windows over the whole table."""
     readings = f.silver_solar.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return rollup.live_windows(readings)
+
+
+@query
+def live_windows_stream(f: Fleet) -> DataFrame:
+    """The same windows as a stream run to its end; those that the watermark has not closed are not there."""
+    base = work_folder(f.spark, "windows")
+    arriving = (
+        f.spark.readStream.schema(f.events.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(f.folder)
+    )
+    stream = silver_ops.build_silver_solar(readings_view(arriving))
+    stream = stream.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rollup.start_closed_windows(stream, f"{base}/windows", f"{base}/checkpoint").awaitTermination()
+    return f.spark.read.parquet(f"{base}/windows")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.functions.clock import PARTITION_COLUMN
-from sunledger.operators import anomalies, gold, monitoring, quality, silver
+from sunledger.operators import anomalies, daystates, gold, monitoring, quality, silver
 from sunledger.schemas import GOLD_ANOMALIES
 from sunledger.session import materialise
 from sunledger.sources.tables import append_table, exists, refresh_days, refresh_table
@@ -122,15 +122,20 @@ def refresh_silver(lake: Lake, as_of: datetime, days: Sequence[date] | None = No
 def refresh_gold(lake: Lake, as_of: datetime, days: Sequence[date] | None = None) -> None:
     """Silver -> gold roll-ups: everything, or only the given days and the months they lie in.
 
+    Only the readings of the given days are read; the months follow from stored states of their days.
+
     All tables are partitioned by day, the monthly one by the first of the month.
     """
     _require(silver_weather=lake.silver_weather, silver_solar=lake.silver_solar)
-    weather, solar, month_solar = lake.silver_weather, lake.silver_solar, lake.silver_solar
+    weather, solar = lake.silver_weather, lake.silver_solar
     months = sorted({day.replace(day=1) for day in days or ()})
     if days is not None:
         weather, solar = _of_days(weather, days), _of_days(solar, days)
-        month_solar = _of_days(month_solar, [day for m in months for day in _days_of_month(m)])
-    monthly = gold.monthly_kpis(month_solar, as_of).withColumn(
+    production, panels = _refresh_states(lake, solar, days)
+    if days is not None:
+        wanted = [day for m in months for day in _days_of_month(m)]
+        production, panels = (df.where(F.col(PARTITION_COLUMN).isin(*wanted)) for df in (production, panels))
+    monthly = daystates.months_of_days(production, panels, as_of).withColumn(
         "month_start", F.expr("make_date(year, month, 1)")
     )
     tables = {
@@ -146,6 +151,31 @@ def refresh_gold(lake: Lake, as_of: datetime, days: Sequence[date] | None = None
             refresh_days(df, lake.location("gold", table), ts, given)
 
 
+def _refresh_states(
+    lake: Lake, solar: DataFrame, days: Sequence[date] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Production and panel states per day, rebuilt from ``solar`` for ``days`` (or all): a month follows from its days."""
+    where = {name: lake.location("gold", name) for name in ("panel_numbers", "production_days", "panel_days")}
+    fresh = days is None or not all(exists(lake.spark, location) for location in where.values())
+    if fresh:
+        solar, days = lake.silver_solar, None
+        refresh_table(daystates.panel_numbers(solar), where["panel_numbers"])
+    else:
+        known = lake.read("gold", "panel_numbers")
+        append_table(daystates.panel_numbers(solar, known), where["panel_numbers"], ts=None)
+    numbers = lake.read("gold", "panel_numbers")
+    states = {
+        "production_days": daystates.production_states(solar),
+        "panel_days": daystates.panel_bitmaps(solar, numbers),
+    }
+    for name, df in states.items():
+        if days is None:
+            refresh_table(df, where[name], ts=daystates.DAY)
+        else:
+            refresh_days(df, where[name], daystates.DAY, days)
+    return lake.read("gold", "production_days"), lake.read("gold", "panel_days")
+
+
 def _days_of_month(first: date) -> list[date]:
     days = [first + timedelta(days=i) for i in range(31)]
     return [day for day in days if day.month == first.month]

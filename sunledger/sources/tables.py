@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,9 +63,26 @@ def append_table(df: DataFrame, location: str, ts: str | None = "timestamp") ->
 
 
 def refresh_table(df: DataFrame, location: str, ts: str | None = None) -> None:
-    """Full refresh: the new content replaces the whole table."""
-    writer = _dated(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*_partition(ts)).parquet(location)
+    """Full refresh: the new content replaces the whole table once it is complete.
+
+    It is written beside the table and takes its place by renaming, so a job that fails leaves the old
+    table as it was, and no reader meets a half-written one.
+    """
+    made = f"{location.rstrip('/')}.next-{uuid.uuid4().hex}"
+    _dated(df, ts).write.partitionBy(*_partition(ts)).parquet(made)
+    swap(df.sparkSession, made, location)
+
+
+def swap(spark: SparkSession, made: str, location: str) -> None:
+    """Put the finished folder ``made`` in the place of ``location``."""
+    path, old = spark._jvm.org.apache.hadoop.fs.Path(location), f"{location.rstrip('/')}.old-{uuid.uuid4().hex}"
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    if files.exists(path) and not files.rename(path, as_path(old)):
+        raise OSError(f"cannot move {location} away")
+    if not files.rename(as_path(made), path):
+        raise OSError(f"cannot move {made} to {location}")
+    files.delete(as_path(old), True)
 
 
 def refresh_days(
@@ -72,15 +90,14 @@ def refresh_days(
 ) -> None:
     """Incremental refresh: the event dates that occur in ``df`` are replaced.
 
-    Those of ``days`` for which ``df`` has no rows are emptied.
+    Those of ``days`` for which ``df`` has no rows are emptied; which days were written is observed
+    while they are written.
     """
-    dated = _dated(df, ts)
+    written = Observation()
+    dated = _dated(df, ts).observe(written, F.collect_set(PARTITION_COLUMN).alias("days"))
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*_partition(ts)).parquet(location)
-    if not days:
-        return
-    found = df.select(F.to_date(ts).alias("day")).where(F.col("day").isin(*days)).distinct()
-    for day in set(days) - {row.day for row in found.collect()}:
+    for day in set(days) - set(written.get["days"] or ()):
         delete(df.sparkSession, f"{location}/{PARTITION_COLUMN}={day.isoformat()}")
 
 
@@ -89,6 +106,18 @@ def exists(spark: SparkSession, location: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def make_folder(spark: SparkSession, location: str) -> None:
+    """An empty folder; an existing one stays as it is, also when several writers make it at once."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def folder_names(spark: SparkSession, location: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+
 def delete(spark: SparkSession, location: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -20,8 +20,9 @@ from sunledger import constants as C
 from sunledger.functions.clock import PARTITION_COLUMN
 from sunledger.functions.semantics import join_null_safe
 from sunledger.schemas import SOLAR_PANEL_READINGS
-from sunledger.sources.tables import delete
+from sunledger.sources.tables import delete, make_folder
 from sunledger.streaming.decode import decode_readings
+from sunledger.streaming.ids import IdTable
 
 BATCH_COLUMN = "ingest_batch"
 _FIRST_SEEN = "first_seen"  # marks the rows that only name an id the state did not know
@@ -139,6 +140,7 @@ def batch_writer(
     *,
     against_sink: bool = True,
     same_day_only: bool = False,
+    ids_table: IdTable | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function over decoded rows (see :func:`start_ingest`)."""
 
@@ -163,18 +165,14 @@ def batch_writer(
             if against_sink:
                 earlier = read_readings(spark, folder).where(F.col(BATCH_COLUMN) != name)
                 new = unseen(new, earlier, same_day_only)
-            (
-                new.select(
-                    *_STORED,
-                    F.current_timestamp().alias(INGESTED),
-                    F.to_date("timestamp").alias(PARTITION_COLUMN),
-                )
-                .hint("rebalance", PARTITION_COLUMN)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy(PARTITION_COLUMN)
-                .parquet(f"{folder}/readings/{BATCH_COLUMN}={name}")
-            )
+            if ids_table is None:
+                _write_readings(new, folder, name)
+            else:
+                # the ids enter last: until then a repeated batch finds the table as it was
+                with ids_table.turn(stream()):
+                    _write_readings(ids_table.unseen(new, name), folder, name)
+                    kept = read_readings(spark, folder).where(F.col(BATCH_COLUMN) == name)
+                    ids_table.add(kept, name)
             rejected = decoded.where(F.col("reject_reason").isNotNull())
             rejected.select(F.col("value").cast("string"), "reject_reason").write.mode(
                 "overwrite"
@@ -189,12 +187,27 @@ def batch_writer(
     return write
 
 
+def _write_readings(new: DataFrame, folder: str, name: str) -> None:
+    (
+        new.select(
+            *_STORED,
+            F.current_timestamp().alias(INGESTED),
+            F.to_date("timestamp").alias(PARTITION_COLUMN),
+        )
+        .hint("rebalance", PARTITION_COLUMN)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION_COLUMN)
+        .parquet(f"{folder}/readings/{BATCH_COLUMN}={name}")
+    )
+
+
 def start_ingest(
     messages: DataFrame,
     folder: str,
     checkpoint: str,
     *,
-    dedup: str = "state",
+    dedup: str = "ids",
     same_day_only: bool = False,
     state_partitions: int | None = None,
     trigger: dict | None = None,
@@ -203,6 +216,9 @@ def start_ingest(
 
     ``dedup``:
 
+    * ``ids``: against a table of all ids beside the readings (``folder``/event_ids), bucketed by id: a
+      batch is shuffled, the table is not, and the query keeps no state.  For any number of writers,
+      which take turns.
     * ``state``: ids are kept in the query's RocksDB state, so a batch costs as
       much as its own rows whatever the size of the table.  For one writer.  The
       number of ``state_partitions`` (default: the session's shuffle partitions)
@@ -211,24 +227,24 @@ def start_ingest(
       written by other streams.  Reads the table's id column once per batch;
       with ``same_day_only`` only that of the batch's days.
 
-    Either way the first copy stays: the earliest batch's, and within a batch the
-    least by partition, offset (where the source has them) and value.  Neither
+    In all three the first copy stays: the earliest batch's, and within a batch the
+    least by partition, offset (where the source has them) and value.  None
     forgets an id: a late, never-seen event is always kept.
     """
-    if dedup not in ("sink", "state"):
-        raise ValueError(f"dedup must be 'sink' or 'state', not {dedup!r}")
+    if dedup not in ("ids", "sink", "state"):
+        raise ValueError(f"dedup must be 'ids', 'sink' or 'state', not {dedup!r}")
     spark = messages.sparkSession
     decoded = decode_readings(messages)
     if dedup == "state":
         decoded = _with_new_ids(decoded)
-    _create(spark, f"{folder}/readings", READINGS_SCHEMA, [BATCH_COLUMN, PARTITION_COLUMN])
-    _create(spark, f"{folder}/rejects", REJECTS_SCHEMA, [BATCH_COLUMN])
-    _create(spark, f"{folder}/counters", COUNTERS_SCHEMA, [BATCH_COLUMN])
+    for table in ("readings", "rejects", "counters"):
+        make_folder(spark, f"{folder}/{table}")  # so that the first batch has something to read
     writer = batch_writer(
         folder,
         _stream_name(spark, checkpoint),
         against_sink=dedup == "sink",
         same_day_only=same_day_only,
+        ids_table=IdTable(spark, f"{folder}/event_ids") if dedup == "ids" else None,
     )
     query = (
         decoded.writeStream.foreachBatch(writer)
@@ -301,11 +317,5 @@ def _stream_name(spark: SparkSession, checkpoint: str) -> Callable[[], str]:
     return name
 
 
-def _create(spark: SparkSession, location: str, schema: T.StructType, parts: list[str]) -> None:
-    """An empty table, so that the first batch has something to read; an existing one stays."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").partitionBy(*parts).parquet(location)
-
-
 def _read(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(location)

@@ -76,8 +76,9 @@ def live_windows(
 ) -> DataFrame:
     """Sliding windows of the last minutes for a dashboard.
 
-    Streams cannot count distinct values exactly: there ``active_panels`` is a
-    sketch.  Over a table it is exact.
+    One aggregation, for the complete and update modes, which show open windows.  There a stream cannot
+    count distinct values exactly: ``active_panels`` is a sketch.  Over a table it is exact.
+    :func:`closed_windows` counts exactly in a stream.
     """
     return (
         readings.withWatermark("timestamp", lateness)
@@ -97,3 +98,49 @@ def _panels(readings: DataFrame) -> Column:
     if readings.isStreaming:
         return F.approx_count_distinct("panel_id")
     return F.count_distinct("panel_id")
+
+
+def closed_windows(
+    readings: DataFrame, length: str = "30 minutes", step: str = "5 minutes", lateness: str = "1 hour"
+) -> DataFrame:
+    """The windows of :func:`live_windows`, each once, with the panels counted exactly.
+
+    Panels are counted exactly, also over a stream: readings are first added up per window and panel,
+    then per window.  On a stream these are two chained stateful aggregations under one watermark, for the
+    append mode: a window appears once, when the watermark has passed its end; the state of a window is one
+    row per panel until then.  Readings without a panel count as readings.
+    """
+    per_panel = (
+        readings.withWatermark("timestamp", lateness)
+        .groupBy(F.window("timestamp", length, step), "panel_id")
+        .agg(
+            F.count(F.lit(1)).alias("readings"),
+            F.sum("production_kw").alias("total_production_kw"),
+            F.max("production_kw").alias("peak_production_kw"),
+            F.count_if(F.col("is_valid")).alias("valid_readings"),
+        )
+    )
+    return (
+        per_panel.groupBy("window")
+        .agg(
+            F.sum("readings").alias("readings"),
+            F.count("panel_id").alias("active_panels"),
+            F.sum("total_production_kw").alias("total_production_kw"),
+            F.max("peak_production_kw").alias("peak_production_kw"),
+            F.sum("valid_readings").alias("valid_readings"),
+        )
+        .selectExpr("window.start AS window_start", "window.end AS window_end", "* EXCEPT (window)")
+    )
+
+
+def start_closed_windows(readings: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None, **how) -> StreamingQuery:
+    """Append each window of :func:`closed_windows` to the table ``folder``, once."""
+    return (
+        closed_windows(readings, **how)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", folder)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
