@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger import constants as C
-from sunledger.functions.semantics import share, stable_sum
+from sunledger.functions.semantics import fixed_point_sum, share
 
 SITE, TS = "site_id", "ts_local"
 
@@ -88,7 +88,7 @@ def yearly_balances(
     it on all production is used.  The hours are added up by that year, and the
     balance of any year follows from these few sums: ``len(sizes)`` rows per
     hour instead of ``len(sizes) * years``.  Hours without a known production
-    count in the load only.  The sums are DECIMAL, hence the same for every
+    count in the load only.  The sums are fixed-point, hence the same for every
     partitioning.
     """
     keep = 1.0 - degradation
@@ -140,7 +140,7 @@ def yearly_balances(
 
 
 def _total(value: Column) -> Column:
-    return F.coalesce(stable_sum(value), F.lit(0.0))
+    return F.coalesce(fixed_point_sum(value), F.lit(0.0))
 
 
 def balance_percentages() -> dict[str, Column]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -112,3 +113,17 @@ def test_stable_sum_does_not_cut(spark):
     total, mean = df.where("v < 1").agg(stable_sum(F.col("v")), stable_mean(F.col("v"))).first()
     assert total == pytest.approx(3e-9) and mean == pytest.approx(1.5e-9)
     assert df.agg(stable_sum(F.col("v"))).first()[0] == pytest.approx(3e13)
+
+
+def test_fixed_point_sum_of_any_order_and_value(spark):
+    from sunledger.functions.semantics import fixed_point_sum
+
+    rows = [((i * 7919 % 10007) / 997 - 5, i) for i in range(5000)] + [(1e-13, -1), (None, -2), (-3e9, -3)]
+    df = spark.createDataFrame(rows, "v double, i int")
+    sums = {df.orderBy(F.rand(s)).repartition(n).agg(fixed_point_sum(F.col("v"))).first()[0] for s, n in ((1, 1), (2, 7), (3, 13))}
+    assert len(sums) == 1 and sums.pop() == pytest.approx(math.fsum(v for v, _ in rows if v is not None), rel=1e-14)
+    special = spark.createDataFrame(
+        [("a", math.nan), ("a", 1.0), ("b", math.inf), ("b", 2.0), ("c", 1e300), ("c", 1e17), ("d", None)], "k string, v double"
+    )
+    got = {r.k: r.s for r in special.groupBy("k").agg(fixed_point_sum(F.col("v")).alias("s")).collect()}
+    assert math.isnan(got["a"]) and got["b"] == math.inf and got["c"] == 1e300 and got["d"] is None
