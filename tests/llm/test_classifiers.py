@@ -168,3 +168,51 @@ def test_planted_secrets_are_candidates(spark):
 def test_assigned_spans_stay_linear():
     for text in ("password=" * 5000, "password='" * 5001, "token=\"x\\" * 3000):
         assert sum(e - s for s, e in secrets.assigned_spans(text)) <= 4 * len(text)
+
+
+def made_languages(spark, n, texts=6):
+    """Languages of their own syllables."""
+    import random
+
+    rows = []
+    for lang in range(n):
+        draw = random.Random(lang)
+        words = ["".join(draw.choice("bcdfghklmnprstvz") + draw.choice("aeiouy") for _ in range(3)) for _ in range(40)]
+        for t in range(texts):
+            rows.append((lang * texts + t, " ".join(draw.choice(words) for _ in range(60)), f"l{lang:03}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_language_is_learnt(spark):
+    """300 languages, more than a task holds at once."""
+    docs = made_languages(spark, 300)
+    got = language_id.identify(docs, F.col("doc_id") % 6 != 0, group=100)
+    right = got.join(docs.select("doc_id", "lang"), "doc_id").where("NOT learnable")
+    assert right.count() == 300 and right.where("lang_pred = lang").count() >= 297
+    assert right.select("lang_pred").distinct().count() >= 297
+
+
+def test_groups_change_no_prediction(spark):
+    docs = made_languages(spark, 7)
+    whole = language_id.identify(docs, F.col("doc_id") % 6 != 0)
+    parts = language_id.identify(docs, F.col("doc_id") % 6 != 0, group=2)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.select(whole.columns).collect()))
+    one = language_id.identify(docs.where("lang = 'l001'"), group=2)
+    assert {r["lang_pred"] for r in one.collect()} == {"l001"}
+
+
+def test_language_is_the_least_compressed_size(spark):
+    """Scores are recomputed with plain one-shot compression per chunk, text by text."""
+    import math
+
+    docs = made_languages(spark, 4)
+    table = language_id.dictionaries(docs, F.lit(True), "text", "lang")
+    raw = {r["lang"]: bytes(r["data"]) for r in table.orderBy("lang").collect()}
+    made = dict(zip(raw, language_id.compressors(raw), strict=True))
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    for r in docs.collect():
+        size = {k: len(c.compress(r["text"].lower().encode())) for k, c in made.items()}
+        order = sorted(size, key=lambda k: (size[k], k))
+        margin = (size[order[1]] - size[order[0]]) / size[order[1]]
+        assert got[r["doc_id"]]["lang_pred"] == order[0]
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 - math.exp(-margin / 0.02))
