@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sunledger.llm import exact_dedup, simhash
 from tests.llm.fixtures import bag, clashing, documents, empty, odd
@@ -49,6 +50,39 @@ def test_exact_deduplicate_keeps_columns(spark, make):
     assert got.count() == brute_exact([tuple(r) for r in docs.select("doc_id", "text").collect()])[1]
 
 
+def test_hot_texts_and_crowded_cells(spark):
+    """Copies merged in shares, and cells that are doubled beyond the shared directory."""
+    rows = [(i, "hot text " * (1 + i % 3)) for i in range(300)] + [(1000 + i, f"text {i % 150}") for i in range(400)] + [(None, None)] * 90
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, groups = brute_exact(rows)
+    got = exact_dedup.exact_duplicates(docs, capacity=3, max_depth=2, hot_copies=20)
+    assert bag(got.select("doc_id", "keep_id", "group_size", "text_sha256")) == want
+    assert got.where("kept").count() == groups
+
+
+def test_the_result_comes_from_the_index(spark, monkeypatch):
+    """Texts that a wrong directory sends to different owners are not found equal."""
+    rows = [(i, f"text {i % 10}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    right = exact_dedup.routed
+
+    def wrong(texts, cells, max_depth):
+        lost = F.pmod(F.col("best.h1"), F.lit(2)).cast("int")
+        return right(texts, cells, max_depth).withColumn("bucket", F.col("bucket") * 2 + lost).repartition("bucket", "own")
+
+    monkeypatch.setattr(exact_dedup, "routed", wrong)
+    with pytest.raises(AssertionError):
+        assert bag(exact_dedup.exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "text_sha256")) == brute_exact(rows)[0]
+
+
+def test_owners_need_no_further_shuffle(spark):
+    texts = spark.createDataFrame([(1, "a", 1, (1, 2, 3, 4))], "key long, body string, copies long, best struct<points:int,id:long,h1:long,h2:long>")
+    cells = spark.createDataFrame([(0, 0, 0, 0)], exact_dedup.CELLS)
+    owned = exact_dedup.routed(texts, cells, 16).groupBy("bucket", "own", "key", "body").agg(F.sum("copies"))
+    plan = owned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_directory_doubles_until_no_bucket_is_overfull():
     counts = {c: 1 + (c % 5 == 0) * 10 for c in range(256)}
     cells = exact_dedup.double_directory(counts, 40, 8)
