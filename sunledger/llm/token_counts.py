@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import letter_kinds, read_table, slices, text_or_empty
+from sunledger.llm.common import give_back, letter_kinds, read_table, slices, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT_TOKENS = 2048
@@ -314,9 +316,9 @@ class Counter:
         self.bytes = _byte_letters()
         self.kinds: dict[str, tuple[str, str]] = {}
         self.kind_of, self.form_of = code_points(tokenizer)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[str, int] = {}  # place of a piece (or, after NUL, of a whole run) in sizes and begins
         self.begins, self.sizes, self.flat = (np.zeros(0, np.int64) for _ in range(3))
 
@@ -367,7 +369,7 @@ class Counter:
     def learn(self, pieces: list[str]) -> np.ndarray:
         """Places of the tables of ``pieces``: normalised letters or marks, or NUL and a run as written."""
         if len(self.flat) + 32 * len(self.sizes) > CACHED_POINTS:
-            self._forget()
+            self.forget()
         new = [p for p in pieces if p not in self.known]
         if new:
             short = [p for p in new if not p.startswith("\0") and len(p) * 4 <= TOGETHER_BYTES]
@@ -454,6 +456,14 @@ class Counter:
         return counts
 
 
+def worker_counter(path: str) -> Counter:
+    """The counter of this worker process: the vocabulary and the judged pairs serve all its tasks."""
+    held = vars(sys.modules.setdefault("_token_counts_worker", ModuleType("_token_counts_worker")))
+    if path not in held:
+        held[path] = Counter(path)
+    return held[path]
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -470,16 +480,18 @@ def prefix_counts(
     Texts are never cut; long ones take time in proportion to their length.  A null text counts as empty:
     counts is then [0].  Repeated rows are counted alike, null ids stay null, other columns are ignored,
     an empty table gives an empty result.  One narrow stage, no shuffle; the memory of a worker is bounded
-    by ``SLICE_BYTES`` (or one text) and ``CACHED_POINTS``.
+    by ``SLICE_BYTES`` (or one text), ``CACHED_POINTS`` during a task and ``CACHED_PAIRS`` beyond it.
     """
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = worker_counter(path)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 kept = [part.column("doc_id"), part.column("n_bytes"), counter.slice(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(kept, names=["doc_id", "n_bytes", "counts"])
+        counter.forget()
+        give_back()
 
     text = text_or_empty(f"`{text_col}`")
     rows = docs.select(
