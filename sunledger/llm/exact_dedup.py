@@ -20,6 +20,7 @@ from sunledger.llm.common import identity, joined_contents, read_table, stored,
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 BUCKET_CAPACITY = 4096  # entries (different texts) before a bucket splits
 MAX_DEPTH = 16  # the shared directory has at most 2**16 cells; fuller cells are doubled on by their own bits
+BROADCAST_ROWS = 1 << 20  # hot keys that are broadcast (16 bytes each); more of them are joined by a shuffle
 HOT_COPIES = 1000  # texts of a key beyond which copies are merged before they are routed
 
 CELLS = "cell int, bucket int, depth int, own_bits int"
@@ -142,7 +143,8 @@ def exact_duplicates(
     keys = stored(entries.groupBy("key").agg(F.count("*").alias("texts")), "dedup-keys")
     cells = directory(keys, capacity, max_depth)
     best = F.struct(points.alias("points"), F.bitwise_not("doc_id").alias("id"), "h1", "h2").alias("best")
-    hot = keys.where(F.col("texts") > hot_copies).select(F.col("key").alias("hot_key"), "texts")
+    hot = stored(keys.where(F.col("texts") > hot_copies).select(F.col("key").alias("hot_key"), "texts"), "dedup-hot")
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     carried = texts.select(key.alias("key"), "body", best).join(hot, F.col("key") == F.col("hot_key"), "left")
     share = F.pmod(F.col("best.h1"), F.ceil(F.col("texts") / hot_copies))
     merged = (
