@@ -24,9 +24,9 @@ from sunledger.llm.common import give_back, letter_kinds, read_table, slices, te
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_BYTES = 48 << 20  # memory for the words whose ids a task remembers; a full one starts anew
+CACHED_BYTES = 64 << 20  # memory for the words whose ids a task remembers; a full one starts anew
 WORD_OVERHEAD = 220  # bytes that a remembered word takes besides its letters and ids
-SLICE_BYTES = 1 << 20  # text that a task looks at together
+SLICE_BYTES = 3 << 20  # text that a task looks at together
 JOINED_WORDS = 2000
 WORD_END = "</w>"
 LETTER_THEN_MARK = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"  # the tokenizer splits between the two in simple texts
