@@ -9,6 +9,7 @@ from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-30 23:59:59.999999'"
 NOON = "TIMESTAMP '2024-01-30 12:00:00'"
+EARLY = "TIMESTAMP '2024-01-05 23:59:59.999999'"
 MIDDLE = "TIMESTAMP '2024-01-15 23:59:59.999999'"
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -264,3 +265,4 @@ def anomalies(as_of: str, raised: str | None = None) -> str:
 cte("raised", "solar", anomalies(AS_OF))
 cte("raised_noon", "solar", anomalies(NOON))
 cte("raised_middle", "solar", anomalies(MIDDLE))
+cte("raised_early", "solar", anomalies(EARLY))

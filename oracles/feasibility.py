@@ -6,7 +6,7 @@ every size times every year.
 
 from __future__ import annotations
 
-from oracles.base import cte, mean, oracle
+from oracles.base import CTES, cte, mean, oracle
 
 cte(
     "climate",
@@ -97,6 +97,32 @@ oracle(
     """SELECT id, city, uv_index, band, band_min, band_max, description FROM climate
     JOIN bands ON variable = 'uv_index' AND uv_index BETWEEN band_min AND band_max""",
 )
+cte(
+    "observed_bands",
+    "weather",
+    """SELECT city, CAST(CAST(timestamp AS DATE) AS VARCHAR) || ' '
+      || lpad(CAST(extract(hour FROM timestamp) AS VARCHAR), 2, '0') AS band,
+    CASE WHEN extract(hour FROM timestamp) > 0 THEN min(CAST(temperature AS DOUBLE)) END AS band_min,
+    CASE WHEN extract(hour FROM timestamp) < 23 THEN max(CAST(temperature AS DOUBLE)) END AS band_max
+    FROM weather GROUP BY city, CAST(timestamp AS DATE), extract(hour FROM timestamp)""",
+)
+oracle(
+    "band_table_counts",
+    "weather observed_bands",
+    """SELECT b.city, b.band, b.band_min, b.band_max, count(w.id) AS count FROM observed_bands b
+    LEFT JOIN weather w ON w.city = b.city
+      AND CAST(w.temperature AS DOUBLE) >= coalesce(b.band_min, CAST('-infinity' AS DOUBLE))
+      AND CAST(w.temperature AS DOUBLE) <= coalesce(b.band_max, CAST('infinity' AS DOUBLE))
+    GROUP BY ALL""",
+)
+oracle(
+    "band_table_matches",
+    "weather observed_bands",
+    """SELECT w.id, count(*) AS bands, min(b.band) AS first_band, max(b.band) AS last_band
+    FROM weather w JOIN observed_bands b ON b.city = w.city
+      AND CAST(w.temperature AS DOUBLE) BETWEEN b.band_min AND b.band_max
+    WHERE b.band_max - b.band_min BETWEEN 0 AND 5 GROUP BY w.id""",
+)
 oracle(
     "predicate_share",
     "climate",
@@ -278,6 +304,33 @@ oracle(
     round(kw, 6) AS hourly_production_kwh, round(kw, 6) AS solar_potential
     FROM sun6""",
 )
+# the same model by wall clock: the offset of every hour instead of the fixed one
+cte(
+    "zone",
+    "weather",
+    f"""SELECT w.*, s.*, d + h * INTERVAL 1 HOUR AS t,
+    CASE WHEN d + h * INTERVAL 1 HOUR >= TIMESTAMP '2026-03-29 03:00:00'
+      AND d + h * INTERVAL 1 HOUR < TIMESTAMP '2026-10-25 03:00:00' THEN 2 ELSE 1 END AS off
+    FROM (SELECT city, {mean('CAST(temperature * 100 AS BIGINT)', 100)} AS temperature,
+      {mean('humidity', 1)} AS humidity, {mean('least(cloud_cover, 100)', 1)} AS cloud
+      FROM weather GROUP BY city) w
+    JOIN (VALUES ('Turin', 45.0703::DOUBLE, 7.6869::DOUBLE, 35::DOUBLE, 0::DOUBLE),
+      ('Milan', 45.4642, 9.19, 30, 0), ('Rome', 41.9028, 12.4964, 35, 15))
+      AS s(name, lat, lon, tilt, face) ON s.name = w.city
+    CROSS JOIN (SELECT unnest([TIMESTAMP '2026-03-28', TIMESTAMP '2026-03-29', TIMESTAMP '2026-03-30',
+      TIMESTAMP '2026-10-24', TIMESTAMP '2026-10-25', TIMESTAMP '2026-10-26']) AS d)
+    CROSS JOIN (SELECT unnest(range(24)) AS h)""",
+)
+for _i in range(1, 7):
+    _body = CTES[f"sun{_i}"][1].replace("FROM sun", "FROM zone").replace("(lon - 15)", "(lon - 15 * off)")
+    cte(f"zone{_i}", "zone" if _i == 1 else f"zone{_i - 1}", _body)
+oracle(
+    "zone_yield",
+    "zone6",
+    """SELECT city, t AS timestamp, CAST(off AS DOUBLE) AS utc_offset_hours, round(el, 3) AS solar_elevation_deg,
+    round(az - 360 * floor(az / 360), 3) AS solar_azimuth_deg, round(g, 2) AS ghi_wm2,
+    round(kw, 6) AS production_kw FROM zone6""",
+)
 NORMALS = {
     "temp_mean_c": "2.8, 4.7, 8.9, 12.8, 17.2, 21.1, 23.9, 23.3, 19.2, 13.7, 8.0, 3.7",
     "temp_min_c": "-0.6, 0.5, 3.8, 7.5, 11.8, 15.7, 18.4, 18.0, 14.4, 9.2, 4.0, 0.3",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracles.base import (
+    cte,
     AS_OF,
     anomalies,
     anomaly_parts,
@@ -84,6 +85,25 @@ oracle(
     AND extract(hour FROM s.timestamp) = extract(hour FROM w.timestamp)""",
 )
 
+cte(
+    "combined",
+    "scaled weather",
+    """SELECT date_trunc('hour', s.timestamp) AS hour, s.panel_id, s.p_m, s.t_d,
+    CAST(w.temperature * 100 AS BIGINT) AS t_c, w.cloud_cover FROM scaled s
+    LEFT JOIN weather w ON date_trunc('hour', s.timestamp) = date_trunc('hour', w.timestamp)""",
+)
+for _name, _key in (("combined_by_hour", "hour"), ("combined_by_panel", "panel_id")):
+    oracle(
+        _name,
+        "combined",
+        f"""SELECT {_key}, count(*) AS view_rows, {mean('p_m', 1000)} AS avg_production_kw,
+        {mean('t_d', 10)} AS avg_panel_temperature,
+        {mean('t_c', 100)} AS avg_ambient_temperature,
+        {mean('cloud_cover', 1)} AS avg_cloud_cover,
+        round(covar_pop({dbl('p_m', 1000)}, {dbl('t_c', 100)}), 6) AS production_temperature_covariance
+        FROM combined GROUP BY {_key}""",
+    )
+
 # ------------------------------------------------------------------ anomalies
 
 oracle(
@@ -146,6 +166,15 @@ oracle(
     """SELECT * FROM (SELECT * FROM raised UNION ALL SELECT * FROM raised_middle)
     WHERE detection_time >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY""",
 )
+oracle(
+    "anomaly_maintenance",
+    "raised raised_middle raised_early",
+    """SELECT * REPLACE (CASE WHEN anomaly_date < DATE '2024-02-20' - 30
+      AND resolution_status = 'Open' THEN 'Resolved' ELSE resolution_status END
+      AS resolution_status)
+    FROM (SELECT * FROM raised UNION ALL SELECT * FROM raised_middle UNION ALL SELECT * FROM raised_early)
+    WHERE detection_time >= TIMESTAMP '2024-02-20' - INTERVAL 40 DAY""",
+)
 oracle(
     "anomaly_auto_resolve",
     "raised raised_middle",

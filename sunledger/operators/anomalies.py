@@ -317,21 +317,40 @@ def severity_rank() -> Column:
 
 def purge(anomalies: DataFrame, as_of: datetime, keep: timedelta = RETENTION) -> DataFrame:
     """The table without anomalies detected more than ``keep`` ago."""
-    limit = moment_like(anomalies, "detection_time", as_of - keep)
-    return anomalies.where(F.col("detection_time").isNull() | (F.col("detection_time") >= limit))
+    return anomalies.where(F.col("detection_time").isNull() | ~_expired(anomalies, as_of, keep))
 
 
 def auto_resolve(
     anomalies: DataFrame, as_of: datetime, after_days: int = RESOLVE_AFTER_DAYS
 ) -> DataFrame:
     """The table with open anomalies older than ``after_days`` marked as resolved."""
-    limit = F.lit(as_of.date() - timedelta(days=after_days))
-    stale = (F.col("resolution_status") == OPEN) & (F.col("anomaly_date") < limit)
     return anomalies.withColumn(
-        "resolution_status", F.when(stale, RESOLVED).otherwise(F.col("resolution_status"))
+        "resolution_status",
+        F.when(_stale(as_of, after_days), RESOLVED).otherwise(F.col("resolution_status")),
+    )
+
+
+def overdue(
+    anomalies: DataFrame,
+    as_of: datetime,
+    keep: timedelta = RETENTION,
+    after_days: int = RESOLVE_AFTER_DAYS,
+) -> Column:
+    """Condition of the rows that :func:`purge` or :func:`auto_resolve` would change."""
+    return F.coalesce(_expired(anomalies, as_of, keep), F.lit(False)) | F.coalesce(
+        _stale(as_of, after_days), F.lit(False)
     )
 
 
+def _expired(anomalies: DataFrame, as_of: datetime, keep: timedelta) -> Column:
+    return F.col("detection_time") < moment_like(anomalies, "detection_time", as_of - keep)
+
+
+def _stale(as_of: datetime, after_days: int) -> Column:
+    limit = F.lit(as_of.date() - timedelta(days=after_days))
+    return (F.col("resolution_status") == OPEN) & (F.col("anomaly_date") < limit)
+
+
 def _z(value: Column) -> Column:
     return F.try_divide(
         value.cast("double") - F.col("avg_production"), F.col("stddev_production")

@@ -175,6 +175,61 @@ def combined_solar_weather(
     )
 
 
+def combined_report(readings: DataFrame, weather: DataFrame, by: str = "hour") -> DataFrame:
+    """Rows, means and covariance of :func:`combined_solar_weather` per hour or panel, without building it.
+
+    The view pairs every reading of an hour with every weather row of it, so its sums are products of the
+    sums of either side.  Both sides are reduced to one row per hour (and panel) before they meet: the cost is
+    that of reading them once, however many rows the view would have.  Readings of an hour without weather
+    count once, those without a time too; NULLs do not enter a mean.
+    """
+    if by not in ("hour", "panel_id"):
+        raise ValueError("the view is reported by hour or by panel_id")
+    production, warmth = F.col("production_kw"), F.col("temperature_c")
+    metered = readings.groupBy(
+        hour_of(F.col("timestamp"), readings).alias("hour"), *(["panel_id"] if by == "panel_id" else [])
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(production).alias("n_kw"),
+        F.sum(production).cast("decimal(18,3)").alias("kw"),
+        F.count(warmth).alias("n_warm"),
+        F.sum(warmth).cast("decimal(18,1)").alias("warm"),
+    )
+    observed = weather.groupBy(hour_of(F.col("timestamp"), weather).alias("hour")).agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.count("temperature").alias("n_air"),
+        F.sum("temperature").cast("decimal(18,2)").alias("air"),
+        F.count("cloud_cover").alias("n_cloud"),
+        F.sum("cloud_cover").cast("decimal(18,0)").alias("cloud"),
+    )
+    paired = metered.join(observed, "hour", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+    def total(left: str, right: str) -> Column:
+        """Sum of ``left`` x ``right`` over the view as DOUBLE; a NULL sum of no values adds nothing."""
+        factors = (_exact(paired, name) for name in (left, right))
+        return F.sum(next(factors) * next(factors)).cast("double")
+
+    def mean(sum_of: tuple[str, str], count_of: tuple[str, str]) -> Column:
+        return total(*sum_of) / F.nullif(total(*count_of), F.lit(0.0))
+
+    pairs = ("n_kw", "n_air")
+    covariance = mean(("kw", "air"), pairs) - mean(("kw", "n_air"), pairs) * mean(("n_kw", "air"), pairs)
+    return paired.groupBy(by).agg(
+        F.sum(F.col("n") * F.col("copies")).alias("view_rows"),
+        mean(("kw", "copies"), ("n_kw", "copies")).alias("avg_production_kw"),
+        mean(("warm", "copies"), ("n_warm", "copies")).alias("avg_panel_temperature"),
+        mean(("n", "air"), ("n", "n_air")).alias("avg_ambient_temperature"),
+        mean(("n", "cloud"), ("n", "n_cloud")).alias("avg_cloud_cover"),
+        covariance.alias("production_temperature_covariance"),
+    )
+
+
+def _exact(df: DataFrame, name: str) -> Column:
+    """Counts as DECIMAL, so that products with sums are exact."""
+    column = F.col(name)
+    return column if df.schema[name].dataType.typeName() == "decimal" else column.cast("decimal(16,0)")
+
+
 def hour_of(ts: Column, df: DataFrame, name: str = "timestamp") -> Column:
     """Start of the hour in the type of the column (``date_trunc`` alone returns TIMESTAMP)."""
     return F.date_trunc("hour", ts).cast(df.schema[name].dataType)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,28 @@ def pv_yield(weather: DataFrame) -> DataFrame:
     )
 
 
+def wall_clock_hours(sites: DataFrame, days: Sequence[date]) -> DataFrame:
+    """``sites`` once per hour of the local calendar ``days``: always 24 rows a day, by the clock on the wall.
+
+    Adds ts_local and utc_offset_hours, from the rules of the column ``timezone``.
+    """
+    listed = F.array(*(F.lit(day) for day in days)).cast("array<date>")
+    hours = sites.withColumn("__day", F.explode(listed)).withColumn("__hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    moment = F.expr("timestampadd(HOUR, __hour, CAST(__day AS TIMESTAMP_NTZ))")
+    return with_offset(hours.withColumn("ts_local", moment).drop("__day", "__hour"))
+
+
+def with_offset(df: DataFrame, zone: str = "timezone", ts: str = "ts_local") -> DataFrame:
+    """Adds ``utc_offset_hours`` of the wall clock ``ts`` in each row's own zone (needs a UTC session).
+
+    A wall clock that summer time skips has the offset before the change, one that occurs twice the
+    earlier occurrence's.  A NULL zone or time has no offset; an unknown zone is an error.
+    """
+    local = F.col(ts).cast("timestamp")
+    ahead = F.unix_seconds(local) - F.unix_seconds(F.to_utc_timestamp(local, F.col(zone)))
+    return df.withColumn("utc_offset_hours", ahead / F.lit(3600.0))
+
+
 def monthly_normals(
     df: DataFrame, ts: str = "ts_local", normals: dict[str, tuple] = C.MONTHLY_NORMALS
 ) -> DataFrame:

@@ -7,7 +7,7 @@ the result into plain comparable types.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from sunledger import constants as C
 from sunledger.operators import (
     anomalies,
+    bands,
     climate,
     daystates,
     economics,
@@ -26,8 +27,8 @@ from sunledger.operators import (
     quality,
     silver as silver_ops,
 )
-from sunledger.functions.semantics import join_null_safe
-from sunledger.plans import feasibility
+from sunledger.functions.semantics import exact_mean, join_null_safe
+from sunledger.plans import feasibility, refresh
 from sunledger.plans.fleet import Fleet
 from sunledger.session import materialise, work_folder
 from sunledger.schemas import SITE_WEATHER_CSV
@@ -119,6 +120,21 @@ def combined_solar_weather(f: Fleet) -> DataFrame:
     return gold.combined_solar_weather(f.readings, f.weather)
 
 
+def _combined(f: Fleet, by: str) -> DataFrame:
+    name = "production_temperature_covariance"
+    return gold.combined_report(f.readings, f.weather, by).withColumn(name, F.round(name, 6))
+
+
+@query
+def combined_by_hour(f: Fleet) -> DataFrame:
+    return _combined(f, "hour")
+
+
+@query
+def combined_by_panel(f: Fleet) -> DataFrame:
+    return _combined(f, "panel_id")
+
+
 # ------------------------------------------------------------------ anomalies
 
 
@@ -197,6 +213,16 @@ def anomaly_auto_resolve(f: Fleet) -> DataFrame:
     return _raised(anomalies.auto_resolve(_history(f), datetime(2024, 2, 20)))
 
 
+@query
+def anomaly_maintenance(f: Fleet) -> DataFrame:
+    """A written table of three runs after maintenance: one day is dropped, one resolved, one untouched."""
+    lake = refresh.Lake(f.spark, work_folder(f.spark, "lake"))
+    early = f.anomalies_of_first_run(datetime(2024, 1, 5, 23, 59, 59, 999999))
+    lake.append_anomalies(_history(f).unionByName(early))
+    refresh.maintain_anomalies(lake, datetime(2024, 2, 20), keep=timedelta(days=40))
+    return _raised(lake.anomalies())
+
+
 def _raised(found: DataFrame) -> DataFrame:
     return found.select(
         "detection_time",
@@ -529,6 +555,37 @@ def band_matches(f: Fleet) -> DataFrame:
     )
 
 
+def _observed_bands(f: Fleet) -> DataFrame:
+    """Per city, day and hour the range of its temperatures; open below at midnight, above before it."""
+    hours = f.weather.withColumns({"day": F.to_date("timestamp"), "hour": F.hour("timestamp")})
+    ranges = hours.groupBy("city", "day", "hour").agg(
+        F.min("temperature").cast("double").alias("low"), F.max("temperature").cast("double").alias("high")
+    )
+    return ranges.selectExpr(
+        "city",
+        "concat(day, ' ', lpad(hour, 2, '0')) AS band",
+        "CASE WHEN hour > 0 THEN low END AS band_min",
+        "CASE WHEN hour < 23 THEN high END AS band_max",
+    )
+
+
+@query
+def band_table_counts(f: Fleet) -> DataFrame:
+    """Rows of each city in every band of a table with thousands of overlapping bands."""
+    return bands.band_counts(f.weather, _observed_bands(f), ["city"], "temperature")
+
+
+@query
+def band_table_matches(f: Fleet) -> DataFrame:
+    """Per weather row the bounded bands of its city that contain its temperature."""
+    bounded = _observed_bands(f).where("band_max - band_min BETWEEN 0 AND 5")
+    rows = f.weather.select("id", "city", "temperature")
+    held = bands.rows_in_bands(rows, bounded, ["city"], "temperature", ["id"])
+    return held.groupBy("id").agg(
+        F.count(F.lit(1)).alias("bands"), F.min("band").alias("first_band"), F.max("band").alias("last_band")
+    )
+
+
 @query
 def predicate_share(f: Fleet) -> DataFrame:
     return climate.predicate_shares(f.site_weather)
@@ -603,6 +660,30 @@ def pv_yield(f: Fleet) -> DataFrame:
     return _yields(f)
 
 
+CHANGE_DAYS = tuple(
+    date(2026, month, day) for month, day in ((3, 28), (3, 29), (3, 30), (10, 24), (10, 25), (10, 26))
+)
+
+
+@query
+def zone_yield(f: Fleet) -> DataFrame:
+    """The days around both clock changes under each city's mean weather, offsets from the zone's rules."""
+    names = ("city", "timezone", *pv.SITE_COLUMNS)
+    sites = f.spark.createDataFrame([tuple(getattr(s, n) for n in names) for s in CITIES], list(names))
+    usual = f.weather.groupBy("city").agg(
+        exact_mean(F.col("temperature")).alias("temperature"),
+        exact_mean(F.col("humidity")).alias("humidity"),
+        exact_mean(F.col("wind_speed")).alias("wind_speed"),
+        exact_mean(F.least("cloud_cover", F.lit(100))).alias("cloudcover"),
+    )
+    hours = pv.wall_clock_hours(usual.join(sites, "city"), CHANGE_DAYS)
+    offsets = hours.select("city", F.col("ts_local").alias("timestamp"), "utc_offset_hours")
+    modelled = pv.pv_yield(hours).select(
+        "city", "timestamp", "solar_elevation_deg", "solar_azimuth_deg", "ghi_wm2", "production_kw"
+    )
+    return modelled.join(offsets, ["city", "timestamp"])
+
+
 @query
 def monthly_normals(f: Fleet) -> DataFrame:
     rows = f.weather.select("id", F.col("timestamp").alias("ts_local"))

@@ -9,22 +9,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.functions.clock import PARTITION_COLUMN
+from sunledger.functions.semantics import join_null_safe
 from sunledger.operators import anomalies, daystates, gold, monitoring, quality, silver
 from sunledger.schemas import GOLD_ANOMALIES
 from sunledger.session import materialise
-from sunledger.sources.tables import append_table, exists, refresh_days, refresh_table
+from sunledger.sources.tables import append_table, delete, exists, folder_names, refresh_days, refresh_table
 from sunledger.streaming import decode
 
 GENERATION = "generation"
 _ANOMALY_TABLE = T.StructType([*GOLD_ANOMALIES.fields, T.StructField(GENERATION, T.IntegerType())])
 
-_ANOMALY_DAY = "anomaly_date"
-_MARKERS = T.StructType([T.StructField(GENERATION, T.IntegerType())])
+_ANOMALY_DAY, _SINCE = "anomaly_date", "since"
+_MARKERS = T.StructType(
+    [T.StructField(GENERATION, T.IntegerType()), T.StructField(_ANOMALY_DAY, T.DateType())]
+)
 
 
 class LayerNotReady(RuntimeError):
@@ -69,12 +72,17 @@ class Lake:
         return self.read("gold", "gold_daily_panel")
 
     def anomalies(self) -> DataFrame:
-        """The current generation of gold_anomalies (no rows before the first run)."""
-        stored = self._table("gold_anomalies", _ANOMALY_TABLE)
-        return stored.where(F.col(GENERATION) == self.generation()).drop(GENERATION)
+        """gold_anomalies as it stands (no rows before the first run).
+
+        A day that maintenance has rewritten is read from the generation that did so on.
+        """
+        stored = self._table("gold_anomalies", _ANOMALY_TABLE).where(F.col(GENERATION) <= self.generation())
+        rewritten = self._markers().groupBy(_ANOMALY_DAY).agg(F.max(GENERATION).alias(_SINCE))
+        current = join_null_safe(stored, rewritten, [_ANOMALY_DAY], "left")
+        return current.where(F.col(GENERATION) >= F.coalesce(_SINCE, F.lit(0))).drop(GENERATION, _SINCE)
 
     def generation(self) -> int:
-        """The generation readers see; the marker is written after its rows are complete."""
+        """The newest generation readers see; its markers are written after its rows are complete."""
         return self._markers().agg(F.max(GENERATION)).first()[0] or 0
 
     def append_anomalies(self, found: DataFrame) -> None:
@@ -83,15 +91,30 @@ class Lake:
             f"{location}/{GENERATION}={self.generation()}"
         )
 
-    def replace_anomalies(self, rows: DataFrame) -> None:
-        """Write ``rows`` as the next generation and make it the current one."""
+    def replace_anomalies(self, rows: DataFrame, days: Sequence[date | None] | None = None) -> None:
+        """Make ``rows`` the content of ``days`` (of the whole table without them), as the next generation.
+
+        Files of other days stay as they are.  What a failed run has left is overwritten by the next.
+        """
+        if days is None:
+            days = days_of(self.anomalies().select(_ANOMALY_DAY).unionByName(rows.select(_ANOMALY_DAY)))
         following = self.generation() + 1
         location = self.location("gold", "gold_anomalies")
-        rows.write.mode("overwrite").partitionBy(_ANOMALY_DAY).parquet(
-            f"{location}/{GENERATION}={following}"
-        )
-        marker = self.spark.createDataFrame([(following,)], _MARKERS)
-        marker.write.mode("append").parquet(self.location("gold", "gold_anomalies_generations"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(_ANOMALY_DAY).parquet(f"{location}/{GENERATION}={following}")
+        markers = self.spark.createDataFrame([(following, day) for day in days], _MARKERS)
+        # one file, so that either all days change or none
+        markers.coalesce(1).write.mode("append").parquet(self.location("gold", "gold_anomalies_generations"))
+
+    def superseded(self) -> list[str]:
+        """Folders of rewritten days that no reader of the current generation needs."""
+        rewritten = self._markers().groupBy(_ANOMALY_DAY).agg(F.max(GENERATION).alias(_SINCE)).collect()
+        since = {_folder(r[_ANOMALY_DAY]): r[_SINCE] for r in rewritten}  # one row per day
+        location, found = self.location("gold", "gold_anomalies"), []
+        for generation in range(self.generation()):
+            base = f"{location}/{GENERATION}={generation}"
+            found += [f"{base}/{day}" for day in folder_names(self.spark, base) if since.get(day, 0) > generation]
+        return found
 
     def _markers(self) -> DataFrame:
         return self._table("gold_anomalies_generations", _MARKERS)
@@ -195,14 +218,47 @@ def run_detection(lake: Lake, as_of: datetime) -> None:
     lake.append_anomalies(found)
 
 
-def maintain_anomalies(lake: Lake, as_of: datetime) -> None:
-    """Drop expired anomalies and resolve old ones, as a new generation of the table.
+def maintain_anomalies(
+    lake: Lake,
+    as_of: datetime,
+    keep: timedelta = anomalies.RETENTION,
+    after_days: int = anomalies.RESOLVE_AFTER_DAYS,
+) -> list[date | None]:
+    """Drop expired anomalies and resolve old ones; returns the days that changed.
 
-    Parquet rows cannot be changed in place; readers stay on the old
-    generation until the new one is there.
+    Only these days are rewritten, as a new generation; Parquet rows cannot be changed in place, and
+    readers stay on the old files until the new ones are there.
     """
-    kept = anomalies.auto_resolve(anomalies.purge(lake.anomalies(), as_of), as_of)
-    lake.replace_anomalies(kept)
+    held = lake.anomalies()
+    days = days_of(held.where(anomalies.overdue(held, as_of, keep, after_days)))
+    if days:
+        affected = held.where(_on_days(days))
+        kept = anomalies.auto_resolve(anomalies.purge(affected, as_of, keep), as_of, after_days)
+        lake.replace_anomalies(kept, days)
+    return days
+
+
+def vacuum_anomalies(lake: Lake) -> int:
+    """Delete the files that maintenance has replaced; to be run when no reader uses them any more."""
+    folders = lake.superseded()
+    for folder in folders:
+        delete(lake.spark, folder)
+    return len(folders)
+
+
+def days_of(rows: DataFrame) -> list[date | None]:
+    """The different anomaly days, at most one per day of the history."""
+    found = rows.select(_ANOMALY_DAY).distinct().collect()
+    return sorted((r[0] for r in found), key=lambda day: (day is None, day or date.min))
+
+
+def _on_days(days: Sequence[date | None]) -> Column:
+    listed = F.col(_ANOMALY_DAY).isin(*(day for day in days if day is not None))
+    return listed | F.col(_ANOMALY_DAY).isNull() if None in days else listed
+
+
+def _folder(day: date | None) -> str:
+    return f"{_ANOMALY_DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
 
 
 def check_health(lake: Lake, as_of: datetime) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sunledger.plans import refresh
 from sunledger.plans.catalog import AS_OF, NOON
 from sunledger.plans.fleet import Fleet
+from sunledger.schemas import GOLD_ANOMALIES
 from sunledger.sources.tables import append_table, refresh_table
 from tests.conftest import SMALL
 
@@ -124,3 +126,64 @@ def test_weather_job_appends(spark, tmp_path):
     once = lake.weather.count()
     refresh.ingest_weather(lake, payloads, datetime(2024, 1, 31, 11))
     assert 0 < once and lake.weather.count() == 2 * once
+
+
+def files_of_days(lake):
+    """Data files per anomaly day that the table's folders hold, with their generation."""
+    root = Path(lake.location("gold", "gold_anomalies"))
+    return {(p.parent.parent.name, p.parent.name, p.name) for p in root.rglob("*.parquet")}
+
+
+def test_maintenance_rewrites_only_the_days_that_change(spark, tmp_path):
+    lake = refresh.Lake(spark, str(tmp_path))
+    base = dict.fromkeys(GOLD_ANOMALIES.names)
+    now = datetime(2024, 3, 1)
+    rows = [
+        # an expired day, a day with one stale and one resolved row, a fresh day, a row without a day
+        (70, "Open"), (35, "Open"), (35, "Resolved"), (1, "Open"),
+    ]
+    entries = [
+        {**base, "panel_id": f"{age}-{status}", "resolution_status": status,
+         "detection_time": now - timedelta(days=age), "anomaly_date": (now - timedelta(days=age)).date()}
+        for age, status in rows
+    ] + [{**base, "panel_id": "undated", "resolution_status": "Open", "detection_time": now - timedelta(days=90)}]
+    lake.append_anomalies(spark.createDataFrame([tuple(e.values()) for e in entries], GOLD_ANOMALIES))
+    before = files_of_days(lake)
+    changed = refresh.maintain_anomalies(lake, now, keep=timedelta(days=60))
+    assert changed == [(now - timedelta(days=70)).date(), (now - timedelta(days=35)).date(), None]
+    held = {r.panel_id: r.resolution_status for r in lake.anomalies().collect()}
+    assert held == {"35-Open": "Resolved", "35-Resolved": "Resolved", "1-Open": "Open"}
+    after = files_of_days(lake)
+    assert before <= after  # nothing a reader may still use is gone
+    assert {day for _, day, _ in after - before} == {"anomaly_date=2024-01-26"}
+    # a second run finds nothing to do and writes nothing
+    assert refresh.maintain_anomalies(lake, now, keep=timedelta(days=60)) == []
+    assert lake.generation() == 1 and files_of_days(lake) == after
+    # later anomalies of a rewritten day and of an untouched one are seen
+    again = [{**e, "panel_id": "new"} for e in entries[1:4:2]]
+    lake.append_anomalies(spark.createDataFrame([tuple(e.values()) for e in again], GOLD_ANOMALIES))
+    assert lake.anomalies().where("panel_id = 'new'").count() == 2
+    rows_held = lake.anomalies().count()
+    assert refresh.vacuum_anomalies(lake) == 3
+    assert lake.anomalies().count() == rows_held
+    fresh = {f for f in before if f[1] == "anomaly_date=2024-02-29"}
+    assert fresh <= files_of_days(lake)
+    assert refresh.vacuum_anomalies(lake) == 0
+
+
+def test_failed_maintenance_leaves_no_trace(spark, tmp_path):
+    lake = refresh.Lake(spark, str(tmp_path))
+    base = dict.fromkeys(GOLD_ANOMALIES.names)
+    now = datetime(2024, 3, 1)
+    entries = [
+        {**base, "panel_id": str(age), "resolution_status": "Open", "detection_time": now - timedelta(days=age),
+         "anomaly_date": (now - timedelta(days=age)).date()}
+        for age in (1, 40)
+    ]
+    lake.append_anomalies(spark.createDataFrame([tuple(e.values()) for e in entries], GOLD_ANOMALIES))
+    # rows of the next generation without a marker: a run that was lost before its end
+    left = lake.location("gold", "gold_anomalies") + f"/{refresh.GENERATION}=1"
+    lake.anomalies().write.partitionBy("anomaly_date").parquet(left)
+    assert lake.anomalies().count() == 2
+    refresh.maintain_anomalies(lake, now, keep=timedelta(days=60))
+    assert {r.panel_id: r.resolution_status for r in lake.anomalies().collect()} == {"1": "Open", "40": "Resolved"}
