@@ -158,12 +158,18 @@ def bit_filter(phrases: DataFrame) -> np.ndarray:
 
 
 def local_groups(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(first row, group of each row) of equal rows, exactly: columns are folded into group numbers one by one."""
-    group = np.unique(columns[0], return_inverse=True)[1]
-    for column in columns[1:]:
-        values, code = np.unique(column, return_inverse=True)
-        group = np.unique(group * np.int64(len(values)) + code, return_inverse=True)[1]
-    return np.unique(group, return_index=True)[1], group
+    """(rows in groups of equal ones, start of each group): sorted by one hash, exactly compared afterwards."""
+    h = np.zeros(len(columns[0]), dtype=np.uint64)
+    for column in columns:
+        h = mixed(h * np.uint64(31) + column.view(np.uint64))
+    order = np.argsort(h, kind="stable")
+    new = np.concatenate([[True], np.diff(h[order]) != 0])[: len(order)]
+    differs = reduce(np.logical_or, (np.diff(column[order]) != 0 for column in columns))
+    if (differs & ~new[1:]).any():  # two phrases share a hash: sort by the columns themselves
+        order = np.lexsort(columns)
+        differs = reduce(np.logical_or, (np.diff(column[order]) != 0 for column in columns))
+        new = np.concatenate([[True], differs])
+    return order, np.flatnonzero(new)
 
 
 def phrase_counts(codes: DataFrame, length: int, wanted: np.ndarray, prefix: bool) -> DataFrame:
@@ -185,11 +191,9 @@ def phrase_counts(codes: DataFrame, length: int, wanted: np.ndarray, prefix: boo
                 if not len(at):
                     continue
                 columns = [padded[1 + k + at] for k in range(length)]
-                first, group = local_groups(columns)
-                n = np.bincount(group)
-                order = np.argsort(group, kind="stable")
-                edges = np.cumsum(n) - n
-                before = padded[at][order]
+                order, edges = local_groups(columns)
+                first, n = order[edges], np.diff(np.append(edges, len(order)))
+                before = padded[at[order]]
                 phrases = np.stack([c[first] for c in columns], axis=1).ravel()
                 made = [
                     pa.array([lang.as_py()] * len(first), pa.string()),
