@@ -8,6 +8,7 @@ samples and averaged.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,15 +35,29 @@ THRESHOLD = 0.7
 TRIM = ".,;:!?\"'()[]{}<>*&%$#@|/\\-_=+~`"
 
 
+LETTERS = re.compile(r"[^\W\d_]+")
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+
+
 def word_features(word: str) -> list[int]:
-    """Hashed features of a word: itself, its beginnings and its end."""
+    """Hashed features of what stands between white space: the words in it, their beginnings and ends, and
+    for scripts that set no spaces every two and three neighbouring characters."""
     word = word.lower().strip(TRIM)
-    if len(word) < 3:
+    if not word:
         return []
-    parts = {f"={word}", f"<{word[:4]}", f"<{word[:5]}", f"{word[-4:]}>"}
+    parts = set(_forms(word))
+    if not word.isalpha():
+        parts.update(form for piece in LETTERS.findall(word) for form in _forms(piece))
+    if not word.isascii():
+        for run in UNSPACED.findall(word):
+            parts.update(f"~{run[i : i + k]}" for k in (2, 3) for i in range(len(run) - k + 1))
     return [zlib.crc32(p.encode("utf-8", "replace")) >> (32 - HASH_BITS) for p in parts]
 
 
+def _forms(word: str) -> tuple[str, ...]:
+    return (f"={word}", f"<{word[:4]}", f"<{word[:5]}", f"{word[-4:]}>") if len(word) > 2 else (f"={word}",)
+
+
 def document_features(texts: pa.Array, wanted: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) pairs, each once; with ``wanted`` only its features, by their column."""
     rows, codes, words = word_codes(texts)
@@ -146,7 +161,8 @@ def training_table(sample: DataFrame) -> DataFrame:
     )
     first = rows.where("minima IS NOT NULL").groupBy("positive", "minima").agg(F.min("id").alias("id"))
     once = rows.join(F.broadcast(first), ["positive", "minima", "id"], "left_semi").dropDuplicates(["positive", "id"])
-    return once.unionByName(rows.where("minima IS NULL")).select("id", "positive", "features")
+    bare = rows.where("minima IS NULL").dropDuplicates(["positive", "id"])
+    return once.unionByName(bare).select("id", "positive", "features")
 
 
 def telling_features(rows: DataFrame, positives: int, unlabelled: int) -> list[int]:
@@ -214,9 +230,9 @@ def score_toxicity(
     """``docs`` with ``score_col`` (0 to 1), which depends on the text only.
 
     ``learn``: condition on ``labels`` rows to learn from.  A null text counts as empty and is scored
-    like it.  Without a positive, or a
-    feature that tells positives apart, every score is 0.  Repeated rows score alike;
-    an existing column ``score_col`` is replaced.
+    like it; long texts are scored whole.  Without a positive, or a feature that tells positives apart, every
+    score is 0; an empty table gives an empty one.  Repeated rows and equal texts score alike, ids that
+    repeat are drawn once, ties in the draw go by id; an existing column ``score_col`` is replaced.
     """
     learn = F.lit(True) if learn is None else learn
     plain = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("text"))

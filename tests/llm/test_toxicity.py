@@ -66,3 +66,32 @@ def test_features_are_distinct_per_text():
     rows, features = toxicity.document_features(pa.array(["same same Same,", None, "", "other"]))
     pairs = list(zip(rows.tolist(), features.tolist(), strict=True))
     assert len(pairs) == len(set(pairs)) and set(rows.tolist()) == {0, 3}
+
+
+def test_every_part_of_a_text_counts():
+    inner = lambda text: {f for word in text.split() for f in toxicity.word_features(word)}
+    # an insult inside text without spaces, or between dashes and slashes, has features of its own
+    assert inner("今天天气很好混蛋我们去公园散步吧") & inner("混蛋")
+    assert inner("well-you-scoundrel/then") >= inner("scoundrel")
+    assert inner("(no)") == inner("no") != set()
+    assert inner("... -- !") == set()
+    assert len(inner("的" * 10_000)) <= 6  # repeats add nothing
+
+
+def test_insult_inside_unspaced_text_raises_the_score(spark):
+    rng = np.random.default_rng(5)
+    signs = [chr(0x4E00 + i) for i in range(300)]
+    text = lambda insult: "".join(rng.choice(signs, 20)) + insult + "".join(rng.choice(signs, 20))
+    rows = [(i, text("混蛋") if i % 4 == 0 else text(""), int(i % 4 == 0)) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    truth = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    scores = toxicity.score_toxicity(docs, truth, F.col("doc_id") < 300).where("doc_id >= 300").collect()
+    toxic = [r["toxicity"] for r in scores if r["doc_id"] % 4 == 0]
+    clean = [r["toxicity"] for r in scores if r["doc_id"] % 4]
+    assert min(toxic) > max(clean)
+
+
+def test_repeated_ids_are_drawn_once(spark):
+    rows = [(i % 3, "", False) for i in range(300)] + [(i % 2, "some words here", True) for i in range(50)]
+    sample = spark.createDataFrame(rows, "id long, text string, positive boolean").select("id", "positive", "text")
+    assert toxicity.training_table(sample).count() == 3 + 1
