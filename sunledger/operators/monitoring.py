@@ -31,10 +31,11 @@ STALE_HOURS, DELAYED_HOURS = 24, 6
 LOW_VOLUME_PER_HOUR = 100
 
 # Texts of the deductions and of the alert
-STALE, DELAYED, POOR, FAIR = "Stale data", "Data delay", "Poor", "Fair"
-DELAY_DEDUCTION = "%s: -%d ({} hours)"
+STALE_DEDUCTION = "Stale data: -30 (%.1f hours)"
+DELAY_DEDUCTION = "Data delay: -10 (%.1f hours)"
 ANOMALY_DEDUCTION = "Anomalies: -%d (%d critical real, %d missing, %d warning)"
-QUALITY_DEDUCTION = "%s data quality: -%d ({}%%)"
+POOR_DEDUCTION = "Poor data quality: -20 (%.1f%%)"
+FAIR_DEDUCTION = "Fair data quality: -10 (%.1f%%)"
 EMPTY_DEDUCTION = "Missing tables: -%d (%d tables empty)"
 CRITICAL_REASON = "%d critical anomalies"
 WARNING_REASON = "%d warnings"
@@ -237,7 +238,6 @@ def health_score_deductions(
     empty = sum(
         (F.when(_has_rows(df), 0).otherwise(1) for df in tables.values()), start=F.lit(0)
     )
-    one_digit = "%.1f"
     scored = (
         _vitals(readings, anomalies, daily_panel, as_of, quality_days=7)
         .withColumn("empty_tables", empty)
@@ -263,14 +263,8 @@ def health_score_deductions(
     fresh, anomaly, quality, missing = penalties
     deductions = present(
         [
-            F.when(
-                fresh > 0,
-                F.format_string(
-                    DELAY_DEDUCTION.format(one_digit),
-                    F.when(fresh == 30, STALE).otherwise(DELAYED),
-                    fresh,
-                    "hours",
-                ),
+            F.when(fresh == 30, F.format_string(STALE_DEDUCTION, "hours")).when(
+                fresh == 10, F.format_string(DELAY_DEDUCTION, "hours")
             ),
             F.when(
                 anomaly > 0,
@@ -282,14 +276,8 @@ def health_score_deductions(
                     counts["warning"],
                 ),
             ),
-            F.when(
-                quality > 0,
-                F.format_string(
-                    QUALITY_DEDUCTION.format(one_digit),
-                    F.when(quality == 20, POOR).otherwise(FAIR),
-                    quality,
-                    "quality",
-                ),
+            F.when(quality == 20, F.format_string(POOR_DEDUCTION, "quality")).when(
+                quality == 10, F.format_string(FAIR_DEDUCTION, "quality")
             ),
             F.when(
                 missing > 0,

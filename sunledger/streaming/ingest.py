@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -60,10 +60,15 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = C.TOPIC) -> D
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .load()
-        .select("value", "partition", "offset")
+        .transform(of_topic)
     )
 
 
+def of_topic(records: DataFrame) -> DataFrame:
+    """What ingestion takes of a topic's records: the payload, and the place that orders its copies."""
+    return records.select("value", "partition", "offset")
+
+
 def file_messages(
     spark: SparkSession,
     folder: str,
@@ -147,17 +152,17 @@ def batch_writer(
     def write(decoded: DataFrame, batch_id: int) -> None:
         spark = decoded.sparkSession
         name = f"{stream()}-{batch_id}"
-        # read three times below: written once, beside the sink, so that a lost executor costs nothing
+        # read twice below: written once, beside the sink, so that a lost executor costs nothing,
+        # and counted on the way
         staged = f"{folder}/staged/{BATCH_COLUMN}={name}"
-        decoded.write.mode("overwrite").parquet(staged)
+        counted = Observation()
+        decoded.observe(counted, *_counters(decoded)).write.mode("overwrite").parquet(staged)
         decoded = spark.read.schema(decoded.schema).parquet(staged)
         try:
             ids = None
-            counted = decoded
             if _FIRST_SEEN in decoded.columns:
                 named = F.col(_FIRST_SEEN)
                 ids = decoded.where(named)
-                counted = decoded.where(named | F.col("event_id").isNull() | F.col("reject_reason").isNotNull())
                 decoded = decoded.where(~named).drop(_FIRST_SEEN)
             good = decoded.where(F.col("reject_reason").isNull())
             order = [c for c in ("partition", "offset") if c in decoded.columns] + ["value"]
@@ -177,9 +182,8 @@ def batch_writer(
             rejected.select(F.col("value").cast("string"), "reject_reason").write.mode(
                 "overwrite"
             ).parquet(f"{folder}/rejects/{BATCH_COLUMN}={name}")
-            counted.agg(
-                F.count_if(F.col("reject_reason").isNull()).alias("messages"),
-                F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
+            spark.range(1).select(
+                *(F.lit(counted.get[c]).cast("long").alias(c) for c in ("messages", "errors"))
             ).write.mode("overwrite").parquet(f"{folder}/counters/{BATCH_COLUMN}={name}")
         finally:
             delete(spark, staged)
@@ -187,6 +191,15 @@ def batch_writer(
     return write
 
 
+def _counters(decoded: DataFrame) -> list[Column]:
+    """Good messages and errors of a batch; where the state names new ids, one message for each of them."""
+    rejected = F.col("reject_reason").isNotNull()
+    good = ~rejected
+    if _FIRST_SEEN in decoded.columns:
+        good = F.col(_FIRST_SEEN) | (good & F.col("event_id").isNull())
+    return [F.count_if(good).alias("messages"), F.count_if(rejected).alias("errors")]
+
+
 def _write_readings(new: DataFrame, folder: str, name: str) -> None:
     (
         new.select(
