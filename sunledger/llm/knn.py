@@ -24,6 +24,7 @@ DATA_BLOCK = 4096  # vectors, and queries, that a task multiplies at once
 QUERY_BLOCK = 1024
 FIRST_GROUPS = 3  # groups of the first join
 EXACT_FLOAT = 2**52
+EXACT_LONG = 2.0**62  # below this, sums of products fit in 64 bits
 
 FOUND = "query_id long, query_key long, vec_id long, score long"
 
@@ -71,6 +72,12 @@ def nearest_pivot(pivots: np.ndarray):
     return run
 
 
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object and any(abs(int(x)) >= 2**63 for x in scores):
+        raise OverflowError("a score among the best does not fit in 64 bits")
+    return scores.astype(np.int64)
+
+
 def best_of(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k: int):
     """(query row, data row, score) of the ``k`` best per query, ties to the smaller id, none to itself."""
     order = np.argsort(x_ids, kind="stable")
@@ -80,7 +87,12 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray,
     rows, columns, scores = [], [], []
     for begin in range(0, len(q), 256):
         part, ids = q[begin : begin + 256], q_ids[begin : begin + 256]
-        s = (part.astype(float) @ x.T.astype(float)).astype(np.int64) if exact else part @ x.T
+        if exact:
+            s = (part.astype(float) @ x.T.astype(float)).astype(np.int64)
+        elif biggest < EXACT_LONG:
+            s = part @ x.T
+        else:  # sums may pass 64 bits
+            s = part.astype(object) @ x.T.astype(object)
         own = ids[:, None] == x_ids[None, :]
         if exact:
             rank = s * len(x_ids) - np.arange(len(x_ids))
@@ -88,13 +100,14 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray,
             n = min(k, len(x_ids))
             top = np.argpartition(-rank, n - 1, axis=1)[:, :n] if n < len(x_ids) else np.tile(np.arange(n), (len(part), 1))
         else:
-            masked = np.where(own, np.iinfo(np.int64).min, s)
-            top = np.argsort(-masked.astype(object), axis=1, kind="stable")[:, :k].astype(np.int64)
+            order_of = np.where(own, 1, -s.astype(object))
+            order_of[own] = max(1, order_of.max()) + 1  # behind all others
+            top = np.argsort(order_of, axis=1, kind="stable")[:, :k].astype(np.int64)
         keep = ~np.take_along_axis(own, top, axis=1)
         r, c = np.nonzero(keep)
         rows.append(begin + r)
         columns.append(order[top[r, c]])
-        scores.append(s[r, top[r, c]])
+        scores.append(_as_long(s[r, top[r, c]]))
     return np.concatenate(rows), np.concatenate(columns), np.concatenate(scores)
 
 
