@@ -5,8 +5,6 @@ DataFrame functions and Spark ML only.  The trees learn from the URLs that a rul
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +21,7 @@ RULES = (
     ("org/fr/", "allow"),
 )
 MAX_TRAINING_URLS = 200_000  # expected size of the seeded training sample of distinct labelled URLs
+FOLDS = 5  # a labelled URL sees label shares of the other folds only
 TREES = 15
 DEPTH = 3
 SEED = 5
@@ -95,15 +94,40 @@ def lexical(pages: DataFrame) -> DataFrame:
     )
 
 
+def fold_of_url() -> Column:
+    return F.pmod(F.xxhash64(F.lit(SEED), F.lit("fold"), "url"), F.lit(FOLDS)).cast("int")
+
+
 def suffix_statistics(pages: DataFrame, key: str) -> DataFrame:
-    """Per ``key``: the share of all URLs and the smoothed share of blocked ones among the labelled."""
-    blocked = F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0))
+    """Per ``key``: the logarithm of its number of URLs, and its labelled and blocked URLs by fold."""
+    by_fold = lambda condition: F.array(*[F.count_if(condition & (fold_of_url() == i)) for i in range(FOLDS)])
     return pages.groupBy(key).agg(
         F.log(F.count("*")).alias(f"f_{key}_pages"),
-        ((blocked + 1) / (F.count("verdict") + 2)).alias(f"f_{key}_blocked"),
+        by_fold(F.col("verdict").isNotNull()).alias(f"{key}_labelled"),
+        by_fold(F.coalesce(F.col("verdict") == "block", F.lit(False))).alias(f"{key}_blocked"),
     )
 
 
+def with_shares(urls: DataFrame, statistics: dict[str, DataFrame]) -> DataFrame:
+    """``urls`` with the statistics of their keys.
+
+    The smoothed share of blocked URLs leaves out the fold of a labelled URL, so that no URL's own label is
+    among its features.
+    """
+    for key, table in statistics.items():
+        labelled, blocked = (
+            F.aggregate(f"{key}_{n}", F.lit(0).cast("long"), lambda total, x: total + x)
+            - F.when(F.col("verdict").isNotNull(), F.get(f"{key}_{n}", fold_of_url())).otherwise(0)
+            for n in ("labelled", "blocked")
+        )
+        urls = (
+            urls.join(table, key, "left")
+            .withColumn(f"f_{key}_blocked", (blocked + 1) / (labelled + 2))
+            .drop(f"{key}_labelled", f"{key}_blocked")
+        )
+    return urls
+
+
 def judge(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -114,7 +138,7 @@ def judge(
     """One row per input row: page_id, url, host, path, rule, verdict (allow or block), blocked (probability).
 
     A rule decides where one fits; else the trees do, block from 0.5.  ``learn``: condition on
-    (page_id, url) of the URLs to learn from.  A null URL has empty host and path and is judged like an
+    (page_id, url, host, path) of the URLs to learn from.  A null URL has empty host and path and is judged like an
     empty one.  Where the labelled URLs have no two verdicts, the rest gets the only one, or allow.
     Repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
     """
@@ -128,19 +152,18 @@ def judge(
     )
     urls = stored(marked, "url-features")
     distinct = urls.dropDuplicates(["url"])
-    statistics = [stored(suffix_statistics(distinct, key), f"url-{key}") for key in ("suffix", "domain", "section")]
-    with_statistics = lambda df: reduce(lambda d, s: d.join(s, s.columns[0], "left"), statistics, df)
+    statistics = {key: stored(suffix_statistics(distinct, key), f"url-{key}") for key in ("suffix", "domain", "section")}
     counts = {r["verdict"]: r["n"] for r in distinct.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
     labelled = counts.get("block", 0) + counts.get("allow", 0)
     if counts.get("block") and counts.get("allow"):
         share = MAX_TRAINING_URLS / labelled
         drawn = F.pmod(F.xxhash64(F.lit(SEED), "url"), F.lit(1_000_003)) < F.lit(share * 1_000_003)
         vector = VectorAssembler(inputCols=FEATURES, outputCol="f_all")
-        train = vector.transform(with_statistics(distinct.where(F.col("verdict").isNotNull() & drawn))).select(
+        train = vector.transform(with_shares(distinct.where(F.col("verdict").isNotNull() & drawn), statistics)).select(
             "f_all", (F.col("verdict") == "block").cast("double").alias("label")
         )
         trees = GBTClassifier(featuresCol="f_all", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
-        scored = trees.transform(vector.transform(with_statistics(urls)))
+        scored = trees.transform(vector.transform(with_shares(urls, statistics)))
         scored = scored.withColumn("blocked", F.get(vector_to_array("probability"), F.lit(1)))
     else:
         scored = urls.withColumn("blocked", F.lit(1.0 if counts.get("block") else 0.0))

@@ -73,6 +73,13 @@ def test_large_components_stay_exact():
     x = np.array([[2**10, 1], [2**10, 2], [-5, 7]], dtype=np.int64)
     rows, columns, scores = knn.best_of(np.array([9]), q, np.array([1, 2, 3]), x, 2)
     assert columns.tolist() == [1, 0] and scores.tolist() == [2**50 + 6, 2**50 + 3]
+    # sums pass 64 bits on the way, the results do not
+    q = np.array([[2**40, 2**40, 1]], dtype=np.int64)
+    x = np.array([[2**23, -(2**23), 5], [2**24, -(2**24), 9], [-(2**30), 1, 0], [2**22, 1, 0]], dtype=np.int64)
+    rows, columns, scores = knn.best_of(np.array([9]), q, np.arange(4), x, 3)
+    assert columns.tolist() == [3, 1, 0] and scores.tolist() == [2**62 + 2**40, 9, 5]
+    with pytest.raises(OverflowError):
+        knn.best_of(np.array([9]), q, np.arange(1), np.array([[2**40, 0, 0]]), 1)
 
 
 def brute_split(url):
@@ -135,6 +142,27 @@ def test_trees_agree_with_held_out_rules(spark):
     assert len(right) > 100 and np.mean(right) >= 0.95
 
 
+def test_trees_on_hosts_they_never_saw(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    learn = F.pmod(F.xxhash64("host"), F.lit(4)) != 0
+    rows = url_filter.judge(pages, learn=learn).where(~learn & F.col("rule").isNotNull()).collect()
+    right = [(r["blocked"] >= 0.5) == (RULES[r["rule"]] == "block") for r in rows]
+    print("unseen hosts", len(right), np.mean(right))
+    assert len(right) > 100 and np.mean(right) >= 0.8
+
+
+def test_no_label_is_among_its_own_features(spark):
+    rows = [(f"http://h{i}.x{i}.zz{i}/s{i}", "block" if i % 2 else "allow") for i in range(20)] + [("http://h0.x0.zz0/s0/more", None)]
+    urls = spark.createDataFrame(rows, "url string, verdict string")
+    host, path = url_filter.split_url(F.col("url"))
+    urls = url_filter.lexical(urls.withColumn("host", host).withColumn("path", path))
+    statistics = {key: url_filter.suffix_statistics(urls, key) for key in ("suffix", "domain", "section")}
+    for r in url_filter.with_shares(urls, statistics).collect():
+        # alone under its keys, a labelled URL knows nothing; the unlabelled one sees the label of the other
+        want = 0.5 if r["verdict"] else 1 / 3
+        assert [r[f"f_{key}_blocked"] for key in statistics] == [want] * 3
+
+
 def test_native(spark):
     got = url_filter.query(spark, FOLDER)
     assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
