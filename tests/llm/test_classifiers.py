@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,48 @@ def test_views_teach_each_other():
     assert np.mean((margin > 0) == truth) > 0.95
 
 
+def test_pseudo_labels_come_from_all_rows(spark):
+    """The surest rows of the whole table, against brute force; copies count once, taken ones not again."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text", "source", "lang")
+    docs = docs.unionByName(docs.limit(50)).selectExpr("doc_id AS id", "CAST(NULL AS int) AS label", "text", "source", "lang").repartition(7)
+    schema = f"id long, label int, words {quality.SPARSE}, numbers array<double>, buckets {quality.SPARSE}"
+    features = docs.mapInArrow(quality.view_rows, schema).withColumn("key", F.xxhash64(*quality.FEATURES))
+    rng = np.random.default_rng(1)
+    models = [quality.Logistic(1 << quality.WORD_BITS, 0), quality.Logistic(quality.META_BUCKETS, quality.META_NUMBERS)]
+    for model in models:
+        model.sparse, model.dense = rng.normal(size=len(model.sparse)), rng.normal(size=len(model.dense))
+    rows = features.toPandas().drop_duplicates("key").sort_values("key")
+    examples = quality.Examples()
+    examples.add(rows)
+    keys = rows.key.to_numpy()
+    taken = [set(int(k) for k in keys[:200]), set()]
+    want = set()
+    for view, model in enumerate(models):
+        margin = model.margin(*examples.view(view, np.arange(len(keys))))
+        order = [i for i in np.lexsort((keys, margin)) if int(keys[i]) not in taken[view]]
+        want |= {(view, int(keys[i]), 0) for i in order[:40]} | {(view, int(keys[i]), 1) for i in order[-25:]}
+    got = quality.most_confident(features, models, 25, 40, taken)
+    assert {(r["view"], r["key"], r["label"]) for r in got.collect()} == want and got.count() == len(want)
+    fetched = quality.with_features(features, got).toPandas()
+    assert len(fetched) == len(want) and fetched.numbers.map(len).eq(quality.META_NUMBERS).all()
+
+
+def test_what_co_training_adds(spark, monkeypatch):
+    """From a few labels: held-out accuracy with the exchange is not below that without it."""
+    monkeypatch.setattr(quality, "MAX_LABELLED", 60)
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    truth = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    right = []
+    for rounds in (0, quality.ROUNDS):
+        rows = quality.score_quality(docs, truth, F.crc32(F.col("doc_id").cast("string")) % 3 != 1, rounds=rounds)
+        rows = rows.join(truth.select("doc_id", "quality"), "doc_id").where("quality IS NOT NULL").collect()
+        pairs = [(r["score"], r["quality"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+        good, bad = np.array([s for s, q in pairs if q == 1]), np.array([s for s, q in pairs if q == 0])
+        right.append(float((good[:, None] > bad[None, :]).mean()))
+    print("order of good above bad, without and with co-training", right)
+    assert right[1] >= right[0] - 0.01 and right[1] > 0.8
+
+
 def test_features_ignore_the_batch():
     texts = ["Alpha beta, BETA 12", "", "ünï | x"]
     together = quality.content_features(pa.array(texts))
