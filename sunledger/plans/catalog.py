@@ -349,7 +349,7 @@ def layer_counts(f: Fleet) -> DataFrame:
                 "gold_hourly_system": f.hourly_system,
                 "gold_weather_impact": f.weather_impact,
                 "gold_monthly_kpis": f.monthly_kpis,
-                "gold_anomalies": f.anomalies,
+                "gold_anomalies": materialise(f.anomalies),
             },
         }
     )
@@ -459,10 +459,10 @@ def health_score(f: Fleet) -> DataFrame:
 
 @query
 def health_score_deductions(f: Fleet) -> DataFrame:
-    watched = {**_bronze(f), **_silver(f), "gold_daily_panel": f.daily_panel}
-    return monitoring.health_score_deductions(
-        f.readings, f.anomalies, f.daily_panel, watched, AS_OF
-    )
+    # written gold tables, as a deployment has them: each is computed once, however often the report reads it
+    daily, anomalies = materialise(f.daily_panel), materialise(f.anomalies)
+    watched = {**_bronze(f), **_silver(f), "gold_daily_panel": daily}
+    return monitoring.health_score_deductions(f.readings, anomalies, daily, watched, AS_OF)
 
 
 @query

@@ -64,3 +64,10 @@ def test_hours_and_events_are_read_once(spark, name, most_scans, most_exchanges)
     plan = plan_of(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0]
     assert scans(plan) <= most_scans
     assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") <= most_exchanges
+
+
+@pytest.mark.parametrize(("name", "most_scans"), [("layer_counts", 9), ("health_score_deductions", 8)])
+def test_reports_over_all_tables_scan_each_once(spark, name, most_scans):
+    """Nine tables in the one; in the other five watched ones, and readings, days and anomalies for its points."""
+    plan = plan_of(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0]
+    assert scans(plan) <= most_scans
