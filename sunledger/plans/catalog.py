@@ -117,7 +117,8 @@ def gold_weather_impact(f: Fleet) -> DataFrame:
 
 @query
 def combined_solar_weather(f: Fleet) -> DataFrame:
-    return gold.combined_solar_weather(f.readings, f.weather)
+    # plain types before the join: the view has a row per pair, and a cast of a decimal costs more than the pair
+    return gold.combined_solar_weather(publish(f.readings), publish(f.weather))
 
 
 def _combined(f: Fleet, by: str) -> DataFrame:

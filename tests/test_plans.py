@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 
-from sunledger.plans.catalog import QUERIES
+from sunledger.operators import gold
+from sunledger.plans.catalog import AS_OF, QUERIES, publish
+from sunledger.plans.fleet import Fleet
+from sunledger.schemas import EVENTS
 from tests.conftest import SMALL
 
 STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"ingest_counters"}
@@ -71,3 +76,21 @@ def test_reports_over_all_tables_scan_each_once(spark, name, most_scans):
     """Nine tables in the one; in the other five watched ones, and readings, days and anomalies for its points."""
     plan = plan_of(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0]
     assert scans(plan) <= most_scans
+
+
+def test_combined_view_casts_before_the_pairs(spark, tmp_path):
+    """A cast above the join would run once for every pair of a reading and a weather row."""
+    times = [datetime(2024, 1, 1, 8, 59, 59), datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 9, 30), datetime(2024, 1, 1, 11), None]
+    rows = [
+        (i, times[i % 5], i % 7, "view" if i % 3 == 0 and i % 5 != 3 else "click", [1.25, None, 130.5][i % 4 % 3], [f'{{"k": {i % 90}}}', "{}", None][i % 11 % 3])
+        for i in range(60)
+    ]
+    rows += [rows[6], rows[21], (None, times[1], 3, "view", 7.5, '{"k": 4}'), (498, times[1], None, "error", 1.0, '{"k": 99}')]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["combined_solar_weather"](spark, str(tmp_path))
+    fleet = Fleet(spark, str(tmp_path), AS_OF)
+    plain = publish(gold.combined_solar_weather(fleet.readings, fleet.weather))
+    assert found.dtypes == plain.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    above_the_join = plan_of(found).split("== Initial Plan ==")[0].split("Join [")[0]
+    assert "Project" in above_the_join and "cast(" not in above_the_join.lower()
