@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.semantics import percentage, stored_mean
-from sunledger.functions.skew import skew_join
+from sunledger.functions.skew import pair_counts, pair_join, pair_tasks
 from sunledger.operators.silver import audit_column
 
 
@@ -124,16 +124,49 @@ def weather_impact(silver_weather: DataFrame, silver_solar: DataFrame) -> DataFr
 
 
 def combined_solar_weather(
-    readings: DataFrame, weather: DataFrame, same_city: bool = False
+    readings: DataFrame, weather: DataFrame, same_city: bool = False, counts: DataFrame | None = None
 ) -> DataFrame:
     """Each reading with every weather row of its hour (a reading without any keeps NULLs).
 
     ``same_city`` joins a reading with the weather of its own city only.
 
     An hour with several weather rows multiplies its readings: that is the
-    content of this view.  An hour that is busy on either side is split over
-    many tasks, and only that hour's rows of the other side are copied to them.
+    content of this view.  The pairs are made after the join, from blocks of
+    weather rows, see :func:`~sunledger.functions.skew.pair_join`.
+
+    ``counts`` are the written :func:`combined_counts` of the same tables.  They are read
+    at once, for the number of tasks that the size of the view asks for; without
+    them nothing is run here, and Spark goes by the sizes of the two tables.
     """
+    reading, observed, keys = _sides(readings, weather, same_city)
+    joined = pair_join(
+        reading,
+        observed,
+        keys,
+        ["ambient_temperature", "humidity", "wind_speed", "cloud_cover", "uv_index"],
+        pair_counts(reading, observed, keys) if counts is None else counts,
+        None if counts is None else pair_tasks(counts),
+    )
+    return joined.select(
+        "timestamp",
+        "panel_id",
+        "production_kw",
+        "panel_temperature",
+        "ambient_temperature",
+        "humidity",
+        "wind_speed",
+        "cloud_cover",
+        "uv_index",
+    )
+
+
+def combined_counts(readings: DataFrame, weather: DataFrame, same_city: bool = False) -> DataFrame:
+    """Readings and weather rows per hour of :func:`combined_solar_weather`, a row for each hour."""
+    return pair_counts(*_sides(readings, weather, same_city))
+
+
+def _sides(readings: DataFrame, weather: DataFrame, same_city: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Either side of the combined view with its hour, and the keys that they share."""
     place = ["city"] if same_city else []
     reading = readings.select(
         hour_of(F.col("timestamp"), readings).alias("hour"),
@@ -154,25 +187,7 @@ def combined_solar_weather(
         "cloud_cover",
         "uv_index",
     )
-    joined = skew_join(
-        reading,
-        observed,
-        ["hour", *place],
-        "left",
-        salt_by=["event_id", "timestamp"],
-        right_salt_by=["id"],
-    )
-    return joined.select(
-        "timestamp",
-        "panel_id",
-        "production_kw",
-        "panel_temperature",
-        "ambient_temperature",
-        "humidity",
-        "wind_speed",
-        "cloud_cover",
-        "uv_index",
-    )
+    return reading, observed, ["hour", *place]
 
 
 def combined_report(readings: DataFrame, weather: DataFrame, by: str = "hour") -> DataFrame:

@@ -118,7 +118,9 @@ def gold_weather_impact(f: Fleet) -> DataFrame:
 @query
 def combined_solar_weather(f: Fleet) -> DataFrame:
     # plain types before the join: the view has a row per pair, and a cast of a decimal costs more than the pair
-    return gold.combined_solar_weather(publish(f.readings), publish(f.weather))
+    readings, weather = publish(f.readings), publish(f.weather)
+    counts = materialise(gold.combined_counts(readings, weather), "hour-counts")
+    return gold.combined_solar_weather(readings, weather, counts=counts)
 
 
 def _combined(f: Fleet, by: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from sunledger.operators import gold
 from sunledger.plans.catalog import AS_OF, QUERIES, publish
@@ -94,3 +95,29 @@ def test_combined_view_casts_before_the_pairs(spark, tmp_path):
     assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
     above_the_join = plan_of(found).split("== Initial Plan ==")[0].split("Join [")[0]
     assert "Project" in above_the_join and "cast(" not in above_the_join.lower()
+
+
+def test_combined_view_is_dealt_by_its_own_size(spark, tmp_path):
+    """9,000 rows make 13,500,000; by the size of the input alone, one task would make them all."""
+    spark.range(9000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, int(id % 6), 0, id / 9000) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "double(id % 90) AS value", "'{\"k\": 4}' AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["combined_solar_weather"](spark, str(tmp_path))
+    tasks = [n for _, n in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 6 * 1500 * 1500
+    assert max(tasks) < 0.6 * sum(tasks)
+    above_the_join = plan_of(found).split("Join [")[0]
+    assert "Generate inline" in above_the_join
+
+
+def test_combined_view_by_city(spark):
+    fleet = Fleet(spark, SMALL, AS_OF)
+    readings = fleet.readings.withColumn("city", F.when(F.col("id") % 5 > 0, F.element_at(F.array(*map(F.lit, ["Turin", "Milan", "Oslo"])), (F.col("id") % 3 + 1).cast("int"))))
+    found = gold.combined_solar_weather(readings, fleet.weather, same_city=True)
+    hour = F.date_trunc("hour", "timestamp")
+    left = readings.select("city", hour.alias("h"), "timestamp", "panel_id", "production_kw", F.col("temperature_c").alias("panel_temperature"))
+    right = fleet.weather.select("city", hour.alias("h"), F.col("temperature").alias("ambient_temperature"), *found.columns[5:])
+    plain = left.join(right, ["city", "h"], "left").select(*found.columns)
+    assert found.dtypes == plain.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunledger.functions.quantiles import exact_quantiles
-from sunledger.functions.skew import hot_keys, skew_join
+from sunledger.functions.skew import hot_keys, pair_counts, pair_join, pair_tasks, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +127,45 @@ def test_fixed_point_sum_of_any_order_and_value(spark):
     )
     got = {r.k: r.s for r in special.groupBy("k").agg(fixed_point_sum(F.col("v")).alias("s")).collect()}
     assert math.isnan(got["a"]) and got["b"] == math.inf and got["c"] == 1e300 and got["d"] is None
+
+
+@pytest.mark.parametrize("tasks", [None, 7])
+def test_pair_join_equals_plain_left_join(spark, tasks):
+    """Busy keys on either side or both, keys of one side, keys without, rows that come twice, ids that are NULL."""
+    left = [(i, "both" if i % 3 else "l") for i in range(90)] + [(i, f"k{i}") for i in range(90, 120)]
+    left += [(i, None) for i in range(120, 130)] + [(1, "r"), (1, "r"), (None, "r"), (None, "both")]
+    right = [(i, "both", i % 4 or None) for i in range(40)] + [(i, "r", 1) for i in range(40, 80)]
+    right += [(5, "both", 1)] * 3 + [(None, "r", None)] * 2 + [(i, f"k{i}", i) for i in range(100, 140)]
+    right += [(i, None, i) for i in range(5)]
+    left = spark.createDataFrame(left, "id INT, key STRING")
+    right = spark.createDataFrame(right, "rid INT, key STRING, v INT")
+    counts = pair_counts(left, right, ["key"])
+    ours = pair_join(left, right, ["key"], ["rid", "v"], counts, tasks, block_rows=6, pairs_per_task=60)
+    plain = left.join(right, "key", "left").select("id", "key", "rid", "v")
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_pair_join_of_empty_sides(spark):
+    left, right = spark.createDataFrame([(1, "a"), (2, None)], "id INT, key STRING"), spark.createDataFrame([("a", 1)], "key STRING, v INT")
+    for a, b in ((left, right.limit(0)), (left.limit(0), right)):
+        ours = pair_join(a, b, ["key"], ["v"], pair_counts(a, b, ["key"]))
+        assert sorted(map(str, ours.collect())) == sorted(map(str, a.join(b, "key", "left").select("id", "key", "v").collect()))
+
+
+def test_tasks_follow_the_pairs(spark):
+    left = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(60)], "id INT, key STRING")
+    counts = pair_counts(left, left, ["key"])
+    assert pair_tasks(counts, pairs_per_task=100) == 18  # 1800 pairs
+    assert pair_tasks(counts) == pair_tasks(counts.limit(0)) == spark.sparkContext.defaultParallelism
+
+
+def test_pairs_of_busy_keys_are_spread(spark):
+    left = spark.range(900).selectExpr("id", "IF(id % 3 = 0, 'hot', IF(id % 3 = 1, 'none', NULL)) AS key")
+    right = spark.range(300).selectExpr("id AS rid", "'hot' AS key")
+    counts = pair_counts(left, right, ["key"])
+    joined = pair_join(left, right, ["key"], ["rid"], counts, 40, block_rows=20, pairs_per_task=1000)
+    assert joined.count() == 300 * 300 + 600
+    assert joined.select("id", "rid").distinct().count() == 300 * 300 + 600
+    assert largest_task(joined) < 12_000
+    lonely = joined.where("rid IS NULL AND key IS NULL")
+    assert lonely.count() == 300 and largest_task(lonely) < 60
